@@ -361,17 +361,17 @@ _TREE_METRICS_SQL = f"""{NODES_SQL}, {SELLER_SQL},
     count(*) FILTER (seller_name IS NULL) AS unmatched FROM rows LEFT JOIN seller ON sid = c_nationkey),
   e AS (SELECT count(DISTINCT c_custkey // 500) AS envelopes, count(*) AS declared FROM customer),
   metrics AS (SELECT unnest([
-    ['01_envelope_count', e.envelopes], ['02_declared_parent_count', e.declared], ['03_actual_parent_count', e.declared],
-    ['04_source_node_count', n.nodes], ['05_source_distinct_hash_id_count', n.hashes], ['06_source_empty_hash_id_count', 0],
-    ['07_source_parent_node_count', n.parents], ['08_source_child_node_count', n.children],
-    ['09_source_expanded_row_count', r.total], ['10_source_expanded_parent_row_count', r.parents],
-    ['11_source_expanded_child_row_count', r.children], ['12_target_row_count', r.total],
-    ['13_target_distinct_hash_id_count', n.hashes], ['14_target_empty_hash_id_count', 0], ['15_target_null_sid_count', 0],
-    ['16_target_parent_row_count', r.parents], ['17_target_child_row_count', r.children],
-    ['18_unmatched_seller_count', r.unmatched], ['19_invalid_node_type_count', 0],
-    ['20_inconsistent_fba_sale_days_count', 0], ['21_duplicate_grain_group_count', g.grp],
-    ['22_duplicate_grain_excess_row_count', g.excess], ['23_earliest_sync_time', '2024-01-30 05:00:00'],
-    ['24_latest_sync_time', '2024-01-30 05:00:00']]) AS m FROM g, n, r, e)"""
+    ['01_envelope_count', CAST(e.envelopes AS VARCHAR)], ['02_declared_parent_count', CAST(e.declared AS VARCHAR)], ['03_actual_parent_count', CAST(e.declared AS VARCHAR)],
+    ['04_source_node_count', CAST(n.nodes AS VARCHAR)], ['05_source_distinct_hash_id_count', CAST(n.hashes AS VARCHAR)], ['06_source_empty_hash_id_count', CAST(0 AS VARCHAR)],
+    ['07_source_parent_node_count', CAST(n.parents AS VARCHAR)], ['08_source_child_node_count', CAST(n.children AS VARCHAR)],
+    ['09_source_expanded_row_count', CAST(r.total AS VARCHAR)], ['10_source_expanded_parent_row_count', CAST(r.parents AS VARCHAR)],
+    ['11_source_expanded_child_row_count', CAST(r.children AS VARCHAR)], ['12_target_row_count', CAST(r.total AS VARCHAR)],
+    ['13_target_distinct_hash_id_count', CAST(n.hashes AS VARCHAR)], ['14_target_empty_hash_id_count', CAST(0 AS VARCHAR)], ['15_target_null_sid_count', CAST(0 AS VARCHAR)],
+    ['16_target_parent_row_count', CAST(r.parents AS VARCHAR)], ['17_target_child_row_count', CAST(r.children AS VARCHAR)],
+    ['18_unmatched_seller_count', CAST(r.unmatched AS VARCHAR)], ['19_invalid_node_type_count', CAST(0 AS VARCHAR)],
+    ['20_inconsistent_fba_sale_days_count', CAST(0 AS VARCHAR)], ['21_duplicate_grain_group_count', CAST(g.grp AS VARCHAR)],
+    ['22_duplicate_grain_excess_row_count', CAST(g.excess AS VARCHAR)], ['23_earliest_sync_time', CAST('2024-01-30 05:00:00' AS VARCHAR)],
+    ['24_latest_sync_time', CAST('2024-01-30 05:00:00' AS VARCHAR)]]) AS m FROM g, n, r, e)"""
 
 
 def _tree_metrics(spark, sf):
