@@ -62,22 +62,22 @@ def metadata_broken(spec: DatasetSpec, dt: str) -> Column:
 
 
 def _envelope_rules(spec: DatasetSpec) -> list[tuple[str, Column]]:
+    """Rules in order of precedence. A dataset that allows empty days still needs an envelope."""
     declared, actual = F.col("declared_count"), F.col("actual_count")
-    empty = F.col("envelope_count") == 0
+    absent, empty = F.col("envelope_count") == 0, (declared == 0) | (actual == 0)
+    if spec.empty_policy == "ALLOW":
+        empty = F.lit(False)
+    mismatch = ("RECORD_COUNT_MISMATCH", declared != actual)
     rules = [("CORRUPT_ENVELOPE", F.col("corrupt_count") > 0)]
     if spec.max_envelopes is None and spec.mode == "filtered":
-        return [*rules, ("EMPTY_SOURCE", empty | (actual == 0)), ("RECORD_COUNT_MISMATCH", declared != actual)]
-    rules.append(("EMPTY_SOURCE", empty))
+        nothing = absent if spec.empty_policy == "ALLOW" else absent | (actual == 0)
+        return [*rules, ("EMPTY_OSS_SOURCE", nothing), mismatch]
+    rules.append(("EMPTY_OSS_SOURCE", absent))
     if spec.max_envelopes is not None:
-        wrong = (F.col("envelope_count") < 1) | (F.col("envelope_count") > spec.max_envelopes)
-        rules.append(("UNEXPECTED_ENVELOPE_COUNT", wrong))
+        rules.append(("UNEXPECTED_ENVELOPE_COUNT", F.col("envelope_count") > spec.max_envelopes))
     if spec.mode == "strict":
         rules.append(("INVALID_ENVELOPE_METADATA", F.col("invalid_metadata_count") > 0))
-    return [
-        *rules,
-        (spec.empty_code, (declared == 0) | (actual == 0)),
-        ("RECORD_COUNT_MISMATCH", declared != actual),
-    ]
+    return [*rules, (spec.empty_code, empty), mismatch]
 
 
 def envelope_verdict(envelopes: DataFrame, spec: DatasetSpec, dt: str) -> DataFrame:

@@ -36,10 +36,12 @@ def page_totals(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_faults(pages: DataFrame, max_page: int | None = None, first_page: int = 1) -> DataFrame:
+def page_faults(
+    pages: DataFrame, max_page: int | None = None, first_page: int = 1, max_offset: int | None = None
+) -> DataFrame:
     """Faults as ``(key, kind, detail)``.
 
-    TOTAL_CHANGED, TOTAL_MISMATCH, PAGE_LIMIT, PAGE_GAP per key, and DUPLICATE_PAGE for content
+    TOTAL_CHANGED, TOTAL_MISMATCH, PAGE_LIMIT, OFFSET_LIMIT, PAGE_GAP per key, and DUPLICATE_PAGE for content
     that arrived more than once (empty pages are not compared).
     """
     received = F.coalesce(F.sum(F.size("records")), F.lit(0)).cast("bigint")
@@ -50,6 +52,7 @@ def page_faults(pages: DataFrame, max_page: int | None = None, first_page: int =
         F.min("page_no").alias("low_page"),
         F.max("page_no").alias("high_page"),
         F.countDistinct("page_no").alias("pages"),
+        F.max("offset").alias("high_offset"),
     )
     gap = (F.col("low_page") != first_page) | (F.col("pages") != F.col("high_page") - F.col("low_page") + 1)
     kinds = [
@@ -59,6 +62,8 @@ def page_faults(pages: DataFrame, max_page: int | None = None, first_page: int =
     ]
     if max_page is not None:
         kinds.append(("PAGE_LIMIT", F.col("high_page") > max_page, F.col("high_page") - max_page))
+    if max_offset is not None:
+        kinds.append(("OFFSET_LIMIT", F.col("high_offset") > max_offset, F.col("high_offset") - max_offset))
     found = F.array(
         *[
             F.when(test, F.struct(F.lit(kind).alias("kind"), detail.cast("bigint").alias("detail")))

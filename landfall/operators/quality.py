@@ -20,7 +20,9 @@ from landfall.operators.expand import expand_children
 from landfall.operators.partitions import combine_one_row, recent_partitions, touched_target
 
 
-def source_measures(records: DataFrame, child: str, parent_id: str, child_id: str = "id") -> DataFrame:
+def source_measures(
+    records: DataFrame, child: str, parent_id: str, child_id: str = "id", parent: str = "parent"
+) -> DataFrame:
     """Counts of the expanded source.
 
     The parent count comes from the records themselves, so only one distinct is computed over
@@ -31,14 +33,16 @@ def source_measures(records: DataFrame, child: str, parent_id: str, child_id: st
     )
     rows = expanded.agg(
         F.count("*").alias("source_expanded_count"),
-        count_where(F.col("item_pos").isNull()).alias("source_childless_count"),
+        count_where(F.col("item_pos").isNull()).alias(f"source_empty_item_{parent}_count"),
         F.countDistinct("technical_id").alias("source_distinct_id_count"),
     )
-    parents = records.agg(F.countDistinct(f"rec.{parent_id}").alias("source_parent_count"))
+    parents = records.agg(F.countDistinct(f"rec.{parent_id}").alias(f"source_{parent}_count"))
     return combine_one_row(rows, parents)
 
 
-def target_measures(target: DataFrame, parent_key: str, blanks: list[str], times: list[str]) -> DataFrame:
+def target_measures(
+    target: DataFrame, parent_key: str, blanks: list[str], times: list[str], parent: str = "parent"
+) -> DataFrame:
     rows = target.agg(
         F.count("*").alias("target_row_count"),
         F.countDistinct("id").alias("target_distinct_id_count"),
@@ -46,16 +50,16 @@ def target_measures(target: DataFrame, parent_key: str, blanks: list[str], times
         *[count_where(is_blank(c)).alias(f"empty_{c}_count") for c in blanks],
         *[b for t in times for b in time_bounds(t)],
     )
-    return combine_one_row(rows, target.agg(F.countDistinct(parent_key).alias("target_parent_count")))
+    return combine_one_row(rows, target.agg(F.countDistinct(parent_key).alias(f"target_{parent}_count")))
 
 
 def quality_parent_child(
     records: DataFrame, target: DataFrame, dt: str, child: str, parent_id: str, parent_key: str,
-    blanks: list[str], times: list[str],
+    blanks: list[str], times: list[str], parent: str = "parent",
 ) -> DataFrame:
-    """Source and target of one partition side by side."""
-    src = source_measures(records, child, parent_id)
-    tgt = target_measures(target, parent_key, blanks, times)
+    """Source and target of one partition side by side; ``parent`` names the parent in the measures."""
+    src = source_measures(records, child, parent_id, parent=parent)
+    tgt = target_measures(target, parent_key, blanks, times, parent)
     return combine_one_row(src, tgt).select(F.lit(dt).alias("affected_dt"), "*")
 
 
@@ -89,12 +93,12 @@ def quality_tree(target: DataFrame, dt: str) -> DataFrame:
 # ---- reconciliation of one system with its own source ----------------------------
 
 
-def recon_counts(source: DataFrame, target: DataFrame, dt: str) -> DataFrame:
+def recon_counts(source: DataFrame, target: DataFrame, dt: str, parent: str = "parent") -> DataFrame:
     """Four equalities between source and target measures, PASS or CHECK."""
     both = combine_one_row(source, target)
     ok = (
         (F.col("source_expanded_count") == F.col("target_row_count"))
-        & (F.col("source_parent_count") == F.col("target_parent_count"))
+        & (F.col(f"source_{parent}_count") == F.col(f"target_{parent}_count"))
         & (F.col("source_distinct_id_count") == F.col("source_expanded_count"))
         & (F.col("target_distinct_id_count") == F.col("target_row_count"))
     )
@@ -102,11 +106,11 @@ def recon_counts(source: DataFrame, target: DataFrame, dt: str) -> DataFrame:
         F.lit(dt).alias("affected_dt"),
         "source_expanded_count",
         "target_row_count",
-        "source_parent_count",
-        "target_parent_count",
+        f"source_{parent}_count",
+        f"target_{parent}_count",
         "source_distinct_id_count",
         "target_distinct_id_count",
-        "source_childless_count",
+        f"source_empty_item_{parent}_count",
         F.when(ok, "PASS").otherwise("CHECK").alias("count_and_key_check"),
     )
 
@@ -136,15 +140,18 @@ def recon_formula(target: DataFrame, formulas: dict[str, tuple[str, str]]) -> Da
 
 def recon_coverage(target: DataFrame, cols: list[str], rate_of: list[str]) -> DataFrame:
     """Unfilled enrichment columns, counts and rates."""
-    return coverage(target, cols, rate_of)
+    return coverage(target, cols, rate_of).withColumnRenamed("row_count", "target_row_count")
 
 
-def recon_distribution(target: DataFrame, cols: list[str], parent: str) -> DataFrame:
+def recon_distribution(target: DataFrame, cols: list[str], key: str, parent: str = "parent") -> DataFrame:
     """Row and parent counts per combination, largest first."""
-    return distribution(target, cols, parent).orderBy(F.desc("parent_count"), F.desc("row_count"))
+    counted = distribution(target, cols, key, f"{parent}_count")
+    return counted.orderBy(F.desc(f"{parent}_count"), F.desc("row_count"))
 
 
-def recon_trend(target: DataFrame, dt: str, parent: str, id_col: str, blank: str, time: str, n: int = 7) -> DataFrame:
+def recon_trend(
+    target: DataFrame, dt: str, key: str, id_col: str, blank: str, time: str, n: int = 7, parent: str = "parent"
+) -> DataFrame:
     """Measures of the last n landed partitions, newest first.
 
     Distinct parents and distinct ids are computed apart and joined on the few partitions.
@@ -160,7 +167,7 @@ def recon_trend(target: DataFrame, dt: str, parent: str, id_col: str, blank: str
             f"latest_{time}": F.max(time),
         },
     )
-    parents = partition_trend(rows, {"parent_count": F.countDistinct(parent)})
+    parents = partition_trend(rows, {f"{parent}_count": F.countDistinct(key)})
     return main.join(parents, "dt").orderBy(F.desc("dt"))
 
 

@@ -29,7 +29,7 @@ from landfall.plans.restocking import NODE_COLUMNS, seller_join
 from landfall.plans.shipments import listing_join
 from landfall.session import materialize
 from landfall.sources.envelopes import (
-    metadata_ok,
+    matching_envelopes,
     read_envelopes,
     stage_batch,
     write_empty_envelope,
@@ -43,7 +43,7 @@ from landfall.spec import DatasetSpec, contract_schema
 def load_batch(spark: SparkSession, spec: DatasetSpec, dt: str) -> tuple[DataFrame, DataFrame]:
     """Parse the batch once; return everything staged, and the records of matching envelopes."""
     staged = stage_batch(read_envelopes(spark, spec.root, spec.record_schema, dt))
-    return staged, staged.where(metadata_ok(spec, dt) & F.col("pos").isNotNull())
+    return staged, matching_envelopes(staged, spec, dt).where(F.col("pos").isNotNull())
 
 
 def read_target(spark: SparkSession, spec: DatasetSpec, dt: str | None = None) -> DataFrame:
@@ -88,10 +88,11 @@ def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataF
         ]
     )
     publish_partition(parent_child_detail(spec, records, dim), spec.target, dt, spec.empty_policy, checked["child"])
-    return quality_parent_child(
+    report = quality_parent_child(
         records, read_target(spark, spec, dt), dt, spec.child, spec.unique, "relate_id",
-        ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"],
+        ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"], "shipment",
     )
+    return report.withColumnRenamed("empty_country_count", "listing_country_unmatched_count")
 
 
 def dynamic_dates_detail(spec: DatasetSpec, records: DataFrame) -> DataFrame:

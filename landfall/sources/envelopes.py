@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions import differs
+from landfall.functions import all_equal, differs
 from landfall.session import materialize
 from landfall.spec import DatasetSpec
 
@@ -52,10 +52,8 @@ def metadata_ok(spec: DatasetSpec, dt: str) -> Column:
 
 
 def matching_envelopes(df: DataFrame, spec: DatasetSpec, dt: str) -> DataFrame:
-    """Only the envelopes that belong to this source, dataset and date."""
-    return batch(df, dt).where(
-        (F.col("source") == spec.source) & (F.col("dataset") == spec.name) & (F.col("biz_date") == dt)
-    )
+    """Only the envelopes (or staged records) that belong to this source, dataset and date."""
+    return batch(df, dt).where(all_equal({"source": spec.source, "dataset": spec.name, "biz_date": dt}))
 
 
 def write_envelopes(

@@ -48,7 +48,7 @@ _COUNTS = f"{SHIP_SQL}, c AS (SELECT count(*) AS n, count(DISTINCT (id - 1) // 5
         UNION ALL SELECT 'no data', NULL, 0, e, 0, n, 0 FROM c
         UNION ALL SELECT 'count off', NULL, 0, e, 0, n + e, n FROM c
         UNION ALL SELECT 'damaged', NULL, e, e, e, 0, 0 FROM c)
-      SELECT scenario, CASE WHEN corrupt > 0 THEN 'CORRUPT_ENVELOPE' WHEN e = 0 THEN 'EMPTY_SOURCE'
+      SELECT scenario, CASE WHEN corrupt > 0 THEN 'CORRUPT_ENVELOPE' WHEN e = 0 THEN 'EMPTY_OSS_SOURCE'
         WHEN e > limit_ THEN 'UNEXPECTED_ENVELOPE_COUNT' WHEN bad > 0 THEN 'INVALID_ENVELOPE_METADATA'
         WHEN declared = 0 OR actual = 0 THEN 'EMPTY_SHIPMENT_DATA' WHEN declared <> actual THEN 'RECORD_COUNT_MISMATCH' END AS code,
         actual AS checked_count FROM s""",
@@ -77,7 +77,7 @@ def j1(spark, sf):
     """WITH c AS (SELECT count(*) AS n, count(DISTINCT c_custkey // 500) AS e FROM customer)
        SELECT 'foreign ignored' AS scenario, CASE WHEN e > 1 THEN 'UNEXPECTED_ENVELOPE_COUNT' END AS code, n AS checked_count FROM c
        UNION ALL SELECT 'room for all', NULL, n FROM c
-       UNION ALL SELECT 'only foreign', 'EMPTY_SOURCE', 0 FROM c
+       UNION ALL SELECT 'only foreign', 'EMPTY_OSS_SOURCE', 0 FROM c
        UNION ALL SELECT 'no data', 'EMPTY_RESTOCKING_DATA', 0 FROM c
        UNION ALL SELECT 'count off', 'RECORD_COUNT_MISMATCH', n FROM c""",
 )
@@ -101,7 +101,7 @@ def j2(spark, sf):
     "j3_envelope_sharded",
     """WITH c AS (SELECT count(*) AS n FROM events)
        SELECT 'pass' AS scenario, NULL AS code, n AS checked_count FROM c
-       UNION ALL SELECT 'only foreign', 'EMPTY_SOURCE', 0 FROM c UNION ALL SELECT 'no data', 'EMPTY_SOURCE', 0 FROM c
+       UNION ALL SELECT 'only foreign', 'EMPTY_OSS_SOURCE', 0 FROM c UNION ALL SELECT 'no data', 'EMPTY_OSS_SOURCE', 0 FROM c
        UNION ALL SELECT 'count off', 'RECORD_COUNT_MISMATCH', n FROM c UNION ALL SELECT 'staged', NULL, n FROM c""",
 )
 def j3(spark, sf):

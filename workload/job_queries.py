@@ -38,7 +38,7 @@ def _ship(spark, sf):
     return spec, run_parent_child(spark, spec, DT, listing(spark, sf))
 
 
-query("m1_parent_child", QUALITY_SQL)(lambda spark, sf: _ship(spark, sf)[1])
+query("m1_parent_child", QUALITY_SQL.replace("empty_country_count", "listing_country_unmatched_count"))(lambda spark, sf: _ship(spark, sf)[1])
 query("m1_parent_child_detail", f"WITH {DETAIL_SQL} SELECT *, '{DT}' AS dt FROM detail")(
     lambda spark, sf: read_target(spark, _ship(spark, sf)[0])
 )

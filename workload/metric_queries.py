@@ -191,9 +191,9 @@ def f11(spark, sf):
 
 # ---- K ------------------------------------------------------------------------------
 
-_SOURCE_SQL = """src AS (SELECT count(*) AS source_expanded_count, count(DISTINCT id) AS source_parent_count,
-  count(*) FILTER (item_pos IS NULL) AS source_childless_count, count(DISTINCT tid) AS source_distinct_id_count FROM items)"""
-_TARGET_SQL = """tgt AS (SELECT count(*) AS target_row_count, count(DISTINCT relate_id) AS target_parent_count,
+_SOURCE_SQL = """src AS (SELECT count(*) AS source_expanded_count, count(DISTINCT id) AS source_shipment_count,
+  count(*) FILTER (item_pos IS NULL) AS source_empty_item_shipment_count, count(DISTINCT tid) AS source_distinct_id_count FROM items)"""
+_TARGET_SQL = """tgt AS (SELECT count(*) AS target_row_count, count(DISTINCT relate_id) AS target_shipment_count,
   count(DISTINCT id) AS target_distinct_id_count, count(*) FILTER (id IS NULL) AS target_null_id_count,
   count(*) FILTER (shipment_id IS NULL) AS empty_shipment_id_count, count(*) FILTER (country IS NULL) AS empty_country_count,
   count(*) FILTER (parent_asin IS NULL) AS empty_parent_asin_count,
@@ -206,7 +206,7 @@ QUALITY_SQL = f"WITH {DETAIL_SQL}, {_SOURCE_SQL}, {_TARGET_SQL} SELECT '{DT}' AS
 @query("k1_quality_parent_child", QUALITY_SQL)
 def k1(spark, sf):
     records = _records(spark, sf, SHIP)
-    return quality_parent_child(records, _detail(spark, sf), DT, "item_list", "id", "relate_id", BLANKS, TIMES)
+    return quality_parent_child(records, _detail(spark, sf), DT, "item_list", "id", "relate_id", BLANKS, TIMES, "shipment")
 
 
 QUALITY_TOUCHED_SQL = """SELECT count(*) AS row_count, count(*) AS distinct_business_id_count, CAST(0 AS BIGINT) AS empty_business_id_count,
@@ -249,23 +249,23 @@ def l1(spark, sf):
 
 
 _COUNTS_SQL = f"""WITH {DETAIL_SQL}, {_SOURCE_SQL}, {_TARGET_SQL} SELECT '{DT}' AS affected_dt, source_expanded_count,
-  target_row_count, source_parent_count, target_parent_count, source_distinct_id_count, target_distinct_id_count,
-  source_childless_count, CASE WHEN source_expanded_count = target_row_count AND source_parent_count = target_parent_count
+  target_row_count, source_shipment_count, target_shipment_count, source_distinct_id_count, target_distinct_id_count,
+  source_empty_item_shipment_count, CASE WHEN source_expanded_count = target_row_count AND source_shipment_count = target_shipment_count
   AND source_distinct_id_count = source_expanded_count AND target_distinct_id_count = target_row_count
   THEN 'PASS' ELSE 'CHECK' END AS count_and_key_check FROM src, tgt"""
 
 
 @query("l2_recon_counts", _COUNTS_SQL)
 def l2(spark, sf):
-    source = source_measures(_records(spark, sf, SHIP), "item_list", "id")
-    return recon_counts(source, target_measures(_detail(spark, sf), "relate_id", BLANKS, TIMES), DT)
+    source = source_measures(_records(spark, sf, SHIP), "item_list", "id", parent="shipment")
+    return recon_counts(source, target_measures(_detail(spark, sf), "relate_id", BLANKS, TIMES, "shipment"), DT, "shipment")
 
 
 @query("l2_recon_counts_check", _COUNTS_SQL.replace("FROM detail)", "FROM detail WHERE msku IS NOT NULL)"))
 def l2_check(spark, sf):
-    source = source_measures(_records(spark, sf, SHIP), "item_list", "id")
+    source = source_measures(_records(spark, sf, SHIP), "item_list", "id", parent="shipment")
     lossy = _detail(spark, sf).where(~is_blank("msku"))
-    return recon_counts(source, target_measures(lossy, "relate_id", BLANKS, TIMES), DT)
+    return recon_counts(source, target_measures(lossy, "relate_id", BLANKS, TIMES, "shipment"), DT, "shipment")
 
 
 @query(
@@ -295,7 +295,7 @@ def l4(spark, sf):
 
 @query(
     "l5_recon_coverage",
-    f"""WITH {DETAIL_SQL} SELECT count(*) AS row_count, count(*) FILTER (country IS NULL) AS empty_country_count,
+    f"""WITH {DETAIL_SQL} SELECT count(*) AS target_row_count, count(*) FILTER (country IS NULL) AS empty_country_count,
         count(*) FILTER (asin IS NULL) AS empty_asin_count, count(*) FILTER (parent_asin IS NULL) AS empty_parent_asin_count,
         count(*) FILTER (local_name IS NULL) AS empty_local_name_count,
         CAST(round(100.0 * count(*) FILTER (country IS NULL) / count(*), 4) AS DOUBLE) AS empty_country_rate_pct FROM detail""",
@@ -307,10 +307,10 @@ def l5(spark, sf):
 @query(
     "l6_recon_distribution",
     f"""WITH {DETAIL_SQL} SELECT shipment_status, shipping_mode, is_closed, count(*) AS row_count,
-        count(DISTINCT relate_id) AS parent_count FROM detail GROUP BY ALL ORDER BY parent_count DESC, row_count DESC""",
+        count(DISTINCT relate_id) AS shipment_count FROM detail GROUP BY ALL ORDER BY shipment_count DESC, row_count DESC""",
 )
 def l6(spark, sf):
-    return recon_distribution(_detail(spark, sf), ["shipment_status", "shipping_mode", "is_closed"], "relate_id")
+    return recon_distribution(_detail(spark, sf), ["shipment_status", "shipping_mode", "is_closed"], "relate_id", "shipment")
 
 
 def _daily(spark, sf):
