@@ -32,13 +32,18 @@ def enrich_latest(
 
     ``on`` maps a dimension key to the probe expression; ``dim_keys`` normalizes the dimension
     side before ranking; ``cols`` names the columns to add. Null keys never match and are
-    dropped from the dimension. No broadcast is forced: Spark broadcasts the reduced dimension
-    when its measured size allows it and otherwise joins by shuffle, where AQE splits a
-    skewed probe partition (hot or null keys).
+    dropped from the dimension.
+
+    The dimension is ranked under a hash of its keys, so it is not yet partitioned for the join
+    and reaches it through a shuffle of its own. That small shuffle pays for itself: the size of
+    the reduced dimension is measured before the join is chosen, so it is broadcast only when
+    it fits, and in a shuffled join AQE can split a probe partition holding a hot key or all the
+    null keys. Ranked by the keys alone, the join would reuse the ranking's partitioning and
+    AQE could do neither.
     """
     keys = list(on)
     normal = dim.withColumns({k: (dim_keys or {}).get(k, F.col(k)) for k in keys}).dropna(subset=keys)
-    newest = latest_per_key(normal, keys, order)
+    newest = latest_per_key(normal, [F.xxhash64(*keys), *keys], order)
     right = newest.select(*[F.col(k).alias(f"_dim_{k}") for k in keys], *[c.alias(n) for n, c in cols.items()])
     probe = df.withColumns({f"_probe_{k}": c for k, c in on.items()})
     condition = [F.col(f"_probe_{k}") == F.col(f"_dim_{k}") for k in keys]

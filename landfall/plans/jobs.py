@@ -188,7 +188,8 @@ def run_landing(
         choice = "nested-json"
     else:
         records = materialize(collect_pages(pages).select("rec.*"), "landing")
-        choice = write_routed(records, spec.root, spec, dt, sync_time, count if est_rows is None else est_rows)
+        estimate = count if est_rows is None else est_rows
+        choice = write_routed(records, spec.root, spec, dt, sync_time, estimate, rows=count)
     if choice == "parquet":
         types = {f.name: f.dataType.simpleString() for f in spec.record_schema.fields}
         landed = read_flat(spark, spec.root, {**types, "biz_date": "string", "sync_time": "string"}, dt).count()

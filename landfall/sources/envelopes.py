@@ -57,14 +57,18 @@ def matching_envelopes(df: DataFrame, spec: DatasetSpec, dt: str) -> DataFrame:
 
 
 def write_envelopes(
-    df: DataFrame, root: str, spec: DatasetSpec, dt: str, sync_time: str, records_per_envelope: int = 5000
+    df: DataFrame, root: str, spec: DatasetSpec, dt: str, sync_time: str, records_per_envelope: int = 5000,
+    rows: int | None = None,
 ) -> None:
     """Wrap records in envelopes of bounded size and write them under ``dt=``.
 
     Every task cuts its own rows into envelopes, so nothing is shuffled, no key can make a
     group large, and no row ever holds a whole batch. The Arrow step only sets list offsets
-    over the record batch it is given.
+    over the record batch it is given. With a known row count no more tasks are used than
+    there are envelopes to fill, so a batch that fits one envelope becomes exactly one.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // records_per_envelope)))
     head = [spec.source, spec.name, dt, sync_time]
 
     def wrap(batches):

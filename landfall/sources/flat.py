@@ -42,7 +42,8 @@ def read_flat(spark: SparkSession, root: str, field_types: dict[str, str], dt: s
 
 
 def write_routed(
-    df: DataFrame, root: str, spec: DatasetSpec, dt: str, sync_time: str, est_rows: int | None, small_rows: int = 100_000
+    df: DataFrame, root: str, spec: DatasetSpec, dt: str, sync_time: str, est_rows: int | None,
+    small_rows: int = 100_000, rows: int | None = None,
 ) -> str:
     """Choose the storage from the schema and volume, write, and return the choice."""
     choice = choose_storage(df.schema, est_rows, small_rows)
@@ -50,5 +51,5 @@ def write_routed(
         types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         write_flat(df, root, {**types, "biz_date": "string", "sync_time": "string"}, dt, sync_time)
     else:
-        write_envelopes(df, root, spec, dt, sync_time)
+        write_envelopes(df, root, spec, dt, sync_time, rows=rows)
     return choice
