@@ -7,11 +7,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.functions import batch_position_id, conform, position_overflow
+from landfall.functions import batch_position_id, position_overflow
 from landfall.operators.aggregates import count_where
 from landfall.operators.expand import expand_children, expand_siblings, expand_zipped, global_positions, unfold_tree
 from landfall.operators.guards import (
     Guard,
+    GuardError,
     any_cast_fault,
     child_verdict,
     envelope_verdict,
@@ -27,7 +28,7 @@ from landfall.operators.quality import quality_parent_child, quality_touched, qu
 from landfall.plans.price_queue import partition_day
 from landfall.plans.restocking import NODE_COLUMNS, seller_join
 from landfall.plans.shipments import listing_join
-from landfall.session import materialize
+from landfall.session import Scratch, pin
 from landfall.sources.envelopes import (
     matching_envelopes,
     read_envelopes,
@@ -40,9 +41,9 @@ from landfall.sources.publish import publish_partition, publish_touched
 from landfall.spec import DatasetSpec, contract_schema
 
 
-def load_batch(spark: SparkSession, spec: DatasetSpec, dt: str) -> tuple[DataFrame, DataFrame]:
+def load_batch(spec: DatasetSpec, dt: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Parse the batch once; return everything staged, and the records of matching envelopes."""
-    staged = stage_batch(read_envelopes(spark, spec.root, spec.record_schema, dt))
+    staged = stage_batch(read_envelopes(scratch.spark, spec.root, spec.record_schema, dt), scratch)
     return staged, matching_envelopes(staged, spec, dt).where(F.col("pos").isNotNull())
 
 
@@ -77,22 +78,23 @@ def parent_child_detail(spec: DatasetSpec, records: DataFrame, dim: DataFrame) -
 
 def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) -> DataFrame:
     """Shipments of one date: guards, expansion, enrichment, one partition replaced, quality row."""
-    staged, records = load_batch(spark, spec, dt)
-    expanded = expand_children(records, spec.child)
-    child = child_verdict(expanded, f"rec.{spec.unique}", f"item.{spec.child_key}", on_duplicate=spec.on_duplicate)
-    checked = run_guards(
-        [
-            Guard("envelope", staged_envelope_verdict(staged, spec, dt)),
-            Guard("record", record_verdict(records, spec)),
-            Guard("child", child),
-        ]
-    )
-    publish_partition(parent_child_detail(spec, records, dim), spec.target, dt, spec.empty_policy, checked["child"])
-    report = quality_parent_child(
-        records, read_target(spark, spec, dt), dt, spec.child, spec.unique, "relate_id",
-        ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"], "shipment",
-    )
-    return report.withColumnRenamed("empty_country_count", "listing_country_unmatched_count")
+    with Scratch(spark) as scratch:
+        staged, records = load_batch(spec, dt, scratch)
+        expanded = expand_children(records, spec.child)
+        child = child_verdict(expanded, f"rec.{spec.unique}", f"item.{spec.child_key}", on_duplicate=spec.on_duplicate)
+        checked = run_guards(
+            [
+                Guard("envelope", staged_envelope_verdict(staged, spec, dt)),
+                Guard("record", record_verdict(records, spec)),
+                Guard("child", child),
+            ]
+        )
+        publish_partition(parent_child_detail(spec, records, dim), spec.target, dt, spec.empty_policy, checked["child"])
+        report = quality_parent_child(
+            records, read_target(spark, spec, dt), dt, spec.child, spec.unique, "relate_id",
+            ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"], "shipment",
+        )
+        return pin(report.withColumnRenamed("empty_country_count", "listing_country_unmatched_count"))
 
 
 def dynamic_dates_detail(spec: DatasetSpec, records: DataFrame) -> DataFrame:
@@ -105,18 +107,19 @@ def dynamic_dates_detail(spec: DatasetSpec, records: DataFrame) -> DataFrame:
 
 def run_dynamic_dates(spark: SparkSession, spec: DatasetSpec, dt: str) -> DataFrame:
     """Price changes of one pull: guards, flattening, the contained dates replaced, quality row."""
-    staged, records = load_batch(spark, spec, dt)
-    run_guards(
-        [
-            Guard("envelope", staged_envelope_verdict(staged, spec, dt)),
-            Guard("record", record_verdict(records, spec)),
-        ]
-    )
-    publish_touched(dynamic_dates_detail(spec, records), spec.target)
-    touched = touched_partitions(records, partition_day())
-    return quality_touched(
-        read_target(spark, spec), touched, "business_id", "id", "queue_create_time", "update_time"
-    )
+    with Scratch(spark) as scratch:
+        staged, records = load_batch(spec, dt, scratch)
+        run_guards(
+            [
+                Guard("envelope", staged_envelope_verdict(staged, spec, dt)),
+                Guard("record", record_verdict(records, spec)),
+            ]
+        )
+        publish_touched(dynamic_dates_detail(spec, records), spec.target)
+        touched = touched_partitions(records, partition_day())
+        return pin(quality_touched(
+            read_target(spark, spec), touched, "business_id", "id", "queue_create_time", "update_time"
+        ))
 
 
 def tree_nodes(spec: DatasetSpec, records: DataFrame) -> DataFrame:
@@ -154,12 +157,13 @@ def tree_detail(spec: DatasetSpec, nodes: DataFrame, dim: DataFrame, dt: str) ->
 
 def run_tree(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) -> DataFrame:
     """Restocking advice of one date: guards, tree and list expansion, one partition replaced, quality row."""
-    staged, records = load_batch(spark, spec, dt)
-    envelope = Guard("envelope", staged_envelope_verdict(staged, spec, dt))
-    nodes = tree_nodes(spec, records)
-    checked = run_guards([envelope, Guard("nodes", tree_node_verdict(spec, nodes))])
-    publish_partition(tree_detail(spec, nodes, dim, dt), spec.target, dt, spec.empty_policy, checked["nodes"])
-    return quality_tree(read_target(spark, spec, dt), dt)
+    with Scratch(spark) as scratch:
+        staged, records = load_batch(spec, dt, scratch)
+        envelope = Guard("envelope", staged_envelope_verdict(staged, spec, dt))
+        nodes = tree_nodes(spec, records)
+        checked = run_guards([envelope, Guard("nodes", tree_node_verdict(spec, nodes))])
+        publish_partition(tree_detail(spec, nodes, dim, dt), spec.target, dt, spec.empty_policy, checked["nodes"])
+        return pin(quality_tree(read_target(spark, spec, dt), dt))
 
 
 def run_landing(
@@ -174,42 +178,42 @@ def run_landing(
     Nothing is written until every key is present and every page and record check passes; the
     manifest row comes last, after the landed files have been read back and counted.
     """
-    if upstream:
-        texts = spark.read.option("pathGlobFilter", "*.json").text(f"{upstream}/dt={dt}")
-        run_guards([Guard("keys", key_source_verdict(texts, upstream_key))])
-        keys, _ = valid_keys(read_keys(spark, upstream, dt, upstream_key))
-        keys = keys.select(F.col("key").cast("string").alias("key"))
-    else:
-        keys = pages.select("key").distinct()
-    plan = request_plan(keys, dt, spec.window_days or 1, closed_window)
-    count = landing_guard(pages, plan, id_col, max_page, spec.empty_policy)
-    if count == 0:
-        write_empty_envelope(spark, spec.root, spec, dt, sync_time)
-        choice = "nested-json"
-    else:
-        records = materialize(collect_pages(pages).select("rec.*"), "landing")
-        estimate = count if est_rows is None else est_rows
-        choice = write_routed(records, spec.root, spec, dt, sync_time, estimate, rows=count)
-    if choice == "parquet":
-        types = {f.name: f.dataType.simpleString() for f in spec.record_schema.fields}
-        landed = read_flat(spark, spec.root, {**types, "biz_date": "string", "sync_time": "string"}, dt).count()
-    else:
-        landed_spec = replace(spec, mode="strict", max_envelopes=None)
-        frame = envelope_verdict(read_envelopes(spark, spec.root, spec.record_schema, dt), landed_spec, dt)
-        allow = count == 0
-        landed = frame.first()["actual_count"] if allow else run_guards([Guard("landed", frame)])["landed"]
+    with Scratch(spark) as scratch:
+        # Guards and the write read the same files, so what was checked is what is landed.
+        pages = scratch.materialize(pages, "pages")
+        if upstream:
+            texts = spark.read.option("pathGlobFilter", "*.json").text(f"{upstream}/dt={dt}")
+            run_guards([Guard("keys", key_source_verdict(texts, upstream_key))])
+            keys, _ = valid_keys(read_keys(spark, upstream, dt, upstream_key))
+            keys = keys.select(F.col("key").cast("string").alias("key"))
+        else:
+            keys = pages.select("key").distinct()
+        plan = request_plan(keys, dt, spec.window_days or 1, closed_window)
+        count = landing_guard(pages, plan, id_col, max_page, spec.empty_policy)
+        if count == 0:
+            write_empty_envelope(spark, spec.root, spec, dt, sync_time)
+            choice = "nested-json"
+        else:
+            records = collect_pages(pages).select("rec.*")
+            estimate = count if est_rows is None else est_rows
+            choice = write_routed(records, spec.root, spec, dt, sync_time, estimate, rows=count)
+    landed = count_landed(spark, spec, dt, choice)
+    if landed != count:
+        raise GuardError("ROW_COUNT_MISMATCH", {"landed": landed, "expected": count})
     row = [(spec.name, dt, choice, count, landed)]
     result = spark.createDataFrame(
         row, "dataset string, dt string, storage string, checked_count bigint, landed_count bigint"
     )
-    if landed != count:
-        raise RuntimeError(f"landed {landed} records, expected {count}")
     if manifest:
         result.coalesce(1).write.mode("append").parquet(manifest)
     return result
 
 
-__all__ = [
-    "conform", "dynamic_dates_detail", "load_batch", "parent_child_detail", "read_target", "run_dynamic_dates",
-    "run_landing", "run_parent_child", "run_tree", "tree_detail", "tree_node_verdict", "tree_nodes",
-]
+def count_landed(spark: SparkSession, spec: DatasetSpec, dt: str, choice: str) -> int:
+    """Read a landed batch back and count its records, envelopes through their own guard."""
+    if choice == "parquet":
+        types = {f.name: f.dataType.simpleString() for f in spec.record_schema.fields}
+        return read_flat(spark, spec.root, {**types, "biz_date": "string", "sync_time": "string"}, dt).count()
+    landed_spec = replace(spec, mode="strict", max_envelopes=None)
+    frame = envelope_verdict(read_envelopes(spark, spec.root, spec.record_schema, dt), landed_spec, dt)
+    return run_guards([Guard("landed", frame)])["landed"]

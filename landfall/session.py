@@ -27,8 +27,28 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/landfall/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write once as Parquet and read back: cuts lineage and survives executor loss."""
-    path = new_dir(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Intermediate tables of one job, removed when the job ends, also after a refusal."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for text in self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(text)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def materialize(self, df: DataFrame, name: str) -> DataFrame:
+        """Write once as Parquet and read back: cuts lineage and survives executor loss."""
+        path = new_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def pin(report: DataFrame) -> DataFrame:
+    """A report of a few rows as a frame that no longer depends on scratch tables."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions import all_equal, differs
-from landfall.session import materialize
+from landfall.session import Scratch
 from landfall.spec import DatasetSpec
 
 CORRUPT = "_corrupt"
@@ -106,7 +106,7 @@ def _write_json(df: DataFrame, root: str, dt: str) -> None:
     writer.partitionBy("dt").json(root)
 
 
-def stage_batch(envelopes: DataFrame) -> DataFrame:
+def stage_batch(envelopes: DataFrame, scratch: Scratch) -> DataFrame:
     """Parse a batch once: one Parquet row per record, plus one row for an envelope without records.
 
     Guards, the detail job and the quality report all read this table with column pruning
@@ -123,7 +123,7 @@ def stage_batch(envelopes: DataFrame) -> DataFrame:
     exploded = numbered.select(
         *[c for c in numbered.columns if c != "data"], F.posexplode_outer("data").alias("pos", "rec")
     )
-    return materialize(exploded, "batch")
+    return scratch.materialize(exploded, "batch")
 
 
 def envelope_summary(df: DataFrame, dt: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.session import materialize
+from landfall.session import Scratch
 from landfall.operators.guards import GuardError
 
 
@@ -54,7 +54,8 @@ def untouched_days(df: DataFrame, window: DataFrame, partition: str = "dt") -> D
 
 def publish_latest(df: DataFrame, path: str) -> None:
     """Replace the whole table. The batch is materialized first, so it may be derived from the target."""
-    materialize(df, "latest").write.mode("overwrite").parquet(path)
+    with Scratch(df.sparkSession) as scratch:
+        scratch.materialize(df, "latest").write.mode("overwrite").parquet(path)
 
 
 def check_empty(rows: int, empty_policy: str) -> None:
@@ -72,19 +73,20 @@ def publish_batch(
     ``checks`` are conditions that must hold on every staged row. The manifest row is appended
     last, so a batch without one was never published.
     """
-    staged = materialize(df, "publish")
-    facts = staged.agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(~F.coalesce(c, F.lit(False))).alias(f"violations_{i}") for i, c in enumerate(checks)],
-    ).first()
-    rows = facts["rows"]
-    broken = {k: v for k, v in facts.asDict().items() if k != "rows" and v}
-    if broken:
-        raise GuardError("CHECK_FAILED", broken)
-    if expected_rows is not None and rows != expected_rows:
-        raise GuardError("ROW_COUNT_MISMATCH", {"rows": rows, "expected": expected_rows})
-    check_empty(rows, empty_policy)
-    publish_partition(staged, path, dt, empty_policy, rows)
+    with Scratch(df.sparkSession) as scratch:
+        staged = scratch.materialize(df, "publish")
+        facts = staged.agg(
+            F.count("*").alias("rows"),
+            *[F.count_if(~F.coalesce(c, F.lit(False))).alias(f"violations_{i}") for i, c in enumerate(checks)],
+        ).first()
+        rows = facts["rows"]
+        broken = {k: v for k, v in facts.asDict().items() if k != "rows" and v}
+        if broken:
+            raise GuardError("CHECK_FAILED", broken)
+        if expected_rows is not None and rows != expected_rows:
+            raise GuardError("ROW_COUNT_MISMATCH", {"rows": rows, "expected": expected_rows})
+        check_empty(rows, empty_policy)
+        publish_partition(staged, path, dt, empty_policy, rows)
     if manifest:
         row = [(dataset, dt, batch_id, rows)]
         df.sparkSession.createDataFrame(row, "dataset string, dt string, batch_id string, row_count bigint").coalesce(

@@ -20,6 +20,7 @@ from landfall.plans.jobs import (
 from landfall.plans.price_queue import price_queue_spec
 from landfall.plans.restocking import restocking_spec
 from landfall.plans.shipments import shipment_spec
+from landfall.session import Scratch, new_dir, shared_dir
 from landfall.sources.envelopes import read_envelopes
 from landfall.spec import DatasetSpec, contract_schema
 
@@ -147,15 +148,27 @@ def test_duplicates_can_be_ranked_instead_of_refused(spark, ships, listing):
     assert [r["sku"] for r in detail(spark, spec)] == ["new"]
 
 
+def test_scratch_tables_are_removed(spark, ships, listing):
+    def batches():
+        return [p for p in os.listdir(f"{shared_dir(spark)}/landfall") if p.startswith("batch-")]
+
+    drop(ships, envelope(ships, [shipment(1)]))
+    run_parent_child(spark, ships, DT, listing)
+    before = set(batches())
+    report = run_parent_child(spark, ships, DT, listing)
+    assert set(batches()) == before and report.count() == 1
+    assert new_dir(spark, "x") != new_dir(spark, "x")
+
+
 def test_guards_as_functions(spark, ships):
     drop(ships, envelope(ships, [shipment(1, [item(1), item(2)]), shipment(2)]))
-    _, records = load_batch(spark, ships, DT)
+    _, records = load_batch(ships, DT, Scratch(spark))
     assert record_guard(records, ships) == 2 and child_guard(records, ships) == 3
 
 
 def test_detail_plan(spark, ships, listing):
     drop(ships, envelope(ships, [shipment(1, [item(1)])]))
-    staged, records = load_batch(spark, ships, DT)
+    staged, records = load_batch(ships, DT, Scratch(spark))
     plan = parent_child_detail(ships, records, listing)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "PushedFilters" in plan
     assert plan.count("Generate") == 1
