@@ -21,7 +21,7 @@ from landfall.operators.aggregates import (
 )
 from landfall.operators.expand import explode_records, unfold_tree
 from landfall.operators.guards import envelope_verdict
-from landfall.operators.partitions import touched_partitions
+from landfall.operators.partitions import combine_one_row, touched_partitions
 from landfall.operators.quality import (
     apply_rules,
     quality_parent_child,
@@ -85,8 +85,9 @@ query("f1_count", "SELECT count(*) AS n FROM lineitem")(
     lambda spark, sf: table(spark, sf, "lineitem").agg(F.count("*").alias("n"))
 )
 query("f2_count_distinct", "SELECT count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts FROM lineitem")(
-    lambda spark, sf: table(spark, sf, "lineitem").agg(
-        F.countDistinct("l_orderkey").alias("orders"), F.countDistinct("l_partkey").alias("parts")
+    lambda spark, sf: combine_one_row(
+        table(spark, sf, "lineitem").agg(F.countDistinct("l_orderkey").alias("orders")),
+        table(spark, sf, "lineitem").agg(F.countDistinct("l_partkey").alias("parts")),
     )
 )
 query(
