@@ -66,11 +66,13 @@ def unfold_tree(df: DataFrame, child: str, cols: list[str], parent: str = "rec")
     return exploded.select(*_others(df, parent), "node.*")
 
 
-def global_positions(staged: DataFrame) -> DataFrame:
+def global_positions(staged: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
     """Add ``global_pos``: the position of a record over all envelopes of the batch.
 
     Counts per envelope are summed in two steps, within a writer task and over tasks, so no
-    window ever holds more than the envelopes of one task or the list of tasks.
+    window ever holds more than the envelopes of one task or the list of tasks. The envelopes
+    are counted first: up to ``max_broadcast`` their offsets are broadcast and the records stay
+    where they are; beyond it the offsets are joined by shuffle.
     """
     per_shard = staged.groupBy("shard_no").agg(F.count("pos").alias("n"))
     per_shard = per_shard.withColumn("task", F.shiftright("shard_no", 33))
@@ -82,4 +84,6 @@ def global_positions(staged: DataFrame) -> DataFrame:
     inner = W.partitionBy("task").orderBy("shard_no").rowsBetween(*before)
     bases = per_shard.withColumn("shard_base", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(per_task, "task")
     bases = bases.select("shard_no", (F.col("task_base") + F.col("shard_base")).alias("base"))
+    if per_shard.count() <= max_broadcast:
+        bases = F.broadcast(bases)
     return staged.join(bases, "shard_no").withColumn("global_pos", F.col("base") + F.col("pos")).drop("base")

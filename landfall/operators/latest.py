@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landfall.functions import as_col
+from landfall.session import Scratch
 
 
 def latest_per_key(df: DataFrame, keys: list, order: list[str]) -> DataFrame:
@@ -26,7 +27,7 @@ def dedup(df: DataFrame, key, order: list[str]) -> DataFrame:
 
 def enrich_latest(
     df: DataFrame, dim: DataFrame, on: dict[str, Column], order: list[str], cols: dict[str, Column],
-    dim_keys: dict[str, Column] | None = None,
+    dim_keys: dict[str, Column] | None = None, scratch: Scratch | None = None,
 ) -> DataFrame:
     """Left join to the newest dimension row per key.
 
@@ -40,11 +41,16 @@ def enrich_latest(
     it fits, and in a shuffled join AQE can split a probe partition holding a hot key or all the
     null keys. Ranked by the keys alone, the join would reuse the ranking's partitioning and
     AQE could do neither.
+
+    With ``scratch`` the reduced dimension is written first. Its file size is then known when the
+    join is planned, so a small one is broadcast without the probe side being shuffled at all.
     """
     keys = list(on)
     normal = dim.withColumns({k: (dim_keys or {}).get(k, F.col(k)) for k in keys}).dropna(subset=keys)
     newest = latest_per_key(normal, [F.xxhash64(*keys), *keys], order)
     right = newest.select(*[F.col(k).alias(f"_dim_{k}") for k in keys], *[c.alias(n) for n, c in cols.items()])
+    if scratch:
+        right = scratch.materialize(right, "dimension")
     probe = df.withColumns({f"_probe_{k}": c for k, c in on.items()})
     condition = [F.col(f"_probe_{k}") == F.col(f"_dim_{k}") for k in keys]
     return probe.join(right, condition, "left").drop(*[f"_dim_{k}" for k in keys], *[f"_probe_{k}" for k in keys])

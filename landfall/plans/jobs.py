@@ -61,7 +61,9 @@ def _finish(spec: DatasetSpec, df: DataFrame) -> DataFrame:
     return df.select(*[(f.build().cast(f.type) if f.late else F.col(f.name)).alias(f.name) for f in spec.fields])
 
 
-def parent_child_detail(spec: DatasetSpec, records: DataFrame, dim: DataFrame) -> DataFrame:
+def parent_child_detail(
+    spec: DatasetSpec, records: DataFrame, dim: DataFrame, scratch: Scratch | None = None
+) -> DataFrame:
     """Expand, flatten, enrich. The dimension is unique per key, so the row count is the expansion's.
 
     Deduplication runs only when duplicates are allowed into the batch. Otherwise the guards
@@ -73,7 +75,7 @@ def parent_child_detail(spec: DatasetSpec, records: DataFrame, dim: DataFrame) -
     flat = _early(spec, expanded, F.nullif(F.trim("item.asin"), F.lit("")).alias("own_asin"), *order)
     if spec.on_duplicate == "keep_newest":
         flat = dedup(flat, "id", ["gmt_modified", "create_time", "shard_no", "pos", "item_pos"])
-    return _finish(spec, enrich_latest(flat, dim, **listing_join()))
+    return _finish(spec, enrich_latest(flat, dim, **listing_join(), scratch=scratch))
 
 
 def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) -> DataFrame:
@@ -89,7 +91,8 @@ def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataF
                 Guard("child", child),
             ]
         )
-        publish_partition(parent_child_detail(spec, records, dim), spec.target, dt, spec.empty_policy, checked["child"])
+        rows = parent_child_detail(spec, records, dim, scratch)
+        publish_partition(rows, spec.target, dt, spec.empty_policy, checked["child"])
         report = quality_parent_child(
             records, read_target(spark, spec, dt), dt, spec.child, spec.unique, "relate_id",
             ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"], "shipment",
@@ -142,7 +145,9 @@ def tree_node_verdict(spec: DatasetSpec, nodes: DataFrame) -> DataFrame:
     return verdict(measures, rules, "node_count")
 
 
-def tree_detail(spec: DatasetSpec, nodes: DataFrame, dim: DataFrame, dt: str) -> DataFrame:
+def tree_detail(
+    spec: DatasetSpec, nodes: DataFrame, dim: DataFrame, dt: str, scratch: Scratch | None = None
+) -> DataFrame:
     """Node by SKU pair by transport mode, flattened and enriched."""
     skus = expand_zipped(
         nodes, "basic_info.msku_fnsku_list", "basic_info.listing_opentime_list", "sku", "listing_opentime"
@@ -152,7 +157,7 @@ def tree_detail(spec: DatasetSpec, nodes: DataFrame, dim: DataFrame, dt: str) ->
         batch_position_id(dt, "parent_pos", spec.position_width)
     )
     flat = _early(spec, modes.withColumn("parent_id", parent_id))
-    return _finish(spec, enrich_latest(flat, dim, **seller_join()))
+    return _finish(spec, enrich_latest(flat, dim, **seller_join(), scratch=scratch))
 
 
 def run_tree(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) -> DataFrame:
@@ -162,7 +167,8 @@ def run_tree(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) ->
         envelope = Guard("envelope", staged_envelope_verdict(staged, spec, dt))
         nodes = tree_nodes(spec, records)
         checked = run_guards([envelope, Guard("nodes", tree_node_verdict(spec, nodes))])
-        publish_partition(tree_detail(spec, nodes, dim, dt), spec.target, dt, spec.empty_policy, checked["nodes"])
+        rows = tree_detail(spec, nodes, dim, dt, scratch)
+        publish_partition(rows, spec.target, dt, spec.empty_policy, checked["nodes"])
         return pin(quality_tree(read_target(spark, spec, dt), dt))
 
 

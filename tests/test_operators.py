@@ -47,6 +47,7 @@ from landfall.operators.pages import (
     request_plan,
 )
 from landfall.operators.partitions import last_partitions, recent_partitions, touched_target
+from landfall.session import Scratch
 from landfall.operators.quality import apply_rules, recon_formula, trend_deviation
 
 ITEM = "id BIGINT, item_list ARRAY<STRUCT<id BIGINT>>"
@@ -110,7 +111,9 @@ def test_global_positions_are_dense_over_all_envelopes(spark):
     shards = [(0, 3), (1, 1), (1 << 33, 4), ((1 << 33) + 5, 2), (7 << 33, 1)]
     data = [(s, p) for s, n in shards for p in range(n)]
     random.Random(1).shuffle(data)
-    rows = global_positions(spark.createDataFrame(data, "shard_no bigint, pos int")).collect()
+    df = spark.createDataFrame(data, "shard_no bigint, pos int")
+    rows = global_positions(df).collect()
+    assert sorted(map(tuple, global_positions(df, max_broadcast=2).collect())) == sorted(map(tuple, rows))
     assert sorted(r.global_pos for r in rows) == list(range(11))
     ordered = sorted(rows, key=lambda r: r.global_pos)
     assert [(r.shard_no, r.pos) for r in ordered] == sorted(data)
@@ -142,6 +145,15 @@ def test_enrichment_keeps_rows_and_null_keys_do_not_match(spark):
     assert out.columns == ["id", "k", "v"]
 
 
+def test_small_written_dimension_is_broadcast_without_a_probe_shuffle(spark):
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") % 7).alias("k"), "id")
+    dim = spark.range(7).select(F.col("id").alias("k"), F.lit("1").alias("at"), "id")
+    with Scratch(spark) as scratch:
+        out = enrich_latest(df, dim, {"k": F.col("k")}, ["at", "id"], {"v": F.col("id")}, scratch=scratch)
+        assert out.where("v = k").count() == 1000
+        assert "BroadcastHashJoin" in plan(out) and "hashpartitioning" not in plan(out)
+
+
 def test_skewed_probe_partition_is_split(spark):
     """A hot key is split at run time instead of going to one task."""
     options = {
