@@ -20,7 +20,7 @@ def sum0(c) -> Column:
 
 def size0(c) -> Column:
     """Total array length, null arrays counting 0."""
-    return sum0(F.size(as_col(c)))
+    return sum0(F.array_size(as_col(c)))
 
 
 def time_bounds(c: str, name: str | None = None) -> list[Column]:

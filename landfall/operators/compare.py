@@ -31,7 +31,7 @@ def canonical(c, type_: str = "string", zone: str | None = None) -> Column:
     c = as_col(c)
     if type_ == "timestamp":
         ts = F.convert_timezone(F.lit(zone), F.lit("UTC"), c.cast("timestamp_ntz")) if zone else c.cast("timestamp_ntz")
-        text = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+        text = F.substring(ts.cast("string"), 1, 19)
     elif type_ == "string":
         text = F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\|"))
     else:
@@ -87,7 +87,7 @@ def compare_rows(new: DataFrame, old: DataFrame, keys: list[str], types: dict[st
         F.array(*[F.when(~F.col(f"_n_{c}").eqNullSafe(F.col(f"_o_{c}")), F.lit(c)) for c in types])
     )
     both = (F.col("n_new") > 0) & (F.col("n_old") > 0)
-    out = grouped.withColumn("_diff", differing).withColumn("_equal", F.size("_diff") == 0)
+    out = grouped.withColumn("_diff", differing).withColumn("_equal", F.array_size("_diff") == 0)
     return out.select(
         *keys, "n_new", "n_old", _status().alias("status"),
         F.when(both, F.concat_ws(",", "_diff")).otherwise(F.lit("")).alias("changed_columns"),

@@ -94,13 +94,16 @@ def envelope_verdict(envelopes: DataFrame, spec: DatasetSpec, dt: str) -> DataFr
         count_where(mine).alias("envelope_count"),
         count_where(mine & metadata_broken(spec, dt)).alias("invalid_metadata_count"),
         sum0(F.when(mine, F.col("record_count"))).alias("declared_count"),
-        sum0(F.when(mine, F.size("data"))).alias("actual_count"),
+        sum0(F.when(mine, F.array_size("data"))).alias("actual_count"),
     )
     return verdict(measures, _envelope_rules(spec), "actual_count")
 
 
 def staged_envelope_verdict(staged: DataFrame, spec: DatasetSpec, dt: str) -> DataFrame:
-    """The same check over a staged batch, where one row per envelope has ``coalesce(pos, 0) = 0``."""
+    """The same check over a staged batch, where one row per envelope has ``coalesce(pos, 0) = 0``.
+
+    Positions are counted per shard, so two envelopes must not carry one shard number.
+    """
     first = F.coalesce("pos", F.lit(0)) == 0
     mine = F.lit(True) if spec.mode == "strict" else ~metadata_broken(spec, dt)
     measures = staged.where(F.col("dt") == dt).agg(
@@ -109,8 +112,10 @@ def staged_envelope_verdict(staged: DataFrame, spec: DatasetSpec, dt: str) -> Da
         count_where(mine & first & metadata_broken(spec, dt)).alias("invalid_metadata_count"),
         sum0(F.when(mine & first, F.col("record_count"))).alias("declared_count"),
         count_where(mine & F.col("pos").isNotNull()).alias("actual_count"),
+        F.countDistinct(F.when(mine & first, F.col("shard_no"))).alias("shard_count"),
     )
-    return verdict(measures, _envelope_rules(spec), "actual_count")
+    repeated = ("DUPLICATE_SHARD", F.col("shard_count") != F.col("envelope_count"))
+    return verdict(measures, [*_envelope_rules(spec), repeated], "actual_count")
 
 
 def envelope_guard(envelopes: DataFrame, spec: DatasetSpec, dt: str) -> int:

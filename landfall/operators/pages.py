@@ -28,7 +28,7 @@ def collect_pages(pages: DataFrame) -> DataFrame:
 
 def page_totals(pages: DataFrame) -> DataFrame:
     """Received against declared count per key."""
-    received = F.coalesce(F.sum(F.size("records")), F.lit(0)).cast("bigint")
+    received = F.coalesce(F.sum(F.array_size("records")), F.lit(0)).cast("bigint")
     return (
         pages.groupBy("key")
         .agg(F.count("*").alias("page_count"), received.alias("received"), F.max("total").alias("declared"))
@@ -44,7 +44,7 @@ def page_faults(
     TOTAL_CHANGED, TOTAL_MISMATCH, PAGE_LIMIT, OFFSET_LIMIT, PAGE_GAP per key, and DUPLICATE_PAGE for content
     that arrived more than once (empty pages are not compared).
     """
-    received = F.coalesce(F.sum(F.size("records")), F.lit(0)).cast("bigint")
+    received = F.coalesce(F.sum(F.array_size("records")), F.lit(0)).cast("bigint")
     per_key = pages.groupBy("key").agg(
         F.min("total").alias("low_total"),
         F.max("total").alias("high_total"),
@@ -72,7 +72,7 @@ def page_faults(
     )
     keyed = per_key.select("key", F.inline(F.array_compact(found)))
     repeated = (
-        pages.where(F.size("records") > 0)
+        pages.where(F.array_size("records") > 0)
         .groupBy("key", F.sha2(F.to_json("records"), 256).alias("content"))
         .agg((F.count("*") - 1).alias("extra"))
         .where("extra > 0")
@@ -107,7 +107,7 @@ def key_source_verdict(texts: DataFrame, key: str) -> DataFrame:
         count_where(~F.col("is_object")).alias("bad_top_count"),
         count_where(F.col("data").isNull()).alias("no_array_count"),
         count_where(F.col("count_text").isNotNull() & F.col("record_count").isNull()).alias("bad_count_count"),
-        count_where(F.col("record_count") != F.size("data")).alias("mismatch_count"),
+        count_where(F.col("record_count") != F.array_size("data")).alias("mismatch_count"),
     )
     _, stats = valid_keys(explode_loose(parsed, key))
     rules = [

@@ -237,7 +237,7 @@ def node_measures(nodes: DataFrame) -> DataFrame:
     The expanded row counts follow from the list lengths (an empty list keeps one row), so the
     node-by-SKU-by-transport product is never produced just to be counted.
     """
-    length = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(1))
+    length = lambda c: F.greatest(F.coalesce(F.array_size(c), F.lit(0)), F.lit(1))
     rows = (length("basic_info.msku_fnsku_list") * length("suggest_info.suggest_sm_list")).cast("bigint")
     is_parent, hash_id = F.col("is_parent") == 1, F.col("basic_info.hash_id")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))

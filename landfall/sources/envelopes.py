@@ -134,7 +134,7 @@ def envelope_summary(df: DataFrame, dt: str) -> DataFrame:
         F.min("dataset").alias("dataset"),
         F.min("biz_date").alias("envelope_biz_date"),
         F.coalesce(F.sum("record_count"), F.lit(0)).alias("declared_record_count"),
-        F.coalesce(F.sum(F.size("data")), F.lit(0)).cast("bigint").alias("data_array_count"),
+        F.coalesce(F.sum(F.array_size("data")), F.lit(0)).cast("bigint").alias("data_array_count"),
         F.min("sync_time").alias("earliest_sync_time"),
         F.max("sync_time").alias("latest_sync_time"),
     )

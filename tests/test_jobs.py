@@ -295,6 +295,17 @@ def test_tree_ignores_a_foreign_envelope(spark, tree, shops):
     assert run_tree(spark, tree, DT, shops).first()["row_count"] == 1
 
 
+def test_tree_positions_need_distinct_shards(spark, tree, shops):
+    spec = replace(tree, max_envelopes=None)
+    drop(spec, envelope(spec, [node("a")], shard_no=4), envelope(spec, [node("b")], shard_no=4))
+    with pytest.raises(GuardError, match="DUPLICATE_SHARD"):
+        run_tree(spark, spec, DT, shops)
+    drop(spec, envelope(spec, [node("a", item_list=[node("x")])], shard_no=4), envelope(spec, [node("b", item_list=[node("y")])], shard_no=2))
+    run_tree(spark, spec, DT, shops)
+    parents = {r["hash_id"]: r["parent_id"] for r in detail(spark, spec) if r["parent_id"]}
+    assert parents == {"y": 202401310000001, "x": 202401310000002}
+
+
 # ---- landing ------------------------------------------------------------------------
 
 

@@ -454,7 +454,7 @@ def envelopes(spark: SparkSession, sf: str, name: str, per: int = 500) -> DataFr
         F.lit(SOURCE).alias("source"),
         F.lit(name).alias("dataset"),
         F.lit(DT).alias("biz_date"),
-        F.size("sorted").cast("bigint").alias("record_count"),
+        F.array_size("sorted").cast("bigint").alias("record_count"),
         F.lit(SYNC).alias("sync_time"),
         "shard_no",
         F.transform("sorted", lambda e: build(lambda n: e[n])).alias("data"),

@@ -271,7 +271,7 @@ def s11(spark, sf):
 )
 def s12(spark, sf):
     rec = envelopes(spark, sf, SHIP).select(F.inline("data"))
-    return rec.select("id", F.size("item_list").cast("string").alias("n"))
+    return rec.select("id", F.array_size("item_list").cast("string").alias("n"))
 
 
 @query("s13_at_pos", f"WITH {NODES_SQL} SELECT DISTINCT hash_id, CAST(k AS VARCHAR) AS k, opened FROM rows WHERE is_parent = 1")

@@ -35,7 +35,7 @@ def a1(spark, sf):
     spec = land(spark, sf, SHIP)[SHIP]
     env = read_envelopes(spark, spec.root, spec.record_schema)
     rec = env.select("sync_time", "dt", F.inline("data"))
-    return rec.select("id", "sid", "shipment_id", "sync_time", "dt", F.coalesce(F.size("item_list").cast("string"), F.lit("none")).alias("n_items"))
+    return rec.select("id", "sid", "shipment_id", "sync_time", "dt", F.coalesce(F.array_size("item_list").cast("string"), F.lit("none")).alias("n_items"))
 
 
 def _events_by_day(spark, sf):
@@ -92,8 +92,8 @@ def a5(spark, sf):
     write_envelopes(ship_records(spark, sf), spec.root, spec, DT, SYNC, records_per_envelope=700)
     env = read_envelopes(spark, spec.root, spec.record_schema, DT)
     sizes = env.agg(
-        F.sum("record_count").alias("declared"), F.sum(F.size("data")).cast("bigint").alias("landed"),
-        (F.max(F.size("data")) <= 700).alias("bounded"),
+        F.sum("record_count").alias("declared"), F.sum(F.array_size("data")).cast("bigint").alias("landed"),
+        (F.max(F.array_size("data")) <= 700).alias("bounded"),
         (F.count("*") == F.countDistinct("shard_no")).alias("shards_unique"),
     )
     ids = env.select(F.inline("data")).agg(F.countDistinct("id").alias("ids"))
