@@ -16,7 +16,7 @@ import duckdb  # noqa: E402
 import pandas as pd  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def session(cores: str = "8", partitions: str = "8") -> SparkSession:
