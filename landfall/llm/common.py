@@ -118,18 +118,19 @@ def text_slices(texts, extra: int = 0) -> Iterator[tuple[int, int, np.ndarray, n
 def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``width`` consecutive words per document; number of each. Fewer words than that are one shingle."""
     n, first = len(hashes), np.concatenate([[0], np.cumsum(counts)])
+    factors = [np.uint64((2 * k + 3) * 0xD6E8FEB86659FD93 & (1 << 64) - 1 | 1) for k in range(width)]
     padded = np.concatenate([hashes, np.zeros(width, np.uint64)])
     total = np.zeros(n, np.uint64)
     for k in range(width):
-        total += padded[k : n + k] * np.uint64((2 * k + 3) * 0xD6E8FEB86659FD93 & (1 << 64) - 1 | 1)
+        total += padded[k : n + k] * factors[k]
     total = mix(total)
     each = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
     keep = np.zeros(n + 1, dtype=np.int64)
     np.add.at(keep, first[:-1][each > 0], 1)
     np.add.at(keep, (first[:-1] + each)[each > 0], -1)
-    for d in np.flatnonzero((counts > 0) & (counts < width)):  # a short document must not see its successor's words
-        part = np.uint64(counts[d])
-        for k in range(counts[d]):
-            part += hashes[first[d] + k] * np.uint64((2 * k + 3) * 0xD6E8FEB86659FD93 & (1 << 64) - 1 | 1)
-        total[first[d]] = mix(np.array([part]))[0]
+    short = np.flatnonzero((counts > 0) & (counts < width))  # a short document must not see its successor's words
+    part = counts[short].astype(np.uint64)
+    for k in range(width - 1):
+        part += np.where(k < counts[short], padded[first[short] + k], np.uint64(0)) * factors[k]
+    total[first[short]] = mix(part)
     return total[np.cumsum(keep[:n]) > 0], each

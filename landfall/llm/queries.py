@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import block_naming, mixing, packing, wavelet
+from landfall.llm import block_naming, langid, mixing, ngram_join, packing, wavelet
 from landfall.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,15 @@ def op2(spark, sf_dir):
 @query("op5_wavelet_shards")
 def op5(spark, sf_dir):
     return wavelet.round_trip(documents(spark, sf_dir))
+
+
+@query("op1_rank_order_langid")
+def op1(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    profiles = langid.train_profiles(docs.filter(~langid.held_out()))
+    return langid.identify(docs, profiles).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark, sf_dir):
+    return ngram_join.similar_classes(documents(spark, sf_dir))
