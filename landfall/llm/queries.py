@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import block_naming, langid, mixing, ngram_join, packing, wavelet
+from landfall.llm import block_naming, fingerprint, langid, mixing, ngram_join, packing, toxicity, wavelet
 from landfall.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op1(spark, sf_dir):
 @query("op7_ngram_jaccard_join")
 def op7(spark, sf_dir):
     return ngram_join.similar_classes(documents(spark, sf_dir))
+
+
+@query("op3_one_permutation_minhash")
+def op3(spark, sf_dir):
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
+@query("op10_kneser_ney_toxicity")
+def op10(spark, sf_dir):
+    return toxicity.toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
