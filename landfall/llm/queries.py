@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import block_naming, fingerprint, langid, mixing, ngram_join, packing, toxicity, wavelet
+from landfall.llm import block_naming, fingerprint, langid, mixing, ngram_join, packing, pii, toxicity, wavelet
 from landfall.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op3(spark, sf_dir):
 @query("op10_kneser_ney_toxicity")
 def op10(spark, sf_dir):
     return toxicity.toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op4_bootstrapped_pii")
+def op4(spark, sf_dir):
+    return pii.find_personal_data(documents(spark, sf_dir))
