@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import block_naming, fingerprint, langid, mixing, ngram_join, packing, pii, toxicity, wavelet
+from landfall.llm import block_naming, fingerprint, langid, mixing, ngram_join, packing, pii, repeats, toxicity, wavelet
 from landfall.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op10(spark, sf_dir):
 @query("op4_bootstrapped_pii")
 def op4(spark, sf_dir):
     return pii.find_personal_data(documents(spark, sf_dir))
+
+
+@query("op6_sparse_suffix_repeats")
+def op6(spark, sf_dir):
+    return repeats.repeated_passages(documents(spark, sf_dir))
