@@ -40,14 +40,18 @@ class Packer:
         self.total = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
         self.most = max(1, min(limits.tokens, limits.loss))
         self.cut, self.window = cut, window
-        self.waiting: list[tuple] = []  # (key, start)
-        self.use = np.zeros((0, 3))
+        self.waiting: list[tuple] = []  # (key, start); their tokens and loss are in the arrays below
+        self.tokens, self.loss = np.zeros(0), np.zeros(0)
+        self.use = np.zeros(3)  # of all that wait
+        self._fresh()
+
+    def _fresh(self) -> None:
         self.open: list[tuple] = []
         self.left = self.total.copy()
 
     def add(self, examples: list[tuple]) -> Iterator[list[tuple]]:
         """Take (key, tokens, loss) and yield the sequences that are closed."""
-        uses = []
+        sizes, losses = [], []
         for key, length, loss in examples:
             whole = max(0, length - 1) // self.most
             for k in range(whole):
@@ -55,9 +59,12 @@ class Packer:
             rest = length - whole * self.most
             if rest:
                 self.waiting.append((key, whole * self.most))
-                uses.append((rest, 1, min(loss, rest)))
-        if uses:
-            self.use = np.concatenate([self.use, np.array(uses, dtype=float)])
+                sizes.append(rest)
+                losses.append(min(loss, rest))
+        n = len(self.waiting) - len(sizes)
+        self.tokens = np.concatenate([self.tokens[:n], np.array(sizes, dtype=float)])
+        self.loss = np.concatenate([self.loss[:n], np.array(losses, dtype=float)])
+        self.use += (sum(sizes), len(sizes), sum(losses))
         while len(self.waiting) > self.window:
             yield from self._step()
 
@@ -66,38 +73,44 @@ class Packer:
         while self.waiting:
             yield from self._step()
 
-    def _choose(self) -> int:
+    def _choose(self, tokens: np.ndarray, loss: np.ndarray) -> int:
         """The best waiting example that fits, or -1."""
-        fits = (self.use <= self.left).all(axis=1)
-        if self.cut and self.left[1] == 1 and self.use[:, 0].max() > self.left[0]:
+        left_tokens, left_segments, left_loss = self.left
+        if self.cut and left_segments == 1 and tokens.max() > left_tokens:
             return -1  # the last segment fills the sequence
-        if not fits.any():
-            return -1
-        scarce = self.use.sum(axis=0) / self.total
-        gain = (self.use / self.total) @ (scarce * self.left / self.total)
-        return int(np.argmax(np.where(fits, gain, -1.0)))
+        weight = self.use * self.left / self.total**3
+        gain = tokens * weight[0] + loss * weight[2] + weight[1]
+        gain[(tokens > left_tokens) | (loss > left_loss)] = -1.0
+        i = int(gain.argmax())
+        return i if gain[i] >= 0 else -1
 
     def _step(self) -> Iterator[list[tuple]]:
-        i = self._choose()
+        n = len(self.waiting)
+        first = max(0, n - self.window)  # the window slides over what waits, so a step costs the same at any time
+        tokens, loss = self.tokens[first:n], self.loss[first:n]
+        i = self._choose(tokens, loss)
         if i >= 0:
-            key, start = self.waiting[i]
-            self.open.append((key, start, int(self.use[i][0])))
-            self.left -= self.use[i]
-            self.waiting[i], self.use[i] = self.waiting[-1], self.use[-1]
+            key, start = self.waiting[first + i]
+            self.open.append((key, start, int(tokens[i])))
+            used = np.array((tokens[i], 1.0, loss[i]))
+            self.left -= used
+            self.use -= used
+            self.waiting[first + i], tokens[i], loss[i] = self.waiting[-1], tokens[-1], loss[-1]
             self.waiting.pop()
-            self.use = self.use[:-1]
         elif self.cut:  # the head of the longest example
-            i = int(np.argmax(self.use[:, 0]))
+            at = int(tokens.argmax())
             length = min(self.left[0], self.left[2])
-            key, start = self.waiting[i]
+            key, start = self.waiting[first + at]
             self.open.append((key, start, int(length)))
             self.left -= (length, 1, length)
-            self.waiting[i] = (key, start + int(length))
-            self.use[i][0] -= length
-            self.use[i][2] = min(self.use[i][2], self.use[i][0])
-        if (i < 0 or (self.left[:2] < 1).any() or self.left[2] < self.cut) and self.open:
+            self.waiting[first + at] = (key, start + int(length))
+            less = loss[at] - min(loss[at], tokens[at] - length)
+            tokens[at] -= length
+            loss[at] -= less
+            self.use -= (length, 0, less)
+        if (i < 0 or self.left[0] < 1 or self.left[1] < 1 or self.left[2] < self.cut) and self.open:
             yield self.open
-            self.open, self.left = [], self.total.copy()
+            self._fresh()
 
 
 def powers_of_two(pieces: list[tuple]) -> Iterator[list[tuple]]:

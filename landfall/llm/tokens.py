@@ -1,8 +1,10 @@
 """Token ids of whole texts, exactly as the tokenizers library gives them, with the repeated work remembered.
 
-The tokenizer used here never joins characters across a space, so the ids of a text are the ids of the
-parts between spaces, one after another. Parts and the pieces inside them are looked up first and
-encoded by the library only when unseen. Memory is bounded: the tables are emptied when they are full.
+The tokenizer used here lower-cases, drops white space and never joins characters across the boundaries of
+letters, digits and other signs, so the ids of a text are those of its pieces, one after another. Pieces are
+looked up first and encoded by the library only when unseen. Where this cannot be told from the characters
+(rare letters, special tokens), the library encodes the whole part between two spaces. Memory is bounded: the
+table is emptied when it is full.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1  # id that ends a document
-PARTS, PIECES = 250_000, 300_000  # entries remembered in a worker
-SLICE_CHARS = 1_000_000
+PIECES = 500_000  # entries remembered in a worker, some 100 MB
+SLICE_CHARS = 2_000_000
 
 # Characters for which lower() and the split below agree with the tokenizer's own rules.
-_PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-įĲ-ňŊ-ž]*")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž]+")
+_PLAIN = re.compile(r"[\x09-\x0d\x20-\x7eÀ-ÖØ-öø-įĲ-ňŊ-ž]*")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-z0-9ß-öø-ž\x09-\x0d\x20]+")
+_SPECIAL = "<|"
 
 
 class Encoder:
@@ -29,30 +32,36 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: list[str]) -> None:
-        """Enter the ids of unseen parts."""
-        if len(self.parts) > PARTS:
-            self.parts.clear()
-        if len(self.pieces) > PIECES:
-            self.pieces.clear()
-        plain, odd = {}, []
-        for p in parts:
-            if _PLAIN.fullmatch(p) and "<|" not in p:
-                plain[p] = _PIECE.findall(p.lower())
+        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4  # bytes that hold an id
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a piece
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces, a hundred to a text: the last id of each shows where the next begins."""
+        plain = [p for p in pieces if _PLAIN.fullmatch(p) and _SPECIAL not in p and " " not in p]
+        odd = [p for p in pieces if not (_PLAIN.fullmatch(p) and _SPECIAL not in p and " " not in p)]
+        for at, ids in zip(range(0, len(plain), 100), self._ids([" ".join(plain[i : i + 100]) for i in range(0, len(plain), 100)]), strict=True):
+            some = plain[at : at + 100]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                self.known.update(zip(some, (x.tobytes() for x in np.split(ids, cuts[:-1])), strict=True))
             else:
-                odd.append(p)
-        unseen = list({x for found in plain.values() for x in found if x not in self.pieces})
-        self.pieces.update(zip(unseen, self._library(unseen), strict=True))
-        get = self.pieces.__getitem__
-        for p, found in plain.items():
-            self.parts[p] = b"".join(map(get, found))
-        self.parts.update(zip(odd, self._library(odd), strict=True))
+                odd += some
+        self.known.update(zip(odd, (x.tobytes() for x in self._ids(odd)), strict=True))
+
+    def _split(self, text: str) -> list[str]:
+        """Texts whose ids, one after another, are those of ``text``."""
+        if _PLAIN.fullmatch(text) and _SPECIAL not in text:
+            return _PIECE.findall(text.lower())
+        out = []
+        for part in text.split(" "):
+            out += _PIECE.findall(part.lower()) if _PLAIN.fullmatch(part) and _SPECIAL not in part else [part]
+        return out
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without the end id; null is empty."""
@@ -62,16 +71,17 @@ class Encoder:
             while to < len(texts) and (to == at or chars < SLICE_CHARS):
                 chars += len(texts[to] or "")
                 to += 1
-            split = [(t or "").split(" ") for t in texts[at:to]]
-            missing = set().union(*split).difference(self.parts)
-            if missing:
-                before = len(self.parts)
-                self._learn(list(missing))
-                if len(self.parts) < before:  # emptied: what this slice needs is entered again
-                    self._learn([p for p in set().union(*split) if p not in self.parts])
-            get = self.parts.__getitem__
-            for parts in split:
-                yield b"".join(map(get, parts))
+            pieces = [self._split(t or "") for t in texts[at:to]]
+            wanted = set().union(*pieces)
+            unseen = [p for p in wanted if p not in self.known]
+            if len(self.known) + len(unseen) > PIECES:
+                self.known.clear()
+                unseen = list(wanted)
+            if unseen:
+                self._learn(unseen)
+            get = self.known.__getitem__
+            for found in pieces:
+                yield b"".join(map(get, found))
             at = to
 
 
