@@ -139,17 +139,20 @@ def diff_text(new, old) -> Column:
     """Signed difference with its share of the old value, e.g. ``+12（0.35%）``."""
     new, old = as_col(new), as_col(old)
     diff = new - old
-    signed = F.concat(F.when(diff > 0, F.lit("+")).otherwise(F.lit("")), diff.cast("string"))
-    # Half-up hundredths of a percent in integer arithmetic, so the text never depends on floating point.
-    hundredths = F.call_function(
-        "div", F.lit(20000) * F.abs(diff) + F.abs(old), F.nullif(F.lit(2) * F.abs(old), F.lit(0))
-    )
+    digits = F.regexp_replace(F.regexp_replace(diff.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    signed = F.concat(F.when(diff > 0, F.lit("+")).otherwise(F.lit("")), digits)
+    # Half-up hundredths of a percent in decimal arithmetic, so the text never depends on floating point.
+    # A share too large for a BIGINT is left out.
+    d, o = (F.abs(x).try_cast("decimal(30,6)") for x in (diff, old))
+    fits = d < o * F.lit(10**14)
+    hundredths = F.call_function("div", F.lit(20000) * F.when(fits, d) + o, F.nullif(F.lit(2) * o, F.lit(0)))
     percent = F.concat(
         F.call_function("div", hundredths, F.lit(100)).cast("string"),
         F.lit("."),
         F.lpad((hundredths % 100).cast("string"), 2, "0"),
     )
-    return F.when((diff == 0) | (old == 0), signed).otherwise(F.concat(signed, F.lit("（"), percent, F.lit("%）")))
+    shared = F.coalesce(F.concat(signed, F.lit("（"), percent, F.lit("%）")), signed)
+    return F.when((diff == 0) | (old == 0), signed).otherwise(shared)
 
 
 # ---- keys and positions ---------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import suppress
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
@@ -11,15 +12,18 @@ from pyspark.sql import functions as F
 from landfall.functions.columns import as_col
 
 
+#: The two accepted shapes. Blanks around a date are ignored, anything else is not a date.
+DATE_SHAPE = r"([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})"
+
+
 def parse_biz_date(text: str) -> str:
-    """Normalize one date text to YYYY-MM-DD or raise."""
-    text = text.strip()
-    if re.fullmatch(r"[0-9]{8}", text):
-        text = f"{text[:4]}-{text[4:6]}-{text[6:]}"
-    try:
-        return datetime.strptime(text, "%Y-%m-%d").date().isoformat()
-    except ValueError as exc:
-        raise ValueError(f"invalid business date: {text!r}") from exc
+    """The date of one text as YYYY-MM-DD; raises unless it has an accepted shape and exists."""
+    parts = re.fullmatch(DATE_SHAPE, text.strip(" "))
+    if parts:
+        year, _, month, day = parts.groups()
+        with suppress(ValueError):
+            return date(int(year), int(month), int(day)).isoformat()
+    raise ValueError(f"invalid business date: {text!r}")
 
 
 def resolve_biz_date(args: dict | None, env: str | None, now: datetime, scheduled: bool) -> str:
@@ -36,11 +40,8 @@ def resolve_biz_date(args: dict | None, env: str | None, now: datetime, schedule
 def normalize_biz_date(c) -> Column:
     """Column form of :func:`parse_biz_date`; an invalid text gives null."""
     text = F.trim(as_col(c))
-    dashed = F.when(
-        text.rlike("^[0-9]{8}$"),
-        F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)),
-    ).when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text)
-    return dashed.try_cast("date").cast("string")
+    whole = f"^{DATE_SHAPE}$"
+    return F.when(text.rlike(whole), F.regexp_replace(text, whole, "$1-$3-$4")).try_cast("date").cast("string")
 
 
 def window_bounds(dt: str, days: int, closed: bool = False) -> tuple[str, str]:

@@ -10,10 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.functions import as_col, diff_text
+from landfall.operators.partitions import combine_one_row
 
 NULL_MARK = "\\N"
+UNREADABLE_MARK = "\\?"
 SEPARATOR = "|"
 
 # Cell results and conclusions of the report.
@@ -24,19 +27,32 @@ PASS, CONDITIONAL, FAIL, INCOMPLETE = "通过", "条件通过", "不通过", "
 def canonical(c, type_: str = "string", zone: str | None = None) -> Column:
     """One value as comparable text.
 
-    ``decimal(p,s)`` fixes the scale; ``timestamp`` is cut to seconds, and with ``zone`` read as
-    wall-clock time of that zone and moved to UTC. Null gets a mark of its own, apart from
-    blank, and the mark and separator characters are escaped in ordinary text.
+    ``decimal(p,s)`` fixes the scale; ``timestamp`` keeps microseconds and ``timestamp(n)`` n digits
+    of a second; with ``zone`` it is read as wall-clock time of that zone and moved to UTC. Null
+    gets a mark of its own, apart from blank; a value that cannot be read as the type gets another
+    before its own text, so it differs from every readable one. Mark and separator characters are
+    escaped in ordinary text.
     """
     c = as_col(c)
-    if type_ == "timestamp":
-        ts = F.convert_timezone(F.lit(zone), F.lit("UTC"), c.cast("timestamp_ntz")) if zone else c.cast("timestamp_ntz")
-        text = F.substring(ts.cast("string"), 1, 19)
+    plain = F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\|"))
+    if type_.startswith("timestamp"):
+        digits = int(type_[10:-1]) if "(" in type_ else 6
+        ts = c.try_cast("timestamp_ntz")
+        ts = (F.convert_timezone(F.lit(zone), F.lit("UTC"), ts) if zone else ts).cast("string")
+        text = F.substring(ts, 1, 19)
+        if digits:
+            text = F.concat(text, F.lit("."), F.substring(F.rpad(F.substring(ts, 21, 6), 6, "0"), 1, digits))
     elif type_ == "string":
-        text = F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\|"))
+        text = plain
     else:
-        text = c.cast(type_).cast("string")
-    return F.coalesce(text, F.lit(NULL_MARK))
+        text = c.try_cast(type_).cast("string")
+    return F.coalesce(text, F.concat(F.lit(UNREADABLE_MARK), plain), F.lit(NULL_MARK))
+
+
+def unreadable_counts(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """One row: per column, how many values are present but cannot be read as the type."""
+    kinds = {c: "timestamp_ntz" if t.startswith("timestamp") else t for c, t in types.items()}
+    return df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c) for c, t in kinds.items()])
 
 
 def row_digest(types: dict[str, str], zones: dict[str, str] | None = None) -> Column:
@@ -66,10 +82,12 @@ def _stack(new: DataFrame, old: DataFrame, select) -> DataFrame:
 def compare_rows(new: DataFrame, old: DataFrame, keys: list[str], types: dict[str, str]) -> DataFrame:
     """Per key: rows on each side, status, and the names of the columns that differ.
 
-    A key that repeats is compared as a multiset of values per column.
+    A key that repeats is compared as a multiset of rows; the column names come from multisets of
+    values, and stay empty if only the pairing of values differs.
     """
     def select(df):
-        return [*[F.col(k) for k in keys], *[F.xxhash64(canonical(c, t)).alias(f"_d_{c}") for c, t in types.items()]]
+        row = F.xxhash64(*[canonical(c, t) for c, t in types.items()]) if types else F.lit(0).cast("bigint")
+        return [*[F.col(k) for k in keys], row.alias("_row"), *[F.xxhash64(canonical(c, t)).alias(f"_d_{c}") for c, t in types.items()]]
 
     is_new = F.col("_new") == 1
     sums = [
@@ -80,14 +98,15 @@ def compare_rows(new: DataFrame, old: DataFrame, keys: list[str], types: dict[st
             F.sum(F.when(~is_new, F.col(f"_d_{c}")).cast("decimal(20,0)")).alias(f"_o_{c}"),
         )
     ]
+    rows = [F.sum(F.when(side, F.col("_row")).cast("decimal(20,0)")) for side in (is_new, ~is_new)]
     grouped = _stack(new, old, select).groupBy(*keys).agg(
-        F.count_if(is_new).alias("n_new"), F.count_if(~is_new).alias("n_old"), *sums
+        F.count_if(is_new).alias("n_new"), F.count_if(~is_new).alias("n_old"), *sums, rows[0].eqNullSafe(rows[1]).alias("_rows_equal")
     )
     differing = F.array_compact(
         F.array(*[F.when(~F.col(f"_n_{c}").eqNullSafe(F.col(f"_o_{c}")), F.lit(c)) for c in types])
     )
     both = (F.col("n_new") > 0) & (F.col("n_old") > 0)
-    out = grouped.withColumn("_diff", differing).withColumn("_equal", F.array_size("_diff") == 0)
+    out = grouped.withColumn("_diff", differing).withColumn("_equal", (F.array_size("_diff") == 0) & F.col("_rows_equal"))
     return out.select(
         *keys, "n_new", "n_old", _status().alias("status"),
         F.when(both, F.concat_ws(",", "_diff")).otherwise(F.lit("")).alias("changed_columns"),
@@ -123,12 +142,16 @@ def align_snapshot(new: DataFrame, old: DataFrame, on: str) -> tuple[DataFrame,
     """Cut both copies to their common window on ``on`` and describe the boundary.
 
     Only the four bounds come to the driver; as literals they reach the scans as pushed filters.
+    Instants come as microseconds since the epoch, so the driver's time zone has no part in it.
     """
+    kind = new.schema[on].dataType
+    instant = isinstance(kind, T.TimestampType)
+
     def span(df, side):
         return df.agg(F.min(on).alias(f"{side}_from"), F.max(on).alias(f"{side}_to"))
 
-    window = span(new, "new").crossJoin(F.broadcast(span(old, "old")))
-    row = window.first()
+    window = combine_one_row(span(new, "new"), span(old, "old"))
+    row = window.select(*[(F.unix_micros(c) if instant else F.col(c)).alias(c) for c in window.columns]).first()
     present = row["new_from"] is not None and row["old_from"] is not None
     low = max(row["new_from"], row["old_from"]) if present else None
     high = min(row["new_to"], row["old_to"]) if present else None
@@ -136,8 +159,10 @@ def align_snapshot(new: DataFrame, old: DataFrame, on: str) -> tuple[DataFrame,
         name = "incomparable"
     else:
         name = "same" if (row["new_from"], row["new_to"]) == (row["old_from"], row["old_to"]) else "near"
-    kind = new.schema[on].dataType
-    low_col, high_col = (F.lit(None if x is None else str(x)).cast(kind) for x in (low, high))
+    if instant:
+        low_col, high_col = (F.timestamp_micros(F.lit(x).cast("bigint")) for x in (low, high))
+    else:
+        low_col, high_col = (F.lit(None if x is None else str(x)).cast(kind) for x in (low, high))
     boundary = window.select("*", low_col.alias("common_from"), high_col.alias("common_to"), F.lit(name).alias("boundary"))
     inside = F.col(on).between(low_col, high_col)
     return new.where(inside), old.where(inside), boundary
@@ -150,11 +175,12 @@ def common_metrics(new: DataFrame, old: DataFrame) -> DataFrame:
     )
 
 
-def two_system_report(new: DataFrame | None, old: DataFrame | None) -> DataFrame:
+def two_system_report(new: DataFrame | None, old: DataFrame | None, scale: int = 6) -> DataFrame:
     """Report ``metric, new_value, old_value, diff, result``.
 
-    Sides are ``(metric_name, metric_value)`` text frames with integer values; a value that is
-    not available on one side is shown as N/A, never as zero.
+    Sides are ``(metric_name, metric_value)`` text frames. Values that are numbers on both sides are
+    compared as decimals of ``scale`` places, others as text; a value that is not available on one
+    side is shown as N/A, never as zero.
     """
     present = new if new is not None else old
     if present is None:
@@ -162,7 +188,7 @@ def two_system_report(new: DataFrame | None, old: DataFrame | None) -> DataFrame
     nothing = present.where(F.lit(False)).select("metric_name", "metric_value")
     a = (new if new is not None else nothing).select("metric_name", F.col("metric_value").alias("_new"))
     b = (old if old is not None else nothing).select("metric_name", F.col("metric_value").alias("_old"))
-    n, o = F.col("_new").try_cast("bigint"), F.col("_old").try_cast("bigint")
+    n, o = (F.col(c).try_cast(f"decimal(38,{scale})") for c in ("_new", "_old"))
     available = F.col("_new").isNotNull() & F.col("_old").isNotNull()
     numeric = n.isNotNull() & o.isNotNull()
     return a.join(b, "metric_name", "full_outer").select(
@@ -171,7 +197,7 @@ def two_system_report(new: DataFrame | None, old: DataFrame | None) -> DataFrame
         F.coalesce("_old", F.lit(NOT_AVAILABLE)).alias("old_value"),
         F.when(numeric, diff_text(n, o)).otherwise(NOT_AVAILABLE).alias("diff"),
         F.when(~available, NOT_AVAILABLE)
-        .when(F.col("_new") == F.col("_old"), SAME)
+        .when(F.when(numeric, n == o).otherwise(F.col("_new") == F.col("_old")), SAME)
         .otherwise(DIFFERENT)
         .alias("result"),
     )
@@ -197,7 +223,7 @@ def report_verdict(report: DataFrame, boundary: str | DataFrame, must_be_zero: t
     if isinstance(boundary, str):
         facts = facts.withColumn("boundary", F.lit(boundary))
     else:
-        facts = facts.crossJoin(F.broadcast(boundary.select("boundary")))
+        facts = combine_one_row(facts, boundary.select("boundary"))
     conclusion = (
         F.when((F.col("boundary") == "incomparable") | (F.col("compared") == 0), INCOMPLETE)
         .when(F.col("faults") > 0, FAIL)
@@ -211,7 +237,9 @@ def report_verdict(report: DataFrame, boundary: str | DataFrame, must_be_zero: t
 def count_chain(stages: list[tuple[str, DataFrame, str]]) -> DataFrame:
     """Row counts along the way, with the change at each stage and its reason.
 
-    ``stages`` are ``(name, frame, reason)``; the window runs over one row per stage.
+    ``stages`` are ``(name, frame, reason)``; the window runs over one row per stage. A reason that
+    says which way the count must go (``filter`` and ``dedup`` down, ``expansion`` up) is checked
+    against the change and reported as ``contradicted`` otherwise.
     """
     rows = [
         df.agg(F.count("*").alias("row_count")).select(
@@ -224,7 +252,8 @@ def count_chain(stages: list[tuple[str, DataFrame, str]]) -> DataFrame:
         out = out.unionByName(row)
     before = F.lag("row_count").over(W.orderBy("stage_no"))
     delta = F.coalesce(F.col("row_count") - before, F.lit(0))
+    wrong = (F.col("reason").isin("filter", "dedup") & (delta > 0)) | ((F.col("reason") == "expansion") & (delta < 0))
     return out.select(
         "stage_no", "stage", "row_count", delta.alias("delta"),
-        F.when(delta == 0, "unchanged").otherwise(F.col("reason")).alias("reason"),
+        F.when(delta == 0, "unchanged").when(wrong, F.concat(F.lit("contradicted: "), "reason")).otherwise(F.col("reason")).alias("reason"),
     )

@@ -66,24 +66,25 @@ def unfold_tree(df: DataFrame, child: str, cols: list[str], parent: str = "rec")
     return exploded.select(*_others(df, parent), "node.*")
 
 
-def global_positions(staged: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
+def global_positions(staged: DataFrame, ranges: int = 256) -> DataFrame:
     """Add ``global_pos``: the position of a record over all envelopes of the batch.
 
-    Counts per envelope are summed in two steps, within a writer task and over tasks, so no
-    window ever holds more than the envelopes of one task or the list of tasks. The envelopes
-    are counted first: up to ``max_broadcast`` their offsets are broadcast and the records stay
-    where they are; beyond it the offsets are joined by shuffle.
+    Counts per envelope are summed in two steps, within a range of shard numbers and over the
+    ranges, so no window holds more than one range or the list of ranges, however envelopes are
+    numbered. The ends of the ranges are quantiles, at most ``ranges`` of them; how the offsets
+    are joined is left to the planner.
     """
-    per_shard = staged.groupBy("shard_no").agg(F.count("pos").alias("n"))
-    per_shard = per_shard.withColumn("task", F.shiftright("shard_no", 33))
+    shards = staged.groupBy("shard_no").agg(F.count("pos").alias("n"))
+    asked = [k / ranges for k in range(1, ranges)]
+    ends = staged.select("shard_no").agg(F.percentile_approx("shard_no", asked, 20 * ranges)).first()[0] or []
+    bounds = F.array(*[F.lit(e) for e in sorted(set(ends))]).cast("array<bigint>")
+    shards = shards.withColumn("part", F.array_size(F.filter(bounds, lambda e: e < F.col("shard_no"))))
     before = (W.unboundedPreceding, -1)
-    per_task = per_shard.groupBy("task").agg(F.sum("n").alias("task_n"))
-    per_task = per_task.select(
-        "task", F.coalesce(F.sum("task_n").over(W.orderBy("task").rowsBetween(*before)), F.lit(0)).alias("task_base")
+    parts = shards.groupBy("part").agg(F.sum("n").alias("part_n"))
+    parts = parts.select(
+        "part", F.coalesce(F.sum("part_n").over(W.orderBy("part").rowsBetween(*before)), F.lit(0)).alias("part_base")
     )
-    inner = W.partitionBy("task").orderBy("shard_no").rowsBetween(*before)
-    bases = per_shard.withColumn("shard_base", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(per_task, "task")
-    bases = bases.select("shard_no", (F.col("task_base") + F.col("shard_base")).alias("base"))
-    if per_shard.count() <= max_broadcast:
-        bases = F.broadcast(bases)
+    inner = W.partitionBy("part").orderBy("shard_no").rowsBetween(*before)
+    bases = shards.withColumn("shard_base", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(parts, "part")
+    bases = bases.select("shard_no", (F.col("part_base") + F.col("shard_base")).alias("base"))
     return staged.join(bases, "shard_no").withColumn("global_pos", F.col("base") + F.col("pos")).drop("base")

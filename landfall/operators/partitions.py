@@ -11,16 +11,14 @@ def touched_partitions(df: DataFrame, day: Column, where: Column | None = None)
     return (df if where is None else df.where(where)).select(day.alias("dt")).distinct()
 
 
-def touched_target(target: DataFrame, touched: DataFrame, max_days: int = 400) -> DataFrame:
+def touched_target(target: DataFrame, touched: DataFrame) -> DataFrame:
     """Rows of the target in the touched partitions.
 
-    Up to ``max_days`` days become a literal partition filter, so other folders are not even
-    listed for reading; a larger set is joined instead.
+    The days become a literal partition filter, so other folders are not even listed for reading.
+    What the driver holds is one text for each distinct day of the batch.
     """
-    days = [r[0] for r in touched.select("dt").limit(max_days + 1).collect()]
-    if len(days) <= max_days:
-        return target.where(F.col("dt").isin(days))
-    return target.join(touched.select("dt"), "dt", "left_semi")
+    days = [r[0] for r in touched.select("dt").distinct().collect()]
+    return target.where(F.col("dt").isin(days))
 
 
 def last_partitions(df: DataFrame, dt: str, n: int = 7) -> DataFrame:
@@ -33,6 +31,13 @@ def recent_partitions(df: DataFrame, dt: str, n: int = 7) -> DataFrame:
     return df.join(F.broadcast(last_partitions(df, dt, n)), "dt", "left_semi")
 
 
+def _single(df: DataFrame) -> DataFrame:
+    """The only row of a frame; the job fails if there is none or another."""
+    one = df.agg(F.count("*").alias("n"), F.first(F.struct(*[F.col(c) for c in df.columns])).alias("row"))
+    broken = F.raise_error(F.concat(F.lit("one row expected, got "), F.col("n").cast("string")))
+    return one.select(F.when(F.col("n") == 1, F.col("row")).otherwise(broken).alias("row")).select("row.*")
+
+
 def combine_one_row(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put two one-row aggregates side by side."""
-    return a.crossJoin(F.broadcast(b))
+    """Put two one-row aggregates side by side; other frames are refused when the plan runs."""
+    return _single(a).crossJoin(F.broadcast(_single(b)))

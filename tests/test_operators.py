@@ -113,7 +113,7 @@ def test_global_positions_are_dense_over_all_envelopes(spark):
     random.Random(1).shuffle(data)
     df = spark.createDataFrame(data, "shard_no bigint, pos int")
     rows = global_positions(df).collect()
-    assert sorted(map(tuple, global_positions(df, max_broadcast=2).collect())) == sorted(map(tuple, rows))
+    assert sorted(map(tuple, global_positions(df, ranges=2).collect())) == sorted(map(tuple, rows))
     assert sorted(r.global_pos for r in rows) == list(range(11))
     ordered = sorted(rows, key=lambda r: r.global_pos)
     assert [(r.shard_no, r.pos) for r in ordered] == sorted(data)
@@ -191,7 +191,7 @@ def test_partition_choice(spark, tmp_path):
     touched = spark.createDataFrame([("2024-01-02",), ("2024-01-09",), ("2030-01-01",)], "dt string")
     pruned = touched_target(df, touched)
     assert pruned.count() == 2 and "PartitionFilters: [dt" in plan(pruned)
-    assert touched_target(df, touched, max_days=1).count() == 2
+    assert touched_target(df, touched).count() == 2
 
 
 # ---- aggregates ---------------------------------------------------------------------
