@@ -144,7 +144,7 @@ def diff_text(new, old) -> Column:
     # Half-up hundredths of a percent in decimal arithmetic, so the text never depends on floating point.
     # A share too large for a BIGINT is left out.
     d, o = (F.abs(x).try_cast("decimal(30,6)") for x in (diff, old))
-    fits = d < o * F.lit(10**14)
+    fits = d < F.try_multiply(o, F.lit(10**9))
     hundredths = F.call_function("div", F.lit(20000) * F.when(fits, d) + o, F.nullif(F.lit(2) * o, F.lit(0)))
     percent = F.concat(
         F.call_function("div", hundredths, F.lit(100)).cast("string"),

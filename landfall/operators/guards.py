@@ -68,16 +68,24 @@ def _envelope_rules(spec: DatasetSpec) -> list[tuple[str, Column]]:
     if spec.empty_policy == "ALLOW":
         empty = F.lit(False)
     mismatch = ("RECORD_COUNT_MISMATCH", declared != actual)
+    lost = ("MISSING_SHARD", (actual != F.col("batch_count")) | (F.col("low_batch_count") != F.col("batch_count")))
     rules = [("CORRUPT_ENVELOPE", F.col("corrupt_count") > 0)]
     if spec.max_envelopes is None and spec.mode == "filtered":
         nothing = absent if spec.empty_policy == "ALLOW" else absent | (actual == 0)
-        return [*rules, ("EMPTY_OSS_SOURCE", nothing), mismatch]
+        return [*rules, ("EMPTY_OSS_SOURCE", nothing), mismatch, lost]
     rules.append(("EMPTY_OSS_SOURCE", absent))
     if spec.max_envelopes is not None:
-        rules.append(("UNEXPECTED_ENVELOPE_COUNT", F.col("envelope_count") > spec.max_envelopes))
+        stated = F.col("batch_count").isNotNull()
+        rules.append(("UNEXPECTED_ENVELOPE_COUNT", ~stated & (F.col("envelope_count") > spec.max_envelopes)))
     if spec.mode == "strict":
         rules.append(("INVALID_ENVELOPE_METADATA", F.col("invalid_metadata_count") > 0))
-    return [*rules, (spec.empty_code, empty), mismatch]
+    return [*rules, (spec.empty_code, empty), mismatch, lost]
+
+
+def _batch_counts(counted: Column, columns: list[str]) -> list[Column]:
+    """Sizes of the whole batch as its envelopes state them; null where none does."""
+    stated = F.when(counted, F.col("batch_count")) if "batch_count" in columns else F.lit(None).cast("bigint")
+    return [F.max(stated).alias("batch_count"), F.min(stated).alias("low_batch_count")]
 
 
 def envelope_verdict(envelopes: DataFrame, spec: DatasetSpec, dt: str) -> DataFrame:
@@ -95,6 +103,7 @@ def envelope_verdict(envelopes: DataFrame, spec: DatasetSpec, dt: str) -> DataFr
         count_where(mine & metadata_broken(spec, dt)).alias("invalid_metadata_count"),
         sum0(F.when(mine, F.col("record_count"))).alias("declared_count"),
         sum0(F.when(mine, F.array_size("data"))).alias("actual_count"),
+        *_batch_counts(mine, envelopes.columns),
     )
     return verdict(measures, _envelope_rules(spec), "actual_count")
 
@@ -113,6 +122,7 @@ def staged_envelope_verdict(staged: DataFrame, spec: DatasetSpec, dt: str) -> Da
         sum0(F.when(mine & first, F.col("record_count"))).alias("declared_count"),
         count_where(mine & F.col("pos").isNotNull()).alias("actual_count"),
         F.countDistinct(F.when(mine & first, F.col("shard_no"))).alias("shard_count"),
+        *_batch_counts(mine & first, staged.columns),
     )
     repeated = ("DUPLICATE_SHARD", F.col("shard_count") != F.col("envelope_count"))
     return verdict(measures, [*_envelope_rules(spec), repeated], "actual_count")
@@ -123,12 +133,17 @@ def envelope_guard(envelopes: DataFrame, spec: DatasetSpec, dt: str) -> int:
     return run_guards([Guard("envelope", envelope_verdict(envelopes, spec, dt))])["envelope"]
 
 
-def bad_key(keys, digit_keys=(), time_columns=(), time_shape: str = "datetime", parent: str = "rec") -> Column:
-    """True where a required key is missing, malformed, or a required time has the wrong shape."""
+def bad_key(
+    keys, digit_keys=(), time_columns=(), time_shape: str = "datetime", parent: str = "rec", strict: bool = False
+) -> Column:
+    """True where a required key is missing, malformed, or a required time has the wrong shape.
+
+    ``strict`` also refuses a time that no calendar has.
+    """
     shape = is_datetime_text if time_shape == "datetime" else has_date_prefix
     tests = [is_blank(F.col(f"{parent}.{k}").cast("string")) for k in keys]
     tests += [~is_digits(f"{parent}.{k}") for k in digit_keys]
-    tests += [~shape(f"{parent}.{t}") for t in time_columns]
+    tests += [~shape(f"{parent}.{t}", strict) for t in time_columns]
     broken = F.lit(False)
     for t in tests:
         broken = broken | t
@@ -145,7 +160,7 @@ def any_cast_fault(casts) -> Column:
 
 def record_verdict(records: DataFrame, spec: DatasetSpec, parent: str = "rec") -> DataFrame:
     """Required keys and times, lossy casts, then uniqueness of the record key."""
-    broken = bad_key(spec.keys, spec.digit_keys, spec.time_columns, spec.time_shape, parent)
+    broken = bad_key(spec.keys, spec.digit_keys, spec.time_columns, spec.time_shape, parent, spec.strict_times)
     unique = F.countDistinct(f"{parent}.{spec.unique}") if spec.unique else F.count("*")
     measures = records.agg(
         F.count("*").alias("record_count"),
@@ -187,5 +202,5 @@ def child_verdict(
 
 def child_guard(records: DataFrame, spec: DatasetSpec) -> int:
     expanded = expand_children(records, spec.child)
-    frame = child_verdict(expanded, f"rec.{spec.unique}", f"item.{spec.child_key}")
+    frame = child_verdict(expanded, f"rec.{spec.unique}", f"item.{spec.child_key}", on_duplicate=spec.on_duplicate)
     return run_guards([Guard("child", frame)])["child"]

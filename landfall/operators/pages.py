@@ -95,6 +95,15 @@ def record_faults(records: DataFrame, id_col: str, is_object: Column | None = No
     )
 
 
+#: Faults of pages in order of precedence; the first that occurs names the refusal.
+PAGE_FAULTS = ("TOTAL_CHANGED", "PAGE_LIMIT", "OFFSET_LIMIT", "PAGE_GAP", "DUPLICATE_PAGE", "TOTAL_MISMATCH")
+
+
+def unplanned_keys(plan: DataFrame, results: DataFrame) -> DataFrame:
+    """Keys with a result that nothing had asked for."""
+    return results.select("key").distinct().join(plan.select("key"), "key", "left_anti")
+
+
 def missing_keys(plan: DataFrame, results: DataFrame) -> DataFrame:
     """Planned keys without a result."""
     return plan.join(results.select("key").distinct(), "key", "left_anti")
@@ -133,15 +142,19 @@ def record_fault_verdict(faults: DataFrame, empty_policy: str = "FAIL") -> DataF
 
 
 def landing_guard(
-    pages: DataFrame, plan: DataFrame, id_col: str, max_page: int | None = None, empty_policy: str = "FAIL"
+    pages: DataFrame, plan: DataFrame, id_col: str, max_page: int | None = None, empty_policy: str = "FAIL",
+    max_offset: int | None = None,
 ) -> int:
     """Everything that must hold before an extract is published; returns its record count."""
     absent = missing_keys(plan, pages).count()
     if absent:
         raise GuardError("MISSING_KEY", {"missing_keys": absent})
-    faults = page_faults(pages, max_page).groupBy("kind").agg(F.count("*").alias("n")).collect()
+    stray = unplanned_keys(plan, pages).count()
+    if stray:
+        raise GuardError("UNPLANNED_KEY", {"unplanned_keys": stray})
+    faults = page_faults(pages, max_page, max_offset=max_offset).groupBy("kind").agg(F.count("*").alias("n")).collect()
     if faults:
         counts = {r["kind"]: r["n"] for r in faults}
-        raise GuardError(min(counts), counts)
+        raise GuardError(next(kind for kind in PAGE_FAULTS if kind in counts), counts)
     frame = record_fault_verdict(record_faults(collect_pages(pages), f"rec.{id_col}"), empty_policy)
     return run_guards([Guard("records", frame)])["records"]

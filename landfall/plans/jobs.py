@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.functions import batch_position_id, position_overflow
 from landfall.operators.aggregates import count_where
@@ -30,14 +31,18 @@ from landfall.plans.restocking import NODE_COLUMNS, seller_join
 from landfall.plans.shipments import listing_join
 from landfall.session import Scratch, pin
 from landfall.sources.envelopes import (
+    CORRUPT,
     matching_envelopes,
     read_envelopes,
     stage_batch,
     write_empty_envelope,
+    write_json,
 )
-from landfall.sources.flat import read_flat, write_routed
+from landfall.sources.flat import read_flat, stored_formats, write_routed
 from landfall.sources.keys import read_keys, valid_keys
 from landfall.sources.publish import publish_partition, publish_touched
+from landfall.sources.schemas import StorageConflict
+from landfall.sources.tables import ensure_table, register_partitions
 from landfall.spec import DatasetSpec, contract_schema
 
 
@@ -52,6 +57,14 @@ def read_target(spark: SparkSession, spec: DatasetSpec, dt: str | None = None) -
     return target.where(F.col("dt") == dt) if dt else target
 
 
+def expose(spark: SparkSession, spec: DatasetSpec, days: list[str]) -> None:
+    """Make published days visible in the dataset's catalog table, creating it from the contract if it is new."""
+    if spec.table:
+        ensure_table(spark, spec.table, spec.fields, spec.target)
+        register_partitions(spark, spec.table, {d: f"{spec.target}/dt={d}" for d in days})
+        spark.catalog.refreshTable(spec.table)
+
+
 def _early(spec: DatasetSpec, df: DataFrame, *extra) -> DataFrame:
     """Flatten to the contract columns known before the join, so the shuffle carries nothing else."""
     return df.select(*[f.build().cast(f.type).alias(f.name) for f in spec.fields if not f.late], *extra)
@@ -93,6 +106,7 @@ def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataF
         )
         rows = parent_child_detail(spec, records, dim, scratch)
         publish_partition(rows, spec.target, dt, spec.empty_policy, checked["child"])
+        expose(spark, spec, [dt])
         report = quality_parent_child(
             records, read_target(spark, spec, dt), dt, spec.child, spec.unique, "relate_id",
             ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"], "shipment",
@@ -120,6 +134,8 @@ def run_dynamic_dates(spark: SparkSession, spec: DatasetSpec, dt: str) -> DataFr
         )
         publish_touched(dynamic_dates_detail(spec, records), spec.target)
         touched = touched_partitions(records, partition_day())
+        if spec.table:
+            expose(spark, spec, [r.dt for r in touched.collect() if r.dt is not None])
         return pin(quality_touched(
             read_target(spark, spec), touched, "business_id", "id", "queue_create_time", "update_time"
         ))
@@ -169,20 +185,22 @@ def run_tree(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) ->
         checked = run_guards([envelope, Guard("nodes", tree_node_verdict(spec, nodes))])
         rows = tree_detail(spec, nodes, dim, dt, scratch)
         publish_partition(rows, spec.target, dt, spec.empty_policy, checked["nodes"])
+        expose(spark, spec, [dt])
         return pin(quality_tree(read_target(spark, spec, dt), dt))
 
 
 def run_landing(
     spark: SparkSession, spec: DatasetSpec, dt: str, pages: DataFrame, sync_time: str, id_col: str,
     upstream: str | None = None, upstream_key: str = "sid", max_page: int | None = None, closed_window: bool = False,
-    manifest: str | None = None, est_rows: int | None = None,
+    manifest: str | None = None, est_rows: int | None = None, max_offset: int | None = None, batch_id: str = "",
 ) -> DataFrame:
     """Landed pages to a published batch; returns one row of what was landed.
 
     With ``upstream`` the plan is one request per valid key of that same-date dataset; without
     it the plan is the keys of the pages themselves (one shared task or one windowed pull).
-    Nothing is written until every key is present and every page and record check passes; the
-    manifest row comes last, after the landed files have been read back and counted.
+    Nothing is written until every key is present, none is unplanned, and every page and record
+    check passes. The batch is then written beside the dataset, read back and counted, and only
+    a complete copy replaces the day; the manifest row comes last.
     """
     with Scratch(spark) as scratch:
         # Guards and the write read the same files, so what was checked is what is landed.
@@ -195,26 +213,43 @@ def run_landing(
         else:
             keys = pages.select("key").distinct()
         plan = request_plan(keys, dt, spec.window_days or 1, closed_window)
-        count = landing_guard(pages, plan, id_col, max_page, spec.empty_policy)
+        count = landing_guard(pages, plan, id_col, max_page, spec.empty_policy, max_offset)
+        beside = replace(spec, root=scratch.path("landing"))
         if count == 0:
-            write_empty_envelope(spark, spec.root, spec, dt, sync_time)
-            choice = "nested-json"
+            write_empty_envelope(spark, beside.root, spec, dt, sync_time)
+            choice, written = "nested-json", spec.record_schema
         else:
             records = collect_pages(pages).select("rec.*")
-            estimate = count if est_rows is None else est_rows
-            choice = write_routed(records, spec.root, spec, dt, sync_time, estimate, rows=count)
-    landed = count_landed(spark, spec, dt, choice)
-    if landed != count:
-        raise GuardError("ROW_COUNT_MISMATCH", {"landed": landed, "expected": count})
+            estimate, written = count if est_rows is None else est_rows, records.schema
+            present = stored_formats(spark, spec.root)
+            if present == {"parquet"} and not spec.storage:
+                beside = replace(beside, storage="parquet")
+            choice = write_routed(records, beside.root, beside, dt, sync_time, estimate, rows=count)
+            if present - {"parquet" if choice == "parquet" else "json"}:
+                raise StorageConflict(f"{spec.root} holds {sorted(present)}, the batch is {choice}")
+        landed = count_landed(spark, beside, dt, choice)
+        if landed != count:
+            raise GuardError("ROW_COUNT_MISMATCH", {"landed": landed, "expected": count})
+        promote(spark, beside.root, spec.root, dt, choice, written)
     row = [(spec.name, dt, choice, count, landed)]
     result = spark.createDataFrame(
         row, "dataset string, dt string, storage string, checked_count bigint, landed_count bigint"
     )
     if manifest:
-        result.coalesce(1).write.mode("append").parquet(manifest)
+        noted = result.withColumn("batch_id", F.lit(batch_id)) if batch_id else result
+        noted.coalesce(1).write.mode("append").parquet(manifest)
     return result
 
 
+def promote(spark: SparkSession, beside: str, root: str, dt: str, choice: str, record_schema: T.StructType) -> None:
+    """Replace one day by the checked copy of it; the old day stays until the new one is committed."""
+    if choice == "parquet":
+        day = spark.read.parquet(f"{beside}/dt={dt}").withColumn("dt", F.lit(dt))
+        day.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("dt").parquet(root)
+    else:
+        write_json(read_envelopes(spark, beside, record_schema, dt).drop(CORRUPT, "dt"), root, dt)
+
+
 def count_landed(spark: SparkSession, spec: DatasetSpec, dt: str, choice: str) -> int:
     """Read a landed batch back and count its records, envelopes through their own guard."""
     if choice == "parquet":

@@ -41,10 +41,14 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(text)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def path(self, name: str) -> str:
+        """A fresh folder that goes with the job."""
+        self.paths.append(new_dir(self.spark, name))
+        return self.paths[-1]
+
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write once as Parquet and read back: cuts lineage and survives executor loss."""
-        path = new_dir(self.spark, name)
-        self.paths.append(path)
+        path = self.path(name)
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from landfall.session import Scratch
 from landfall.spec import DatasetSpec
 
 CORRUPT = "_corrupt"
-ENVELOPE_COLUMNS = ("source", "dataset", "biz_date", "record_count", "sync_time", "shard_no")
+ENVELOPE_COLUMNS = ("source", "dataset", "biz_date", "record_count", "sync_time", "shard_no", "batch_count")
 
 
 def envelope_schema(record_schema: T.StructType) -> T.StructType:
@@ -22,7 +23,8 @@ def envelope_schema(record_schema: T.StructType) -> T.StructType:
     ``dt`` is declared as text; left to inference it would become a DATE.
     """
     head = T.StructType.fromDDL(
-        "source STRING, dataset STRING, biz_date STRING, record_count BIGINT, sync_time STRING, shard_no BIGINT"
+        "source STRING, dataset STRING, biz_date STRING, record_count BIGINT, sync_time STRING, shard_no BIGINT,"
+        " batch_count BIGINT"
     )
     return (
         head.add("data", T.ArrayType(record_schema)).add(CORRUPT, T.StringType()).add("dt", T.StringType())
@@ -30,15 +32,24 @@ def envelope_schema(record_schema: T.StructType) -> T.StructType:
 
 
 def read_envelopes(spark: SparkSession, root: str, record_schema: T.StructType, dt: str | None = None) -> DataFrame:
-    """Scan ``root/dt=…/*.json`` with a declared schema; other files are not read."""
-    df = (
+    """Scan ``root/dt=…/*.json`` with a declared schema; other files are not read.
+
+    One date is read from its own folder, so no other is listed; a date without a folder is empty.
+    """
+    reader = (
         spark.read.schema(envelope_schema(record_schema))
         .option("pathGlobFilter", "*.json")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("basePath", root)
-        .json(root)
     )
-    return batch(df, dt) if dt else df
+    if dt is None:
+        return reader.json(root)
+    try:
+        return batch(reader.json(f"{root}/dt={dt}"), dt)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], envelope_schema(record_schema))
 
 
 def batch(df: DataFrame, dt: str) -> DataFrame:
@@ -64,15 +75,20 @@ def write_envelopes(
 
     Every task cuts its own rows into envelopes, so nothing is shuffled, no key can make a
     group large, and no row ever holds a whole batch. The Arrow step only sets list offsets
-    over the record batch it is given. With a known row count no more tasks are used than
-    there are envelopes to fill, so a batch that fits one envelope becomes exactly one.
+    over the record batch it is given. A known row count is stated in every envelope as the size
+    of the whole batch, by which a reader notices a lost one; a batch that fits one envelope
+    becomes exactly one, however Arrow cuts its batches.
     """
-    if rows is not None:
-        df = df.coalesce(max(1, -(-rows // records_per_envelope)))
+    single = rows is not None and rows <= records_per_envelope
+    if single:
+        df = df.coalesce(1)
     head = [spec.source, spec.name, dt, sync_time]
 
     def wrap(batches):
         task, chunk = TaskContext.get().partitionId(), 0
+        if single:
+            whole = list(batches)
+            batches = pa.Table.from_batches(whole).combine_chunks().to_batches() if whole else []
         for records in batches:
             n = records.num_rows
             cuts = [*range(0, n, records_per_envelope), n]
@@ -81,26 +97,28 @@ def write_envelopes(
             columns = [pa.array([value] * len(sizes)) for value in head]
             shards = pa.array([(task << 33) | (chunk + i) for i in range(len(sizes))], pa.int64())
             chunk += len(sizes)
+            total = pa.array([rows] * len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*columns, shards, pa.array(sizes, pa.int64()), lists],
-                ["source", "dataset", "biz_date", "sync_time", "shard_no", "record_count", "data"],
+                [*columns, shards, total, pa.array(sizes, pa.int64()), lists],
+                ["source", "dataset", "biz_date", "sync_time", "shard_no", "batch_count", "record_count", "data"],
             )
 
     schema = T.StructType.fromDDL(
-        "source STRING, dataset STRING, biz_date STRING, sync_time STRING, shard_no BIGINT, record_count BIGINT"
+        "source STRING, dataset STRING, biz_date STRING, sync_time STRING, shard_no BIGINT, batch_count BIGINT,"
+        " record_count BIGINT"
     ).add("data", T.ArrayType(df.schema))
-    _write_json(df.mapInArrow(wrap, schema), root, dt)
+    write_json(df.mapInArrow(wrap, schema), root, dt)
 
 
 def write_empty_envelope(spark: SparkSession, root: str, spec: DatasetSpec, dt: str, sync_time: str) -> None:
     """Land a valid empty day: one envelope declaring zero records."""
-    row = [(spec.source, spec.name, dt, sync_time, 0, 0)]
-    head = "source STRING, dataset STRING, biz_date STRING, sync_time STRING, shard_no BIGINT, record_count BIGINT"
+    row = [(spec.source, spec.name, dt, sync_time, 0, 0, 0)]
+    head = "source STRING, dataset STRING, biz_date STRING, sync_time STRING, shard_no BIGINT, batch_count BIGINT, record_count BIGINT"
     empty = F.array().cast(T.ArrayType(spec.record_schema))
-    _write_json(spark.createDataFrame(row, head).coalesce(1).withColumn("data", empty), root, dt)
+    write_json(spark.createDataFrame(row, head).coalesce(1).withColumn("data", empty), root, dt)
 
 
-def _write_json(df: DataFrame, root: str, dt: str) -> None:
+def write_json(df: DataFrame, root: str, dt: str) -> None:
     """Dynamic overwrite keeps the old batch until the new one is committed."""
     writer = df.withColumn("dt", F.lit(dt)).write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     writer.partitionBy("dt").json(root)
@@ -114,7 +132,7 @@ def stage_batch(envelopes: DataFrame, scratch: Scratch) -> DataFrame:
     ``coalesce(pos, 0) = 0`` marks one row per envelope.
     """
     numbered = envelopes.select(
-        *[F.col(c) for c in ENVELOPE_COLUMNS if c != "shard_no"],
+        *[F.col(c) for c in ENVELOPE_COLUMNS if c != "shard_no" and c in envelopes.columns],
         F.coalesce("shard_no", F.monotonically_increasing_id()).alias("shard_no"),
         F.col(CORRUPT).isNotNull().alias("corrupt"),
         "dt",

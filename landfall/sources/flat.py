@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.sources.envelopes import write_envelopes
-from landfall.sources.schemas import assert_schema, choose_storage, is_nested
+from landfall.sources.schemas import SchemaError, StorageConflict, choose_storage, is_nested, schema_diff
 from landfall.spec import DatasetSpec
 
 
@@ -34,19 +37,57 @@ def write_flat(df: DataFrame, root: str, field_types: dict[str, str], dt: str, s
 
 
 def read_flat(spark: SparkSession, root: str, field_types: dict[str, str], dt: str | None = None) -> DataFrame:
-    """Scan flat batches; the files' own schema must equal the declared one."""
+    """Scan flat batches; the schema of every file of the requested days must equal the declared one.
+
+    Each footer is read by itself: a merged schema would show a column that only some files have,
+    and the others would return it as null.
+    """
     schema = flat_schema(field_types)
-    assert_schema(spark.read.parquet(root).drop("dt"), schema)
-    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("dt", T.StringType())])).parquet(root)
-    return df.where(F.col("dt") == dt) if dt else df
+    path = f"{root}/dt={dt}" if dt else root
+    files = spark.read.parquet(path).inputFiles()
+    with ThreadPoolExecutor(16) as pool:
+        actual = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+    for file, found in zip(files, actual, strict=True):
+        if problems := schema_diff(found, schema):
+            raise SchemaError(f"{file}: {'; '.join(problems)}")
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField("dt", T.StringType())]))
+    return reader.option("basePath", root).parquet(path)
+
+
+def stored_formats(spark: SparkSession, root: str) -> set[str]:
+    """Which of JSON and Parquet files lie anywhere under a root; only names are listed."""
+    found = set()
+    for name in ("json", "parquet"):
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{name}")
+        try:
+            if not reader.load(root).select("path").isEmpty():
+                found.add(name)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
 
 
 def write_routed(
     df: DataFrame, root: str, spec: DatasetSpec, dt: str, sync_time: str, est_rows: int | None,
     small_rows: int = 100_000, rows: int | None = None,
 ) -> str:
-    """Choose the storage from the schema and volume, write, and return the choice."""
-    choice = choose_storage(df.schema, est_rows, small_rows)
+    """Write in the dataset's storage and return it.
+
+    A dataset has one storage, that of its ``spec``. Without one, its first landing decides from
+    the schema and volume, and later ones follow what the root holds; a root in another format
+    is refused, since a reader of one format does not see days of the other.
+    """
+    present = stored_formats(df.sparkSession, root)
+    if spec.storage:
+        choice = spec.storage
+    elif len(present) == 1:
+        choice = "parquet" if present == {"parquet"} else choose_storage(df.schema, 0)
+    else:
+        choice = choose_storage(df.schema, est_rows, small_rows)
+    wanted = "parquet" if choice == "parquet" else "json"
+    if present - {wanted} or (choice == "parquet" and is_nested(df.schema)):
+        raise StorageConflict(f"{root} holds {sorted(present)}, the batch is to be {choice}")
     if choice == "parquet":
         types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         write_flat(df, root, {**types, "biz_date": "string", "sync_time": "string"}, dt, sync_time)

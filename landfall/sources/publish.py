@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.session import Scratch
@@ -18,19 +18,18 @@ def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
-def _partition_rows(spark: SparkSession, path: str, schema, dt: str) -> int:
-    return spark.read.schema(schema).parquet(path).where(F.col("dt") == dt).count()
-
-
 def publish_partition(df: DataFrame, path: str, dt: str, empty_policy: str = "FAIL", rows: int | None = None) -> None:
     """Replace exactly one partition.
 
     Dynamic mode replaces only partitions that receive rows, so a valid empty day is written
     explicitly as an empty partition; otherwise an old one would survive.
-    ``rows`` is the already known row count of ``df``, if a guard has produced it.
+    ``rows`` is the already known row count of ``df``, if a guard has produced it; otherwise the
+    batch is written to a scratch table first, so it is evaluated once.
     """
     if rows is None:
-        rows = 0 if df.isEmpty() else 1
+        with Scratch(df.sparkSession) as scratch:
+            staged = scratch.materialize(df, "publish")
+            return publish_partition(staged, path, dt, empty_policy, staged.count())
     if rows == 0:
         check_empty(0, empty_policy)
         df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{path}/dt={dt}")

@@ -13,6 +13,10 @@ class StorageUndecided(ValueError):
     """Not enough is known to choose a storage format."""
 
 
+class StorageConflict(ValueError):
+    """A dataset's root already holds another storage format."""
+
+
 def schema_diff(actual: T.StructType, expected: T.StructType) -> list[str]:
     """Differences in names, order and types; nullability is not part of the contract."""
     out = []

@@ -29,6 +29,13 @@ def register_partition(spark: SparkSession, table: str, dt: str, location: str)
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt='{_quote(dt)}') LOCATION '{_quote(location)}'")
 
 
+def register_partitions(spark: SparkSession, table: str, locations: dict[str, str]) -> None:
+    """Point several partitions at their folders in one statement; known ones stay as they are."""
+    if locations:
+        parts = " ".join(f"PARTITION (dt='{_quote(d)}') LOCATION '{_quote(p)}'" for d, p in sorted(locations.items()))
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+
+
 def read_legacy(
     spark: SparkSession, source, table: str | None, predicates: list[str], columns: list[str], properties=None
 ) -> DataFrame:

@@ -22,13 +22,18 @@ class Field:
 
 @dataclass(frozen=True)
 class DatasetSpec:
-    """One dataset. ``max_envelopes=1`` is the single-file contract; ``None`` allows shards."""
+    """One dataset. ``max_envelopes=1`` is the single-file contract; ``None`` allows shards.
+
+    Envelopes that state the size of their whole batch prove their completeness themselves and are
+    accepted in any number.
+    """
 
     name: str
     source: str
     record_ddl: str
     root: str = ""
     target: str = ""
+    table: str = ""  # catalog table over ``target``; the jobs keep it and its partitions up to date
     mode: str = "strict"
     max_envelopes: int | None = 1
     empty_code: str = "EMPTY_DATA"
@@ -47,6 +52,8 @@ class DatasetSpec:
     empty_policy: str = "FAIL"
     on_duplicate: str = "fail"
     casts: tuple[tuple[str, str], ...] = ()
+    strict_times: bool = False  # required times must also be real calendar dates
+    storage: str | None = None  # decided once per dataset; None lets the first landing decide
 
     @property
     def record_schema(self) -> T.StructType:
