@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -8,6 +9,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from pyspark.sql import SparkSession  # noqa: E402
 
 
+SCRATCH = tempfile.TemporaryDirectory(prefix="landfall-tests-", ignore_cleanup_errors=True)  # goes when the process ends
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (
@@ -16,6 +20,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", SCRATCH.name)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

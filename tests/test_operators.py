@@ -324,7 +324,7 @@ def test_repeated_keys_compare_as_multisets_without_pairs(spark):
 def test_zones_and_scales_are_normalized(spark):
     new = spark.sql("SELECT 1 AS k, timestamp_ntz'2024-01-01 00:00:00' AS at, 1.10D AS p")
     old = spark.sql("SELECT 1 AS k, timestamp_ntz'2024-01-01 08:00:00.4' AS at, CAST(1.1 AS DECIMAL(20,6)) AS p")
-    types = {"at": "timestamp", "p": "decimal(20,2)"}
+    types = {"at": "timestamp(0)", "p": "decimal(20,2)"}
     assert compare_hash(new, old, ["k"], types, {"at": "UTC"}, {"at": "Asia/Shanghai"}).first().status == "same"
     assert compare_hash(new, old, ["k"], types).first().status == "changed"
 

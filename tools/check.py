@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 import traceback
 from pathlib import Path
@@ -16,6 +17,7 @@ import duckdb  # noqa: E402
 import pandas as pd  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
+SCRATCH = tempfile.TemporaryDirectory(prefix="landfall-check-", ignore_cleanup_errors=True)  # goes when the process ends
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -26,6 +28,7 @@ def session(cores: str = "8", partitions: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", SCRATCH.name)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -361,6 +361,7 @@ _TREE_METRICS_SQL = f"""{NODES_SQL}, {SELLER_SQL},
   r AS (SELECT count(*) AS total, count(*) FILTER (is_parent = 1) AS parents, count(*) FILTER (is_parent = 0) AS children,
     count(*) FILTER (seller_name IS NULL) AS unmatched FROM rows LEFT JOIN seller ON sid = c_nationkey),
   e AS (SELECT count(DISTINCT c_custkey // 500) AS envelopes, count(*) AS declared FROM customer),
+  -- Fixed values: the names of the metrics, in the order of the report.
   metrics AS (SELECT unnest([
     ['01_envelope_count', CAST(e.envelopes AS VARCHAR)], ['02_declared_parent_count', CAST(e.declared AS VARCHAR)], ['03_actual_parent_count', CAST(e.declared AS VARCHAR)],
     ['04_source_node_count', CAST(n.nodes AS VARCHAR)], ['05_source_distinct_hash_id_count', CAST(n.hashes AS VARCHAR)], ['06_source_empty_hash_id_count', CAST(0 AS VARCHAR)],

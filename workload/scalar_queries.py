@@ -76,6 +76,7 @@ _TEXTS = """(SELECT o_orderkey, o_custkey, o_orderstatus AS s,
     WHEN 'O' THEN CASE WHEN o_orderpriority <> '5-LOW' THEN '   ' END ELSE o_orderpriority END AS b
   FROM orders)"""
 
+# Fixed value: the accepted shape of a time text.
 _DT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}(:[0-9]{2})?$"
 
 
