@@ -5,6 +5,7 @@
 2. Documents with equal n-gram sets form one class; from here on a class stands for its copies.
 3. Band hashes are shuffled. Each bucket links its classes to its least one; components of these links are
    the candidate groups, outside of which no two classes share a bucket.
+   Texts are joined to the members by a merge join at every size, so nothing that grows is broadcast.
 4. Within a group all pairs are verified on full n-gram sets. A large group is cut into chunks, and each pair
    of chunks is one unit of work, so no task holds a group. A unit returns one row per class, with its
    number of links and the least class it is connected to; pairs are never written out.
@@ -204,7 +205,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     groups = stage(sized.groupBy("grp").agg(parts.alias("m")).withColumnRenamed("grp", "g"), "join-groups")
     chunked = sized.join(groups, F.col("grp") == F.col("g")).select("rep", "n", "copies", "grp", "m", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int").alias("chunk"))
     chunked = stage(chunked, "join-chunks")
-    texts = base.join(chunked, F.col("doc_id") == F.col("rep")).select("grp", "m", "chunk", "rep", "copies", "n", "text")
+    texts = base.join(chunked.hint("merge"), F.col("doc_id") == F.col("rep")).select("grp", "m", "chunk", "rep", "copies", "n", "text")
     sets = texts.mapInArrow(lambda it: _sets(it, width), "grp long, m int, chunk int, rep long, copies long, grams binary")
     units = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     units = units.select("grp", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "copies", "grams")
@@ -223,4 +224,4 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
 def drop_similar(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class of similar ones, that with the least doc_id; same columns."""
     dropped = stage(similar_classes(docs).filter("doc_id != class_id").select("doc_id").distinct(), "join-dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["doc_id"], "left_anti")
+    return docs.join(dropped.hint("merge"), docs["doc_id"] == dropped["doc_id"], "left_anti")
