@@ -220,7 +220,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     part = fold("doc_id", FOLDS)
     marks = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    taught = base.withColumn("part", part).filter("part > 0").join(marks, F.col("doc_id") == F.col("id")).select("toxic", "part", "text")
+    taught = base.withColumn("part", part).filter("part > 0").join(marks.hint("merge"), F.col("doc_id") == F.col("id")).select("toxic", "part", "text")
     taught = stage(taught, "toxic-taught")
     found = dict(taught.filter(f"part < {FOLDS - 1}").groupBy("toxic").count().collect())
     checks = dict(taught.filter(f"part = {FOLDS - 1}").groupBy("toxic").count().collect())
