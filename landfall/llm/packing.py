@@ -185,7 +185,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), cut: bool = True,
             row = 0
             for b in batches:
                 out = []
-                for name, data in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
+                for name, data in zip(b.column(0).to_pylist(), encode(b.column(1)), strict=True):
                     held[row] = [name, data + end, len(data) // 4 + 1]
                     out.append((row, len(data) // 4 + 1, len(data) // 4))
                     row += 1

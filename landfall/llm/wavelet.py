@@ -20,7 +20,7 @@ from landfall.llm.common import stage
 from landfall.session import new_dir
 
 SHARD_TOKENS = 1 << 20
-RANGE_DOCS = 20_000  # documents of a range of doc_id that one task writes
+RANGE_DOCS = 5_000  # documents of a range of doc_id that one task writes
 BLOCK_BITS = 512  # bits between entries of the rank directory
 
 SHARD = """part int, shard int, doc_ids array<long>, lengths array<long>, n_tokens long, n_planes int,
@@ -37,17 +37,18 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        values = np.asarray(ids, dtype=np.uint32)
+        values = np.asarray(ids)
         top = int(values.max()).bit_length() if len(values) else 0
+        values = values.astype(np.uint16 if top <= 16 else np.uint32)
         zeros, planes, ranks = [], [], []
         for bit in range(top - 1, -1, -1):
-            ones = (values >> np.uint32(bit)) & np.uint32(1) == 1
+            ones = (values & values.dtype.type(1 << bit)) != 0
             packed = np.packbits(ones)
             per_block = np.add.reduceat(np.bitwise_count(packed).astype(np.uint32), np.arange(0, len(packed), BLOCK_BITS // 8))
             planes.append(packed.tobytes())
             ranks.append(np.concatenate([[0], np.cumsum(per_block)[:-1]]).astype("<u4").tobytes())
-            zeros.append(int(len(values) - ones.sum()))
-            values = np.concatenate([values[~ones], values[ones]])
+            values = np.concatenate([values.compress(~ones), low := values.compress(ones)])
+            zeros.append(len(values) - len(low))
         return cls(len(values), zeros, planes, ranks)
 
     def _rank1(self, level: int, i: int) -> int:
@@ -115,28 +116,29 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids: the planes undone from the last to the first."""
-        values = np.zeros(self.n, dtype=np.uint32)
+        values = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.n).astype(bool)
+            ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            bit = values.dtype.type(1 << (len(self.planes) - 1 - level))
             before = np.empty_like(values)
-            before[~ones] = values[: self.zeros[level]]
-            before[ones] = values[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            before[np.flatnonzero(~ones)] = values[: self.zeros[level]]
+            before[np.flatnonzero(ones)] = values[self.zeros[level] :] | bit
             values = before
         return values
 
 
-def _shards(rows: Iterator[tuple], most: int) -> Iterator[tuple]:
+def _shards(rows: Iterator[tuple], most: int, width: int) -> Iterator[tuple]:
     """Shards of (part, doc_id, bytes) rows in order; a shard ends before the document that would exceed ``most``."""
     part, number, ids, data, size = None, 0, [], [], 0
 
     def shard():
-        values = np.frombuffer(b"".join(data), dtype="<u4")
+        values = np.frombuffer(b"".join(data), dtype=f"<u{width}")
         w = WaveletMatrix.build(values)
-        lengths = [len(d) // 4 for d in data]
+        lengths = [len(d) // width for d in data]
         return part, number, ids, lengths, w.n, len(w.planes), w.zeros, [p.tobytes() for p in w.planes], [r.tobytes() for r in w.ranks]
 
     for row_part, doc_id, ids_bytes in rows:
-        if ids and (row_part != part or size + len(ids_bytes) // 4 > most):
+        if ids and (row_part != part or size + len(ids_bytes) // width > most):
             yield shard()
             number = number + 1 if row_part == part else 0
             ids, data, size = [], [], 0
@@ -145,7 +147,7 @@ def _shards(rows: Iterator[tuple], most: int) -> Iterator[tuple]:
         part = row_part
         ids.append(doc_id)
         data.append(ids_bytes)
-        size += len(ids_bytes) // 4
+        size += len(ids_bytes) // width
     if ids:
         yield shard()
 
@@ -167,18 +169,13 @@ def write_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, d
         import pyarrow as pa
 
         encoder = tokens.encoder(vocabulary)
-        end = np.array([tokens.END], dtype="<u4").tobytes()
+        narrow = lambda ids: np.append(np.frombuffer(ids, "<u4"), np.uint32(tokens.END)).astype(f"<u{encoder.width}").tobytes()
         for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            at = 0
-            parts = np.searchsorted(bounds, ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="left").astype(np.int32)
-            for to in range(min(1000, len(texts)), len(texts) + 1000, 1000):
-                to = min(to, len(texts))
-                if to == at and len(texts):
-                    break
-                data = pa.array([x + end for x in encoder.encode(texts[at:to])], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(parts[at:to]), ids.slice(at, to - at), data], names=["part", "doc_id", "ids"])
-                at = to
+            parts = np.searchsorted(bounds, b.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="left").astype(np.int32)
+            for at in range(0, b.num_rows, 1000):
+                some = b.slice(at, 1000)
+                data = pa.array([narrow(x) for x in encoder.encode(some.column(1))], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(parts[at : at + 1000]), some.column(0), data], names=["part", "doc_id", "ids"])
 
     def build(batches):
         import pyarrow as pa
@@ -190,7 +187,7 @@ def write_shards(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, d
         i64, i32 = pa.int64(), pa.int32()
         kinds = [i32, i32, pa.list_(i64), pa.list_(i64), i64, i32, pa.list_(i64), pa.list_(pa.binary()), pa.list_(pa.binary())]
         names = [c.split()[0] for c in SHARD.replace("\n", " ").split(",")]
-        for s in _shards(rows(), shard_tokens):
+        for s in _shards(rows(), shard_tokens, tokens.encoder(vocabulary).width):
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(s, kinds, strict=True)], names=names)
 
     encoded = base.mapInArrow(encode, "part int, doc_id long, ids binary")
