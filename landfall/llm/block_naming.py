@@ -127,4 +127,4 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are copies of one that stays; same columns, same order of columns."""
     dropped = stage(exact_groups(docs).filter(~F.col("kept")).select("doc_id", "text_sha256").distinct(), "exact-dropped")
     sha = F.sha2(without_space(docs["text"]).cast("binary"), 256)
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (sha == dropped["text_sha256"]), "left_anti")
+    return docs.join(dropped.hint("merge"), docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (sha == dropped["text_sha256"]), "left_anti")

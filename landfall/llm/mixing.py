@@ -109,7 +109,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix: each row as many times as it is taken, in the columns of ``docs``."""
     times = stage(mix_sources(docs).filter("times > 0").select("doc_id", "source", "times").distinct(), "mix-times")
     t = times.select(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("times").cast("int").alias("__mix_times"))
-    joined = docs.join(t, docs["doc_id"].eqNullSafe(F.col("__mix_id")) & docs["source"].eqNullSafe(F.col("__mix_source")))
+    joined = docs.join(t.hint("merge"), docs["doc_id"].eqNullSafe(F.col("__mix_id")) & docs["source"].eqNullSafe(F.col("__mix_source")))
     copies = F.explode(F.array_repeat(F.lit(0), F.col("__mix_times")))
     return joined.withColumn("__mix_copy", copies).drop("__mix_id", "__mix_source", "__mix_times", "__mix_copy")
 

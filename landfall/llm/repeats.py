@@ -160,7 +160,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, seed: int = SEED, win
     often = stage(often.filter("a != b" if across else "n > 1").select(F.col("seed").alias("often")), "repeat-often")
     marks = seeds.join(often, F.col("seed") == F.col("often")).groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("marks"))
     marks = stage(marks.withColumnRenamed("doc_id", "marked"), "repeat-marks")
-    marked = base.join(marks, F.col("doc_id") == F.col("marked")).select("doc_id", "text", "marks")
+    marked = base.join(marks.hint("merge"), F.col("doc_id") == F.col("marked")).select("doc_id", "text", "marks")
     made = marked.mapInArrow(lambda it: _suffixes(it, seed, window, least), "seed long, right binary, left binary, doc_id long, place int")
     suffixes = stage(made, "repeat-suffixes")
     order = ["seed", "right", "left", "doc_id", "place"]
