@@ -20,7 +20,8 @@ from landfall.llm.common import shingles, stage, text_slices, word_hashes
 
 LEAST = 50  # words of a passage
 SEED = 8
-WINDOW = 20  # one of so many positions at least is kept; SEED + WINDOW - 1 must not exceed LEAST
+WINDOW = 32  # one of so many positions at least is kept; SEED + WINDOW - 1 must not exceed LEAST
+WIDTH = 3  # bytes of a word in a suffix
 NEIGHBOURS = 3  # suffixes before each with which it is compared
 
 
@@ -63,14 +64,14 @@ def _seeds(batches, seed: int, window: int, least: int):
 
 
 def _suffixes(batches, seed: int, window: int, least: int):
-    """(seed, right, left, doc_id, place) of the marked positions: words as 32-bit big-endian hashes, so bytes sort as words do."""
+    """(seed, right, left, doc_id, place) of the marked positions; each word is ``WIDTH`` bytes of its hash."""
     import pyarrow as pa
 
     for b in batches:
         out = []
         for doc_id, marks, words in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), _documents(b.column(1)), strict=True):
             grams, _ = shingles(words, np.array([len(words)]), seed)
-            short = (words >> np.uint64(32)).astype(">u4")
+            short = words.view(np.uint8).reshape(-1, 8)[:, :WIDTH]
             for at in marks:
                 if at < len(grams):  # a row that repeats a doc_id may be shorter
                     key = int(grams[at : at + 1].view(np.int64)[0])
@@ -84,11 +85,11 @@ def common_words(a: bytes, b: bytes) -> int:
     """Words that two rows of words have in common from their start."""
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
-        return n // 4
-    low, high = 0, n // 4
+        return n // WIDTH
+    low, high = 0, n // WIDTH
     while high - low > 1:
         middle = (low + high) // 2
-        low, high = (middle, high) if a[: 4 * middle] == b[: 4 * middle] else (low, middle)
+        low, high = (middle, high) if a[: WIDTH * middle] == b[: WIDTH * middle] else (low, middle)
     return low
 
 
