@@ -3,9 +3,11 @@
 Only suffixes that begin at minimisers are kept: of every ``WINDOW`` consecutive positions, the one whose
 next ``SEED`` words hash least. The choice depends on the words alone, so a passage of
 ``WINDOW + SEED - 1`` words has the same suffixes wherever it stands. Suffixes whose seed occurs once are
-dropped; the others are sorted by the words to the right, then those to the left, and compared with their
-neighbours in that order. Each match is extended to the right by the common prefix and to the left by the
-common words before it, and counts if both together reach the length asked for.
+dropped. Those whose seed has no more suffixes than ``NEIGHBOURS`` reach are sorted by the words to the right,
+then those to the left, and compared with each other. Each match is extended to the right by the common prefix
+and to the left by the common words before it, and counts if both together reach the length asked for. Around
+suffixes with a more frequent seed nothing is compared: every window of the length asked for belongs to the
+minimiser of its first run, and is hashed and looked up among all windows. So no passage is missed.
 """
 
 from __future__ import annotations
@@ -16,13 +18,28 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import shingles, stage, text_slices, word_hashes
+from landfall.llm.common import _powers, mix, shingles, stage, text_slices, word_hashes
 
 LEAST = 50  # words of a passage
 SEED = 8
 WINDOW = 32  # one of so many positions at least is kept; SEED + WINDOW - 1 must not exceed LEAST
 WIDTH = 3  # bytes of a word in a suffix
-NEIGHBOURS = 3  # suffixes before each with which it is compared
+NEIGHBOURS = 3  # suffixes before each with which it is compared; a seed with more than these and itself has its windows hashed
+ROWS = 500_000  # windows in a batch
+
+
+def chosen(hashes: np.ndarray, window: int) -> np.ndarray:
+    """For each run of ``window`` positions, by its first: the last least one. Ascending."""
+    views = np.lib.stride_tricks.sliding_window_view(hashes, window)
+    return np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(axis=1)
+
+
+def window_hashes(words: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of the ``least`` words from each start."""
+    up, down = _powers(len(words))
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[: len(words)], out=total[1:])
+    return mix((total[starts + least] - total[starts]) * down[starts])
 
 
 def minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -32,8 +49,7 @@ def minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     if n <= window:
         return np.array([n - 1 - int(np.argmin(hashes[::-1]))])
-    views = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    return np.unique(np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(axis=1))
+    return np.unique(chosen(hashes, window))
 
 
 def _documents(texts) -> Iterator[np.ndarray]:
@@ -64,21 +80,47 @@ def _seeds(batches, seed: int, window: int, least: int):
 
 
 def _suffixes(batches, seed: int, window: int, least: int):
-    """(seed, right, left, doc_id, place) of the marked positions; each word is ``WIDTH`` bytes of its hash."""
+    """(seed, right, left, doc_id, place) of the marked positions; each word is ``WIDTH`` bytes of its hash.
+
+    A mark is twice the place, plus 1 if its seed is frequent. For these there is one row for each window of
+    ``least`` words whose first run has its minimiser there: the hash as seed, the start as place, and nulls.
+    """
     import pyarrow as pa
 
+    names = ["seed", "right", "left", "doc_id", "place"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
+
+    def windows(docs, starts, keys):
+        starts, keys = np.concatenate(starts), np.concatenate(keys)
+        none = pa.nulls(len(keys), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), none, none, pa.array(np.repeat(*np.array(docs).T), pa.int64()), pa.array(starts.astype(np.int32))], names=names)
+
     for b in batches:
-        out = []
+        out, held, docs, starts, keys = [], 0, [], [], []
         for doc_id, marks, words in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), _documents(b.column(1)), strict=True):
+            if len(words) < least:  # a row that repeats a doc_id may be shorter or have other minimisers
+                continue
             grams, _ = shingles(words, np.array([len(words)]), seed)
+            first = chosen(grams, window)
+            marks = np.array(marks, dtype=np.int64)
             short = words.view(np.uint8).reshape(-1, 8)[:, :WIDTH]
-            for at in marks:
-                if at < len(grams):  # a row that repeats a doc_id may be shorter
-                    key = int(grams[at : at + 1].view(np.int64)[0])
-                    out.append((key, short[at : at + least].tobytes(), short[max(0, at - window) : at][::-1].tobytes(), doc_id, at))
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
+            cold = marks[marks % 2 == 0] // 2
+            for at in cold[np.isin(cold, first)].tolist():
+                key = int(grams[at : at + 1].view(np.int64)[0])
+                out.append((key, short[at : at + least].tobytes(), short[max(0, at - window) : at][::-1].tobytes(), doc_id, at))
+            at = np.flatnonzero(np.isin(first[: len(words) - least + 1], marks[marks % 2 == 1] // 2))
+            if len(at):
+                docs.append((doc_id, len(at)))
+                starts.append(at)
+                keys.append(window_hashes(words, at, least))
+                held += len(at)
+            if held > ROWS:
+                yield windows(docs, starts, keys)
+                held, docs, starts, keys = 0, [], [], []
+        if held:
+            yield windows(docs, starts, keys)
         columns = list(zip(*out, strict=True)) if out else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["seed", "right", "left", "doc_id", "place"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
 def common_words(a: bytes, b: bytes) -> int:
@@ -150,22 +192,27 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, seed: int = SEED, win
     Places are counted in words from 0, ends are exclusive; spans that touch or overlap are one. With
     ``across`` off, repetition inside one document counts as well. Null and short texts have no passages;
     rows with a null doc_id are left out; rows that repeat a doc_id count as one document. Other columns are
-    ignored. A passage of ``least + window`` words that others share is always found; between ``least`` and
-    that, an end may be missed when many documents share only a part of it.
+    ignored. Every such passage is found, however many documents share it or a part of it.
     """
     if seed + window - 1 > least:
         raise ValueError("seed and window are too long for such short passages")
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null")
     seeds = stage(base.mapInArrow(lambda it: _seeds(it, seed, window, least), "doc_id long, place int, seed long"), "repeat-seeds")
     often = seeds.groupBy("seed").agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-    often = stage(often.filter("a != b" if across else "n > 1").select(F.col("seed").alias("often")), "repeat-often")
-    marks = seeds.join(often, F.col("seed") == F.col("often")).groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("marks"))
+    hot = (F.col("n") > neighbours + 1).cast("long")
+    often = stage(often.filter("a != b" if across else "n > 1").select(F.col("seed").alias("often"), hot.alias("hot")), "repeat-often")
+    mark = F.col("place").cast("long") * 2 + F.col("hot")
+    marks = seeds.join(often, F.col("seed") == F.col("often")).groupBy("doc_id").agg(F.sort_array(F.collect_set(mark)).alias("marks"))
     marks = stage(marks.withColumnRenamed("doc_id", "marked"), "repeat-marks")
     marked = base.join(marks.hint("merge"), F.col("doc_id") == F.col("marked")).select("doc_id", "text", "marks")
     made = marked.mapInArrow(lambda it: _suffixes(it, seed, window, least), "seed long, right binary, left binary, doc_id long, place int")
     suffixes = stage(made, "repeat-suffixes")
     order = ["seed", "right", "left", "doc_id", "place"]
-    compared = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).select(*order)
+    windows = suffixes.filter("right is null").select("seed", "doc_id", F.col("place").cast("long").alias("start"))
+    shared = windows.groupBy("seed").agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    shared = stage(shared.filter("a != b" if across else "n > 1").select(F.col("seed").alias("shared")), "repeat-windows")
+    windows = windows.join(shared.hint("merge"), F.col("seed") == F.col("shared")).select("doc_id", "start", (F.col("start") + least).alias("end"))
+    compared = suffixes.filter("right is not null").repartitionByRange(*order).sortWithinPartitions(*order).select(*order)
     schema = "doc_id long, start long, end long, part int, side int, seed long, right binary, left binary"
     found = stage(compared.mapInArrow(lambda it: _compare(it, neighbours, least, across), schema), "repeat-found")
     # the suffixes on either side of a cut between partitions: a few rows for each partition
@@ -179,7 +226,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, seed: int = SEED, win
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
 
     over = edges.repartition(1).sortWithinPartitions(*order).select(*order).mapInArrow(joined, "doc_id long, start long, end long")
-    spans = found.filter("part is null").select("doc_id", "start", "end").union(over).distinct()
+    spans = found.filter("part is null").select("doc_id", "start", "end").union(over).distinct().union(windows)
     place = Window.partitionBy("doc_id").orderBy("start", "end")
     reach = F.max("end").over(place.rowsBetween(Window.unboundedPreceding, -1))
     begun = spans.withColumn("new", (reach.isNull() | (F.col("start") > reach)).cast("int"))

@@ -411,6 +411,39 @@ def test_repeats_odd_tables(spark, odd, none):
     assert repeats.repeated_passages(none).count() == 0
 
 
+def windows_shared(rows, least=50):
+    """doc_id -> places in windows of ``least`` words that another document holds too."""
+    words, holders = {i: WORD.findall(t) for i, t, _, _ in rows}, collections.defaultdict(set)
+    for i, w in words.items():
+        for k in range(len(w) - least + 1):
+            holders[tuple(w[k : k + least])].add(i)
+    found = {i: {p for k in range(len(w) - least + 1) if len(holders[tuple(w[k : k + least])]) > 1 for p in range(k, k + least)} for i, w in words.items()}
+    return {i: p for i, p in found.items() if p}
+
+
+def spans_of(found):
+    got = collections.defaultdict(set)
+    for r in found.collect():
+        got[r.doc_id].update(range(r.start, r.end))
+    return got
+
+
+def test_repeats_find_passages_that_end_in_a_common_footer(spark):
+    random.seed(12)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    rows, i = [], 0
+    for _ in range(6):
+        footer = [word() for _ in range(45)]
+        passage = [word() for _ in range(10)] + footer
+        for k in range(90):
+            inside = passage if k < 2 else [word() for _ in range(10)] + footer
+            rows.append((i, " ".join([word() for _ in range(20)] + inside + [word() for _ in range(40)]), "en", "a"))
+            i += 1
+    want = windows_shared(rows)
+    assert len(want) == 12
+    assert spans_of(repeats.repeated_passages(frame(spark, rows))) == want
+
+
 # --- 7 n-gram join ---------------------------------------------------------------------------------
 
 
