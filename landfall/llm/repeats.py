@@ -12,6 +12,7 @@ minimiser of its first run, and is hashed and looked up among all windows. So no
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,37 +154,14 @@ def _matches(rows: Iterator[tuple], neighbours: int, least: int, across: bool) -
 
 
 def _compare(batches, neighbours: int, least: int, across: bool):
-    """Matches inside a partition of sorted suffixes, and its first and last suffixes as rows of their own."""
+    """Matches inside a partition of sorted suffixes that holds every suffix of its seeds."""
     import pyarrow as pa
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
-    names = ["doc_id", "start", "end", "part", "side", "seed", "right", "left"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-    first, last = [], []
-
-    def rows():
-        nonlocal last
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if len(first) < neighbours:
-                    first.append(row)
-                last = [*last[-(neighbours - 1) :], row] if neighbours > 1 else [row]
-                yield row
-
-    def batch(out):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-
-    out = []
-    for doc_id, start, end in _matches(rows(), neighbours, least, across):
-        out.append((doc_id, start, end, None, None, None, None, None))
-        if len(out) == 10_000:
-            yield batch(out)
-            out = []
-    for side, edge in enumerate((first, last)):
-        out += [(d, p, i, part, side, s, r, l) for i, (s, r, l, d, p) in enumerate(edge)]
-    if out:
-        yield batch(out)
+
+    names, kinds = ["doc_id", "start", "end"], [pa.int64(), pa.int64(), pa.int64()]
+    rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    found = _matches(rows, neighbours, least, across)
+    while out := list(itertools.islice(found, 10_000)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
 
 def repeated_passages(docs: DataFrame, least: int = LEAST, seed: int = SEED, window: int = WINDOW, neighbours: int = NEIGHBOURS, across: bool = True, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,26 +185,15 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, seed: int = SEED, win
     marked = base.join(marks.hint("merge"), F.col("doc_id") == F.col("marked")).select("doc_id", "text", "marks")
     made = marked.mapInArrow(lambda it: _suffixes(it, seed, window, least), "seed long, right binary, left binary, doc_id long, place int")
     suffixes = stage(made, "repeat-suffixes")
-    order = ["seed", "right", "left", "doc_id", "place"]
     windows = suffixes.filter("right is null").select("seed", "doc_id", F.col("place").cast("long").alias("start"))
     shared = windows.groupBy("seed").agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
     shared = stage(shared.filter("a != b" if across else "n > 1").select(F.col("seed").alias("shared")), "repeat-windows")
     windows = windows.join(shared.hint("merge"), F.col("seed") == F.col("shared")).select("doc_id", "start", (F.col("start") + least).alias("end"))
-    compared = suffixes.filter("right is not null").repartitionByRange(*order).sortWithinPartitions(*order).select(*order)
-    schema = "doc_id long, start long, end long, part int, side int, seed long, right binary, left binary"
-    found = stage(compared.mapInArrow(lambda it: _compare(it, neighbours, least, across), schema), "repeat-found")
-    # the suffixes on either side of a cut between partitions: a few rows for each partition
-    edges = found.filter("part is not null").select("seed", "right", "left", "doc_id", F.col("start").cast("int").alias("place")).distinct()
-
-    def joined(batches):
-        import pyarrow as pa
-
-        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        out = [{"doc_id": d, "start": s, "end": e} for d, s, e in _matches(rows, 2 * neighbours, least, across)]
-        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
-
-    over = edges.repartition(1).sortWithinPartitions(*order).select(*order).mapInArrow(joined, "doc_id long, start long, end long")
-    spans = found.filter("part is null").select("doc_id", "start", "end").union(over).distinct().union(windows)
+    # a seed has at most neighbours + 1 rows here, so all of it can be in one partition and no pair lies across two
+    order = ["seed", "right", "left", "doc_id", "place"]
+    compared = suffixes.filter("right is not null").repartition("seed").sortWithinPartitions(*order).select(*order)
+    found = compared.mapInArrow(lambda it: _compare(it, neighbours, least, across), "doc_id long, start long, end long")
+    spans = found.union(windows)
     place = Window.partitionBy("doc_id").orderBy("start", "end")
     reach = F.max("end").over(place.rowsBetween(Window.unboundedPreceding, -1))
     begun = spans.withColumn("new", (reach.isNull() | (F.col("start") > reach)).cast("int"))

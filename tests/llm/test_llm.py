@@ -444,6 +444,18 @@ def test_repeats_find_passages_that_end_in_a_common_footer(spark):
     assert spans_of(repeats.repeated_passages(frame(spark, rows))) == want
 
 
+def test_repeats_find_every_place_of_a_passage_that_documents_repeat(spark):
+    random.seed(13)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    often, both, few = ([word() for _ in range(100)] for _ in range(3))
+    apart = [w for _ in range(3) for w in [*few, *(word() for _ in range(60))]]
+    texts = [often * 20, often, both * 20, both * 20, apart, few]
+    rows = [(i, " ".join([word() for _ in range(15)] + t + [word() for _ in range(70)]), "en", "a") for i, t in enumerate(texts)]
+    want = windows_shared(rows)
+    assert [len(want[i]) for i in range(6)] == [2000, 100, 2000, 2000, 300, 100]
+    assert spans_of(repeats.repeated_passages(frame(spark, rows))) == want
+
+
 # --- 7 n-gram join ---------------------------------------------------------------------------------
 
 
