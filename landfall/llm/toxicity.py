@@ -7,18 +7,22 @@ says as much as its class evidence and no more; where neither class has seen it,
 its own counts remains. The score of a text is the difference of its two log-likelihoods for each character,
 made a probability on labelled rows that the counts do not hold.
 
-Counts are exact and grow with the labelled text. For scoring they become two tables of fixed size.
+Words and pairs of words have models of the same kind, which add their log-ratios, so that expressions longer
+than four letters, digits and signs count too. All counts are exact and grow with the labelled text. Scoring
+looks up every n-gram in the written table by its own key; characters beyond U+0FFF share 4,032 symbols.
 """
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import fold, mix, stage
+from landfall.llm.common import fold, mix, stage, text_slices, word_hashes
 from landfall.llm.langid import _letters, _merged
 
 FOLDS = 5
@@ -26,8 +30,10 @@ ORDER = 4
 SHARED = 2  # orders up to this have one set of counts for both classes
 DISCOUNT = 0.75
 SYMBOL_BITS = 12  # a letter is its code point, beyond 4096 a hash of it
-TABLE_BITS = 21  # n-grams of one bucket share their value; bounds what is broadcast to 4 x 8 MB
+WORDS, AFTER, PAIRS = 0, 1, 2  # kinds of keys; 2 k and 2 k + 1 are the n-grams of order k and their contexts
 SLICE_CHARS = 1_000_000
+CHUNK_CHARS = 4_000_000  # of documents that look up their n-grams together
+_EDGES = re.compile(r"[^\w\s]+(?=\s|$)|(?<!\S)[^\w\s]+")
 _MERGE = 2_000_000
 _SYMBOLS: list[np.ndarray] = []
 
@@ -146,52 +152,180 @@ def kneser_ney(labelled: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
     return out
 
 
-def bucket(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each lower-cased word without punctuation at its ends, number of words of each text)."""
+    import pyarrow as pa
 
+    parts = [word_hashes(data, offsets) for _, _, data, offsets in text_slices(pa.array([_EDGES.sub("", (t or "").lower()) for t in texts], pa.string()))]
+    return np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in parts)]).view(np.int64), np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)])
 
-def _table(rows: DataFrame, key: str, weight: str | None, missing: float) -> np.ndarray:
-    """Values by bucket; n-grams of one bucket are averaged by their counts. At most 2^TABLE_BITS rows reach the driver."""
 
-    def number(batches):
-        import pyarrow as pa
+def _before(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The word before each, 0 before the first of a text."""
+    out = np.concatenate([[0], words])[: len(words)].astype(np.int64)
+    out[(np.cumsum(counts) - counts)[counts > 0]] = 0
+    return out
 
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(bucket(b.column(0).to_numpy())), b.column(1), b.column(2)], names=["bucket", "llr", "n"])
 
-    counted = rows.select(F.col(key), "llr", (F.col(weight) if weight else F.lit(1)).cast("long").alias("n")).mapInArrow(number, "bucket long, llr double, n long")
-    mean = (F.sum(F.col("llr") * F.col("n")) / F.sum("n")).cast("float")
-    table = np.full(1 << TABLE_BITS, missing, dtype=np.float32)
-    got = counted.groupBy("bucket").agg(mean.alias("llr")).toArrow()
-    table[got.column(0).to_numpy()] = got.column(1).to_numpy()
-    return table
+def _count_words(batches) -> Iterator:
+    """(prev, word, toxic, n) sums of one batch."""
+    import pyarrow as pa
 
+    for rows in batches:
+        labels, texts = rows.column(0).to_numpy(), rows.column(1).to_pylist()
+        words, counts = word_keys(texts)
+        triples = np.stack([_before(words, counts), words, np.repeat(labels, counts)], axis=1)
+        found, n = np.unique(triples, axis=0, return_counts=True) if len(words) else (triples, words)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2].astype(np.int32)), pa.array(n)], names=["prev", "word", "toxic", "n"])
+
+
+def _own(c: str, all_: str):
+    return F.when(F.col(all_) > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(all_)).otherwise(0.0)
+
+
+def _trust(types: str, all_: str):
+    return F.when(F.col(all_) > 0, DISCOUNT * F.col(types) / F.col(all_)).otherwise(1.0)
+
+
+def word_models(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(word, llr), (prev, llr) and (prev, word, llr): words, what an unseen pair after a seen word adds, and pairs.
+
+    Pairs and words have counts for each class; a word's are the distinct words before it. Below, both classes
+    share the distinct words before it in either.
+    """
+    counted = labelled.select("toxic", "text").mapInArrow(_count_words, "prev long, word long, toxic int, n long")
+    of = lambda label: F.sum(F.when(F.col("toxic") == label, F.col("n")).otherwise(0))
+    seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
+    pairs = stage(counted.groupBy("prev", "word").agg(of(1).alias("t"), of(0).alias("o")), "kn-pairs")
+    words = stage(pairs.groupBy("word").agg(seen("t").alias("t"), seen("o").alias("o"), F.count("*").alias("n")), "kn-words")
+    sums = [F.sum("t").alias("at"), F.sum("o").alias("ao"), seen("t").alias("tt"), seen("o").alias("to")]
+    total = words.agg(*sums, F.sum("n").alias("an")).first()
+    words = words.withColumns({c: F.lit(total[c] or 0) for c in ("at", "ao", "tt", "to")}).withColumn("q", F.col("n") / F.lit(float(total["an"] or 1)))
+    words = words.select("word", (_own("t", "at") + _trust("tt", "at") * F.col("q")).alias("qt"), (_own("o", "ao") + _trust("to", "ao") * F.col("q")).alias("qo"))
+    words = stage(words, "kn-words-p")
+    contexts = stage(pairs.groupBy("prev").agg(*sums), "kn-words-contexts")
+    joined = pairs.join(contexts, "prev").join(words, "word")
+    llr = F.log((_own("t", "at") + _trust("tt", "at") * F.col("qt")) / (_own("o", "ao") + _trust("to", "ao") * F.col("qo")))
+    return words.select("word", F.log(F.col("qt") / F.col("qo")).alias("llr")), contexts.select("prev", F.log(_trust("tt", "at") / _trust("to", "ao")).alias("llr")), joined.select("prev", "word", llr.alias("llr"))
+
+
+def _pair(prev, word):
+    """One key of two words; the same here and in Spark, where bits beyond 64 go too."""
+    return (prev << np.int64(1)) ^ word
+
+
+def score_table(labelled: DataFrame) -> DataFrame:
+    """(kind, key, llr): every n-gram and context that the labelled rows hold, each under its own key."""
+    parts = []
+    for k, (grams, contexts) in kneser_ney(labelled).items():
+        parts += [grams.select(F.lit(2 * k).alias("kind"), F.col("gram").alias("key"), "llr"), contexts.select(F.lit(2 * k + 1).alias("kind"), F.col("context").alias("key"), "llr")]
+    words, contexts, pairs = word_models(labelled)
+    parts.append(words.select(F.lit(WORDS).alias("kind"), F.col("word").alias("key"), "llr"))
+    parts.append(contexts.select(F.lit(AFTER).alias("kind"), F.col("prev").alias("key"), "llr"))
+    parts.append(pairs.select(F.lit(PAIRS).alias("kind"), F.shiftleft("prev", 1).bitwiseXOR(F.col("word")).alias("key"), "llr"))
+    return stage(functools.reduce(DataFrame.union, parts), "toxic-table")
+
+
+def _lookups(texts: list[str | None]):
+    """Kind -> keys of one slice, for each character or word; the texts they belong to; lengths."""
+    grams, owner = grams_of(texts)
+    keys = {}
+    for k in range(SHARED + 1, ORDER + 1):
+        keys[2 * k] = grams & np.int64((1 << SYMBOL_BITS * k) - 1)
+        keys[2 * k + 1] = keys[2 * k] >> np.int64(SYMBOL_BITS)
+    words, counts = word_keys(texts)
+    prev = _before(words, counts)
+    keys |= {WORDS: words, AFTER: prev, PAIRS: _pair(prev, words)}
+    return keys, owner, np.repeat(np.arange(len(texts)), counts)
+
+
+def _chunked(batches, names: list[str]):
+    """Rows with the number of their chunk: consecutive rows of one task, of about ``CHUNK_CHARS`` characters."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    chunk, chars = TaskContext.get().partitionId() << 32, 0
+    for b in batches:
+        numbers = []
+        for t in b.column(len(names)).to_pylist():
+            if chars > CHUNK_CHARS:
+                chunk, chars = chunk + 1, 0
+            chars += len(t or "")
+            numbers.append(chunk)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers, pa.int64())], names=[*names, "text", "chunk"])
 
-def mean_ratios(docs: DataFrame, tables, keep: str = "doc_id long") -> DataFrame:
-    """``keep`` columns and x: log-likelihood of toxic less ordinary text for each character, 0 for none."""
-    names = [c.split()[0] for c in keep.split(",")]
 
-    def run(batches):
-        import pyarrow as pa
-
-        by_order = sorted(tables.value.items(), reverse=True)
-        for b in batches:
-            texts = b.column(len(names)).to_pylist()
-            out = [np.zeros(0)]
-            for at, to in _slices(texts):
-                grams, owner = grams_of(texts[at:to])
-                llr, rest = np.zeros(len(grams)), np.arange(len(grams))
-                for k, (seen, context) in by_order:
-                    own = grams[rest] & np.int64((1 << SYMBOL_BITS * k) - 1)
-                    value = seen[bucket(own)]
-                    missing = np.isnan(value)
-                    value[missing] = context[bucket(own[missing] >> np.int64(SYMBOL_BITS))]
-                    llr[rest] += value
-                    rest = rest[missing]
-                out.append(np.bincount(owner, weights=llr, minlength=to - at) / np.maximum(1, np.bincount(owner, minlength=to - at)))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(np.concatenate(out))], names=[*names, "x"])
-
-    return docs.select(*names, "text").mapInArrow(run, f"{keep}, x double")
+def _asked(batches):
+    """(kind, key, chunk): the distinct keys of each chunk in a batch."""
+    import pyarrow as pa
+
+    for b in batches:
+        numbers, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
+        cuts = np.flatnonzero(np.diff(numbers)) + 1
+        for at, to in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
+            found: dict[int, list] = {}
+            for i, j in _slices(texts[at:to]):
+                for kind, keys in _lookups(texts[at + i : at + j])[0].items():
+                    found.setdefault(kind, []).append(np.unique(keys))
+            for kind, parts in found.items():
+                keys = np.unique(np.concatenate(parts))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(np.full(len(keys), numbers[at]))], names=["kind", "key", "chunk"])
+
+
+def _scored(texts: list[str | None], values) -> np.ndarray:
+    """Log-likelihood of toxic less ordinary text for each character; ``values`` gives those of a kind's keys, NaN if unseen."""
+    out = [np.zeros(0)]
+    for at, to in _slices(texts):
+        keys, owner, word_owner = _lookups(texts[at:to])
+        llr, rest = np.zeros(len(owner)), np.arange(len(owner))
+        for k in range(ORDER, SHARED, -1):
+            value = values(2 * k, keys[2 * k][rest])
+            missing = np.isnan(value)
+            value[missing] = np.nan_to_num(values(2 * k + 1, keys[2 * k + 1][rest][missing]))
+            llr[rest] += value
+            rest = rest[missing]
+        pair = values(PAIRS, keys[PAIRS])
+        alone = np.nan_to_num(values(WORDS, keys[WORDS])) + np.nan_to_num(values(AFTER, keys[AFTER]))
+        total = np.bincount(owner, weights=llr, minlength=to - at) + np.bincount(word_owner, weights=np.where(np.isnan(pair), alone, pair), minlength=to - at)
+        out.append(total / np.maximum(1, np.bincount(owner, minlength=to - at)))
+    return np.concatenate(out)
+
+
+def mean_ratios(docs: DataFrame, table: DataFrame, keep: str = "doc_id long") -> DataFrame:
+    """``keep`` columns and x: log-likelihood of toxic less ordinary text for each character, 0 for none.
+
+    Chunks of documents ask the table for their distinct keys, so a frequent n-gram travels once for a chunk,
+    and no task holds more of the table than its chunk's texts need.
+    """
+    import pyarrow as pa
+
+    names = [c.split()[0] for c in keep.split(",")]
+    rows = stage(docs.select(*names, "text").mapInArrow(lambda it: _chunked(it, names), f"{keep}, text string, chunk long"), "toxic-chunks")
+    asked = rows.select("chunk", "text").mapInArrow(_asked, "kind int, key long, chunk long")
+    known = table.select(F.col("kind").alias("k"), F.col("key").alias("g"), "llr")
+    found = asked.join(known.hint("merge"), (F.col("kind") == F.col("k")) & (F.col("key") == F.col("g"))).select("chunk", "kind", "key", "llr")
+    kind = rows.schema[names[0]].dataType.simpleString()
+    first = {"bigint": pa.int64(), "int": pa.int32()}[kind]
+
+    def run(texts, answers):
+        kinds, keys, llr = (answers.column(c).to_numpy() for c in ("kind", "key", "llr"))
+        held = {}
+        for k in np.unique(kinds):
+            own = kinds == k
+            unique, at = np.unique(keys[own], return_index=True)
+            held[int(k)] = (unique, llr[own][at])
+
+        def values(k, wanted):
+            if k not in held:
+                return np.full(len(wanted), np.nan)
+            unique, value = held[k]
+            at = np.minimum(np.searchsorted(unique, wanted), len(unique) - 1)
+            return np.where(unique[at] == wanted, value[at], np.nan)
+
+        x = _scored(texts.column("text").to_pylist(), values)
+        return pa.table({names[0]: texts.column(names[0]).cast(first), "x": pa.array(x, pa.float64())})
+
+    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, f"{keep}, x double")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
@@ -216,7 +350,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     the score of ratio 0. If a class has no rows, every score is the share of toxic labels. Repeated rows
     have equal scores. Other columns are ignored.
     """
-    spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     part = fold("doc_id", FOLDS)
     marks = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -228,12 +361,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
         toxic, all_ = sum(d.get(1, 0) for d in (found, checks)), sum(sum(d.values()) for d in (found, checks))
         score = F.lit(toxic / all_ if all_ else 0.0)
         return base.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
-    model = kneser_ney(taught.filter(f"part < {FOLDS - 1}"))
-    tables = spark.sparkContext.broadcast({k: (_table(g, "gram", "n", np.nan), _table(c, "context", None, 0.0)) for k, (g, c) in model.items()})
-    graded = mean_ratios(taught.filter(f"part = {FOLDS - 1}"), tables, "toxic int")
+    table = score_table(taught.filter(f"part < {FOLDS - 1}"))
+    graded = mean_ratios(taught.filter(f"part = {FOLDS - 1}"), table, "toxic int")
     steps = F.round(F.greatest(F.lit(-3.0), F.least(F.lit(3.0), F.col("x"))) * 2000)  # at most 12001 points for each class
     points = graded.groupBy(steps.alias("s"), "toxic").count().collect()
     slope, intercept = _logistic(np.array([p.s / 2000 for p in points]), np.array([p.toxic for p in points]), np.array([float(p["count"]) for p in points]))
-    scored = mean_ratios(base, tables)
+    scored = mean_ratios(base, table)
     score = 1 / (1 + F.exp(-(F.col("x") * slope + intercept)))
     return scored.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.col("x").alias("mean_log_ratio"))

@@ -672,6 +672,32 @@ def test_toxicity_odd_tables(spark, odd, none):
     assert toxicity.toxicity_scores(none, odd_labels).count() == 0
 
 
+def test_toxicity_tells_word_pairs_apart(spark):
+    random.seed(21)
+    vocabulary = ["".join(random.choices("abcdefghij", k=6)) for _ in range(60)]
+    rows, labels = [], []
+    for i in range(600):
+        words = random.choices(vocabulary, k=20)
+        a, b = vocabulary[:2] if i % 3 == 0 else vocabulary[1::-1]  # the same words, in the other order
+        for k in range(0, 20, 4):
+            words[k : k + 2] = [a, b]
+        rows.append((i, " ".join(words), "en", "a"))
+        labels.append((i, 1, int(i % 3 == 0)))
+    got = toxicity.toxicity_scores(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    held = [r for r in got if r.held_out]
+    assert len(held) > 80 and all(r.predicted == (r.doc_id % 3 == 0) for r in held)
+
+
+def test_toxicity_table_holds_every_key_once(spark):
+    ship(spark)
+    data = [(1, "x1 bad x1 thing"), (0, "a good thing x2"), (0, None)]
+    table = toxicity.score_table(spark.createDataFrame(data, "toxic int, text string")).collect()
+    assert len({(r.kind, r.key) for r in table}) == len(table)
+    assert sum(r.kind == toxicity.WORDS for r in table) == 6 and sum(r.kind == toxicity.PAIRS for r in table) == 8
+    grams = {int(g) for _, t in data for g in toxicity.grams_of([t])[0]}
+    assert {r.key for r in table if r.kind == 2 * toxicity.ORDER} == grams
+
+
 # --- pipeline --------------------------------------------------------------------------------------
 
 
