@@ -72,7 +72,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, for positions below n."""
-    if len(_POWERS.get("up", ())) < n:
+    if len(_POWERS.get("up", ())) < max(n, 1):
         n = max(n, SLICE_BYTES)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             _POWERS[name] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]))

@@ -9,7 +9,7 @@ made a probability on labelled rows that the counts do not hold.
 
 Words and pairs of words have models of the same kind, which add their log-ratios, so that expressions longer
 than four letters, digits and signs count too. All counts are exact and grow with the labelled text. Scoring
-looks up every n-gram in the written table by its own key; characters beyond U+0FFF share 4,032 symbols.
+looks up every n-gram in the written table by its own key; only letters beyond U+FFFF share symbols.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ FOLDS = 5
 ORDER = 4
 SHARED = 2  # orders up to this have one set of counts for both classes
 DISCOUNT = 0.75
-SYMBOL_BITS = 12  # a letter is its code point, beyond 4096 a hash of it
+SYMBOL_BITS = 16  # a letter below 4096 is its code point, up to U+FFFF it has a symbol of its own
 WORDS, AFTER, PAIRS = 0, 1, 2  # kinds of keys; 2 k and 2 k + 1 are the n-grams of order k and their contexts
 SLICE_CHARS = 1_000_000
 CHUNK_CHARS = 4_000_000  # of documents that look up their n-grams together
@@ -42,7 +42,10 @@ def _symbols() -> np.ndarray:
     """Symbol of each code point: 32 for all that is no letter."""
     if not _SYMBOLS:
         code = np.arange(0x110000, dtype=np.uint64)
-        wide = np.where(code < 4096, code, 64 + mix(code) % np.uint64(4096 - 64))
+        own = np.flatnonzero(_letters()[4096:0x10000]) + 4096
+        free = np.uint64(4096 + len(own))
+        wide = np.where(code < 4096, code, free + mix(code) % (np.uint64(1 << SYMBOL_BITS) - free))
+        wide[own] = 4096 + np.arange(len(own), dtype=np.uint64)
         _SYMBOLS.append(np.where(_letters(), wide, np.uint64(32)).astype(np.int64))
     return _SYMBOLS[0]
 
@@ -110,7 +113,7 @@ def _suffix(k: int):
 
 
 def _context():
-    return F.shiftright("gram", SYMBOL_BITS)
+    return F.shiftrightunsigned("gram", SYMBOL_BITS)
 
 
 def kneser_ney(labelled: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
@@ -231,8 +234,8 @@ def _lookups(texts: list[str | None]):
     grams, owner = grams_of(texts)
     keys = {}
     for k in range(SHARED + 1, ORDER + 1):
-        keys[2 * k] = grams & np.int64((1 << SYMBOL_BITS * k) - 1)
-        keys[2 * k + 1] = keys[2 * k] >> np.int64(SYMBOL_BITS)
+        keys[2 * k] = grams & np.int64((1 << SYMBOL_BITS * k) - 1) if k < ORDER else grams
+        keys[2 * k + 1] = grams >> np.int64(SYMBOL_BITS) & np.int64((1 << SYMBOL_BITS * (k - 1)) - 1)
     words, counts = word_keys(texts)
     prev = _before(words, counts)
     keys |= {WORDS: words, AFTER: prev, PAIRS: _pair(prev, words)}

@@ -688,6 +688,19 @@ def test_toxicity_tells_word_pairs_apart(spark):
     assert len(held) > 80 and all(r.predicted == (r.doc_id % 3 == 0) for r in held)
 
 
+def test_letters_have_symbols_of_their_own(spark):
+    letters = [chr(c) for c in range(0x10000) if chr(c).isalpha() and chr(c).lower() == chr(c)]
+    grams = toxicity.grams_of(letters)[0].reshape(len(letters), 3)
+    assert len(np.unique(grams[:, 1])) == len(letters)
+    ship(spark)
+    wide = "".join(letters[-400:-200])
+    data = [(1, wide), (0, wide[::-1])]
+    table = toxicity.score_table(spark.createDataFrame(data, "toxic int, text string")).filter(f"kind > {toxicity.PAIRS}").collect()
+    values = {(r.kind, r.key): r.llr for r in table}
+    keys = toxicity._lookups([wide])[0]
+    assert all((kind, int(g)) in values for kind in range(2 * toxicity.SHARED + 2, 2 * toxicity.ORDER + 2) for g in keys[kind])
+
+
 def test_toxicity_table_holds_every_key_once(spark):
     ship(spark)
     data = [(1, "x1 bad x1 thing"), (0, "a good thing x2"), (0, None)]
