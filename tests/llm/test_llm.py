@@ -688,6 +688,20 @@ def test_toxicity_tells_word_pairs_apart(spark):
     assert len(held) > 80 and all(r.predicted == (r.doc_id % 3 == 0) for r in held)
 
 
+def test_toxicity_tells_words_of_the_same_strings_apart(spark):
+    random.seed(22)
+    rows, labels = [], []
+    for i in range(600):
+        ends = ("fox", "gul") if i % 3 else ("gul", "fox")  # both classes hold the same strings of four letters, equally often
+        words = [a + "mirad" + b for a, b in zip(("bet", "kos"), ends, strict=True)] * 6
+        filler = ["".join(random.choices("abcdefghij", k=6)) for _ in range(12)]
+        rows.append((i, " ".join(w for pair in zip(words, filler, strict=True) for w in pair), "en", "a"))
+        labels.append((i, 1, int(i % 3 == 0)))
+    got = toxicity.toxicity_scores(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    held = [r for r in got if r.held_out]
+    assert len(held) > 80 and all(r.predicted == (r.doc_id % 3 == 0) for r in held)
+
+
 def test_letters_have_symbols_of_their_own(spark):
     letters = [chr(c) for c in range(0x10000) if chr(c).isalpha() and chr(c).lower() == chr(c)]
     grams = toxicity.grams_of(letters)[0].reshape(len(letters), 3)
