@@ -59,6 +59,9 @@ def canonical(pdf: pd.DataFrame) -> list[tuple]:
 def compare(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} expected {sorted(want.columns)}"
+    # pandas shows a whole-number column with nulls as floats, unless its type allows for nulls
+    nullable = {c: "Int64" for c in got.columns if str(want[c].dtype).startswith("Int") and got[c].dtype.kind == "f"}
+    got = got.astype(nullable)
     a, b = canonical(got), canonical(want)
     if a != b:
         extra, lacking = [r for r in a if r not in set(b)][:2], [r for r in b if r not in set(a)][:2]
