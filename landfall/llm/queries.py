@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import block_naming, fingerprint, langid, middle, mixing, ngram_join, packing, pii, repeats, toxicity, wavelet
+from landfall.llm import block_naming, divergence, fingerprint, langid, middle, mixing, ngram_join, packing, pii, repeats, toxicity, wavelet
 from landfall.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op6(spark, sf_dir):
 @query("op13_fill_in_middle", middle.ORACLE)
 def op13(spark, sf_dir):
     return middle.digests(documents(spark, sf_dir))
+
+
+@query("op12_source_divergence", divergence.ORACLE)
+def op12(spark, sf_dir):
+    return divergence.audit_sources(documents(spark, sf_dir))
