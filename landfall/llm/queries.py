@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import block_naming, divergence, fingerprint, langid, middle, mixing, ngram_join, packing, pii, repeats, toxicity, wavelet
+from landfall.llm import block_naming, divergence, fingerprint, langid, middle, mixing, ngram_join, packing, pii, quality_votes, repeats, toxicity, wavelet
 from landfall.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,11 @@ def op13(spark, sf_dir):
 @query("op12_source_divergence", divergence.ORACLE)
 def op12(spark, sf_dir):
     return divergence.audit_sources(documents(spark, sf_dir))
+
+
+@query("op11_weak_supervision_quality")
+def op11(spark, sf_dir):
+    judged = quality_votes.judge_quality(documents(spark, sf_dir))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
