@@ -7,6 +7,9 @@ group instead of all its pairs.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -138,6 +141,20 @@ def anomaly_sample(diff: DataFrame, keys: list[str], n: int = 20) -> DataFrame:
     return diff.where(F.col("status") != "same").orderBy(*keys).limit(n)
 
 
+def fault_sample(diff: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
+    """Up to n keys of each fault: of each status, and of each column that changed.
+
+    A key stands under every fault it shows, so a column that differs everywhere cannot crowd out another. Keys are chosen by
+    the md5 of their texts, then by themselves. The n smallest of each fault are kept in the tasks before the shuffle; a fault with
+    all rows sends n rows a task.
+    """
+    columns = F.when(F.col("changed_columns") == "", F.array(F.lit(""))).otherwise(F.split("changed_columns", ","))
+    faults = diff.where(F.col("status") != "same").select("*", F.explode(columns).alias("fault_column"))
+    first = W.partitionBy("status", "fault_column").orderBy(F.md5(F.concat_ws(SEPARATOR, *[F.col(k).cast("string") for k in keys])), *keys)
+    ranked = faults.withColumn("place", F.row_number().over(first)).where(F.col("place") <= n)
+    return ranked.select("status", "fault_column", F.col("place").cast("int").alias("place"), *keys, "n_new", "n_old", "changed_columns")
+
+
 def align_snapshot(new: DataFrame, old: DataFrame, on: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cut both copies to their common window on ``on`` and describe the boundary.
 
@@ -168,6 +185,25 @@ def align_snapshot(new: DataFrame, old: DataFrame, on: str) -> tuple[DataFrame,
     return new.where(inside), old.where(inside), boundary
 
 
+def align_batches(new: DataFrame, old: DataFrame, on: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cut both copies to the days or batches that both hold.
+
+    ``on`` names the batch of a row, a partition column if there is one. The boundary row lists what only one copy
+    holds; ``near`` says that there is such a batch, ``incomparable`` that none is shared. The driver holds one value for each
+    batch, which become a literal filter on both scans. Rows without a batch are in neither.
+    """
+    sides = [df.select(F.col(on).alias("batch"), F.lit(flag).alias("new")) for df, flag in ((new, True), (old, False))]
+    held = sides[0].unionByName(sides[1]).where("batch is not null").groupBy("batch")
+    held = held.agg(F.bool_or("new").alias("in_new"), F.bool_or(~F.col("new")).alias("in_old")).orderBy("batch").collect()
+    shared = [r.batch for r in held if r.in_new and r.in_old]
+    only = {"new": [r.batch for r in held if not r.in_old], "old": [r.batch for r in held if not r.in_new]}
+    name = "incomparable" if not shared else "near" if only["new"] or only["old"] else "same"
+    row = (name, len(shared), *[[str(b) for b in only[s]] for s in ("new", "old")])
+    boundary = new.sparkSession.createDataFrame([row], "boundary string, common_batches bigint, only_new array<string>, only_old array<string>")
+    inside = F.col(on).isin(shared)
+    return new.where(inside), old.where(inside), boundary
+
+
 def common_metrics(new: DataFrame, old: DataFrame) -> DataFrame:
     """Metrics defined on both sides, from two ``(metric_name, metric_value)`` frames."""
     return new.select("metric_name", F.col("metric_value").alias("new_value")).join(
@@ -257,3 +293,48 @@ def count_chain(stages: list[tuple[str, DataFrame, str]]) -> DataFrame:
         "stage_no", "stage", "row_count", delta.alias("delta"),
         F.when(delta == 0, "unchanged").when(wrong, F.concat(F.lit("contradicted: "), "reason")).otherwise(F.col("reason")).alias("reason"),
     )
+
+
+@dataclass(frozen=True)
+class Stage:
+    """One stage of an explained chain: its rows, and how many were added or taken away for each reason.
+
+    ``reasons`` maps a reason to a one-row frame with the column ``n``, positive for rows added and negative for rows
+    taken away, counted where it happened and not derived from the totals.
+    """
+
+    name: str
+    rows: DataFrame
+    reasons: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def explained_chain(stages: list[Stage]) -> DataFrame:
+    """Row counts along the way, each change set against the counted reasons for it.
+
+    ``unexplained`` is what the reasons do not account for; ``result`` is ``unchanged``, ``explained`` or
+    ``unexplained``. Reasons that cancel out in the total are shown, and a wrong one shows as a rest.
+    """
+    counts, reasons = [], []
+    for i, stage in enumerate(stages, 1):
+        counts.append(stage.rows.agg(F.count("*").alias("row_count")).select(F.lit(i).cast("bigint").alias("stage_no"), F.lit(stage.name).alias("stage"), "row_count"))
+        reasons += [
+            n.select(F.lit(i).cast("bigint").alias("stage_no"), F.lit(why).alias("reason"), F.col("n").cast("bigint").alias("n"))
+            for why, n in stage.reasons.items()
+        ]
+    chain = reduce(DataFrame.unionByName, counts)
+    if reasons:
+        told = reduce(DataFrame.unionByName, reasons).groupBy("stage_no").agg(
+            F.sum("n").alias("explained"),
+            F.array_join(F.sort_array(F.collect_list(F.format_string("%s %+d", "reason", "n"))), ", ").alias("reasons"),
+        )
+        chain = chain.join(told, "stage_no", "left")
+    else:
+        chain = chain.withColumns({"explained": F.lit(0).cast("bigint"), "reasons": F.lit("")})
+    before = F.lag("row_count").over(W.orderBy("stage_no"))
+    delta = F.coalesce(F.col("row_count") - before, F.lit(0))
+    rest = delta - F.coalesce("explained", F.lit(0))
+    result = F.when(rest != 0, "unexplained").when(F.coalesce("reasons", F.lit("")) != "", "explained").otherwise("unchanged")
+    return chain.select(
+        "stage_no", "stage", "row_count", delta.alias("delta"), F.coalesce("reasons", F.lit("")).alias("reasons"),
+        rest.alias("unexplained"), result.alias("result"),
+    )

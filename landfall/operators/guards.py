@@ -45,16 +45,24 @@ def verdict(measures: DataFrame, rules: list[tuple[str, Column]], checked: str)
     )
 
 
-def run_guards(guards: list[Guard]) -> dict[str, int]:
-    """Run guards in order; raise on the first broken one, return the checked counts otherwise."""
-    checked = {}
+def measure_guards(guards: list[Guard]) -> dict[str, dict]:
+    """Run guards in order; raise on the first broken one, return all their measures otherwise.
+
+    What a guard has counted need not be counted again: reports take it from here.
+    """
+    measured = {}
     for guard in guards:
         row = guard.frame.first().asDict()
         if row["code"] is not None:
             counts = {k: v for k, v in row.items() if k not in ("code", "checked_count")}
             raise GuardError(row["code"], counts)
-        checked[guard.name] = row["checked_count"]
-    return checked
+        measured[guard.name] = row
+    return measured
+
+
+def run_guards(guards: list[Guard]) -> dict[str, int]:
+    """Run guards in order; raise on the first broken one, return the checked counts otherwise."""
+    return {name: row["checked_count"] for name, row in measure_guards(guards).items()}
 
 
 def metadata_broken(spec: DatasetSpec, dt: str) -> Column:
@@ -188,11 +196,13 @@ def child_verdict(
     parent, child = F.col(parent_id), F.col(child_id)
     measures = expanded.select(
         (parent.isNull() | (F.col(pos).isNotNull() & child.isNull())).alias("broken"),
+        F.col(pos).isNull().alias("childless"),
         technical_id(pos, parent, child).alias("technical_id"),
     ).agg(
         F.count("*").alias("expanded_count"),
         F.countDistinct("technical_id").alias("distinct_count"),
         count_where(F.col("broken")).alias("invalid_count"),
+        count_where(F.col("childless")).alias("childless_count"),
     )
     rules = [("INVALID_PARENT_OR_ITEM_ID", F.col("invalid_count") > 0)]
     if on_duplicate == "fail":

@@ -22,13 +22,21 @@ def touched_target(target: DataFrame, touched: DataFrame) -> DataFrame:
 
 
 def last_partitions(df: DataFrame, dt: str, n: int = 7) -> DataFrame:
-    """The n newest partitions up to a date."""
+    """The n newest partitions up to a date.
+
+    ``df`` may be the rows, whose days are then scanned, or just the days (``catalog_days``, ``folder_days``).
+    """
     return df.where(F.col("dt") <= dt).select("dt").distinct().orderBy(F.desc("dt")).limit(n)
 
 
-def recent_partitions(df: DataFrame, dt: str, n: int = 7) -> DataFrame:
-    """Rows of the n newest partitions; the build side has at most n rows."""
-    return df.join(F.broadcast(last_partitions(df, dt, n)), "dt", "left_semi")
+def recent_partitions(df: DataFrame, dt: str, n: int = 7, days: DataFrame | None = None) -> DataFrame:
+    """Rows of the n newest partitions up to a date.
+
+    With ``days``, the days known from metadata, their n newest become a literal partition filter, so
+    no older file is opened even to learn its day. Without it the days are those of the rows.
+    """
+    newest = last_partitions(df if days is None else days, dt, n)
+    return df.where(F.col("dt").isin([r.dt for r in newest.collect()]))
 
 
 def _single(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions import is_blank, not_in_domain, null_safe_ne, null_to, num0, technical_id
@@ -40,19 +40,53 @@ def source_measures(
     return combine_one_row(rows, parents)
 
 
+def written_measures(blanks: list[str], times: list[str]) -> dict[str, Column]:
+    """The measures of a target that need no distinct, so they can be observed while it is written."""
+    named = {
+        "target_row_count": F.count("*"),
+        "target_null_id_count": count_where(F.col("id").isNull()),
+        **{f"empty_{c}_count": count_where(is_blank(c)) for c in blanks},
+    }
+    for t in times:
+        named[f"earliest_{t}"], named[f"latest_{t}"] = time_bounds(t)
+    return named
+
+
 def target_measures(
     target: DataFrame, parent_key: str, blanks: list[str], times: list[str], parent: str = "parent"
 ) -> DataFrame:
-    rows = target.agg(
-        F.count("*").alias("target_row_count"),
-        F.countDistinct("id").alias("target_distinct_id_count"),
-        count_where(F.col("id").isNull()).alias("target_null_id_count"),
-        *[count_where(is_blank(c)).alias(f"empty_{c}_count") for c in blanks],
-        *[b for t in times for b in time_bounds(t)],
-    )
+    plain = [c.alias(n) for n, c in written_measures(blanks, times).items()]
+    rows = target.agg(plain[0], F.countDistinct("id").alias("target_distinct_id_count"), *plain[1:])
     return combine_one_row(rows, target.agg(F.countDistinct(parent_key).alias(f"target_{parent}_count")))
 
 
+def quality_from_passes(
+    record: dict, child: dict, written: dict, target: DataFrame, dt: str, parent_key: str, parent: str = "parent"
+) -> DataFrame:
+    """The row of ``quality_parent_child`` from what guards and the write have counted already.
+
+    Only the two distincts of the target are computed, over the files as they were read back.
+    """
+    ids = target.agg(F.countDistinct("id").alias("n")).first().n
+    parents = target.agg(F.countDistinct(parent_key).alias("n")).first().n
+    source = {
+        "source_expanded_count": child["expanded_count"],
+        f"source_empty_item_{parent}_count": child["childless_count"],
+        "source_distinct_id_count": child["distinct_count"],
+        f"source_{parent}_count": record["distinct_count"],
+    }
+    first, *others = written
+    row = {"affected_dt": dt, **source, first: written[first], "target_distinct_id_count": ids}
+    row |= {n: written[n] for n in others} | {f"target_{parent}_count": parents}
+    return one_row(target.sparkSession, row)
+
+
+def one_row(spark: SparkSession, values: dict) -> DataFrame:
+    """Counts and texts as a frame that depends on no table."""
+    kinds = ", ".join(f"`{n}` {'bigint' if isinstance(v, int) else 'string'}" for n, v in values.items())
+    return spark.createDataFrame([tuple(values.values())], kinds)
+
+
 def quality_parent_child(
     records: DataFrame, target: DataFrame, dt: str, child: str, parent_id: str, parent_key: str,
     blanks: list[str], times: list[str], parent: str = "parent",
@@ -63,18 +97,37 @@ def quality_parent_child(
     return combine_one_row(src, tgt).select(F.lit(dt).alias("affected_dt"), "*")
 
 
-def quality_touched(target: DataFrame, touched: DataFrame, key: str, id_col: str, time: str, updated: str) -> DataFrame:
-    """Counts, keys and time bounds over the touched partitions only."""
-    rows = touched_target(target, touched)
-    main = rows.agg(
-        F.count("*").alias("row_count"),
-        F.countDistinct(key).alias(f"distinct_{key}_count"),
-        count_where(is_blank(key)).alias(f"empty_{key}_count"),
-        count_where(F.col(id_col).isNull()).alias(f"null_{id_col}_count"),
-        *time_bounds(time),
-        F.max(updated).alias(f"latest_{updated}"),
-    )
-    return combine_one_row(main, rows.agg(F.countDistinct(id_col).alias(f"distinct_{id_col}_count")))
+def touched_measures(key: str, id_col: str, time: str, updated: str) -> dict[str, Column]:
+    """What ``quality_touched`` reports and needs no distinct."""
+    earliest, latest = time_bounds(time)
+    return {
+        "row_count": F.count("*"),
+        f"empty_{key}_count": count_where(is_blank(key)),
+        f"null_{id_col}_count": count_where(F.col(id_col).isNull()),
+        f"earliest_{time}": earliest,
+        f"latest_{time}": latest,
+        f"latest_{updated}": F.max(updated),
+    }
+
+
+def quality_touched(
+    target: DataFrame, touched: DataFrame | None, key: str, id_col: str, time: str, updated: str, written: dict | None = None
+) -> DataFrame:
+    """Counts, keys and time bounds over the touched partitions only.
+
+    Without ``touched`` the target is what one publish wrote; ``written`` are the measures observed then, so only the
+    two distincts read it.
+    """
+    rows = target if touched is None else touched_target(target, touched)
+    main = [F.countDistinct(key).alias(f"distinct_{key}_count")]
+    if written is None:
+        main += [c.alias(n) for n, c in touched_measures(key, id_col, time, updated).items()]
+    both = combine_one_row(rows.agg(*main), rows.agg(F.countDistinct(id_col).alias(f"distinct_{id_col}_count")))
+    if written is not None:
+        plan = rows.agg(*[c.alias(n) for n, c in touched_measures(key, id_col, time, updated).items()]).schema
+        both = combine_one_row(target.sparkSession.createDataFrame([tuple(written[n] for n in plan.names)], plan), both)
+    names = ["row_count", f"distinct_{key}_count", f"empty_{key}_count", f"null_{id_col}_count"]
+    return both.select(*names, f"earliest_{time}", f"latest_{time}", f"latest_{updated}", f"distinct_{id_col}_count")
 
 
 def quality_tree(target: DataFrame, dt: str) -> DataFrame:
@@ -150,13 +203,15 @@ def recon_distribution(target: DataFrame, cols: list[str], key: str, parent: str
 
 
 def recon_trend(
-    target: DataFrame, dt: str, key: str, id_col: str, blank: str, time: str, n: int = 7, parent: str = "parent"
+    target: DataFrame, dt: str, key: str, id_col: str, blank: str, time: str, n: int = 7, parent: str = "parent",
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Measures of the last n landed partitions, newest first.
 
-    Distinct parents and distinct ids are computed apart and joined on the few partitions.
+    The partitions are found once, from ``days`` if given. Distinct parents and distinct ids are computed
+    apart and joined on the few partitions.
     """
-    rows = recent_partitions(target, dt, n)
+    rows = recent_partitions(target, dt, n, days)
     main = partition_trend(
         rows,
         {
@@ -230,6 +285,16 @@ TREE_RULES = (
     ("14", 0), ("15", 0), ("18", 0), ("19", 0), ("20", 0), ("21", 0), ("22", 0),
 )
 
+# A batch whose envelopes state its size proves its completeness by that, in any number of envelopes.
+SHARDED_METRICS = {"25_stated_batch_count": "batch_count"}
+SHARDED_RULES = (("25", "03"), *TREE_RULES[1:])
+
+
+def expanded_rows() -> Column:
+    """Detail rows of one node, from the lengths of its lists; an empty list keeps one row."""
+    length = lambda c: F.greatest(F.coalesce(F.array_size(c), F.lit(0)), F.lit(1))
+    return (length("basic_info.msku_fnsku_list") * length("suggest_info.suggest_sm_list")).cast("bigint")
+
 
 def node_measures(nodes: DataFrame) -> DataFrame:
     """Counts over unfolded nodes with SKU and transport lists still unexpanded.
@@ -237,8 +302,7 @@ def node_measures(nodes: DataFrame) -> DataFrame:
     The expanded row counts follow from the list lengths (an empty list keeps one row), so the
     node-by-SKU-by-transport product is never produced just to be counted.
     """
-    length = lambda c: F.greatest(F.coalesce(F.array_size(c), F.lit(0)), F.lit(1))
-    rows = (length("basic_info.msku_fnsku_list") * length("suggest_info.suggest_sm_list")).cast("bigint")
+    rows = expanded_rows()
     is_parent, hash_id = F.col("is_parent") == 1, F.col("basic_info.hash_id")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return nodes.agg(
@@ -279,13 +343,14 @@ def tree_target_measures(target: DataFrame) -> DataFrame:
     return combine_one_row(rows, grain_duplicates(target, grain))
 
 
-def recon_metrics_long(envelope: DataFrame, nodes: DataFrame, target: DataFrame, dt: str) -> DataFrame:
-    """The 24 acceptance metrics of a tree dataset as text rows, in name order.
+def recon_metrics_long(envelope: DataFrame, nodes: DataFrame, target: DataFrame, dt: str, sharded: bool = False) -> DataFrame:
+    """The 24 acceptance metrics of a tree dataset as text rows, in name order; a 25th if the batch is ``sharded``.
 
-    ``envelope`` is the envelope verdict frame, ``nodes`` the unfolded tree.
+    ``envelope`` is the envelope verdict frame, ``nodes`` the unfolded tree. ``TREE_RULES`` judge a batch in one envelope,
+    ``SHARDED_RULES`` one whose envelopes state its size.
     """
     row = combine_one_row(combine_one_row(envelope, node_measures(nodes)), tree_target_measures(target))
-    long = metrics_long(row, TREE_METRICS)
+    long = metrics_long(row, TREE_METRICS | (SHARDED_METRICS if sharded else {}))
     return long.select(F.lit(dt).alias("affected_dt"), "metric_name", "metric_value").orderBy("metric_name")
 
 

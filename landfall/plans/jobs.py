@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from landfall.functions import batch_position_id, position_overflow
-from landfall.operators.aggregates import count_where
+from landfall.operators.aggregates import count_where, sum0
 from landfall.operators.expand import expand_children, expand_siblings, expand_zipped, global_positions, unfold_tree
 from landfall.operators.guards import (
     Guard,
@@ -17,6 +16,7 @@ from landfall.operators.guards import (
     any_cast_fault,
     child_verdict,
     envelope_verdict,
+    measure_guards,
     record_verdict,
     run_guards,
     staged_envelope_verdict,
@@ -24,25 +24,30 @@ from landfall.operators.guards import (
 )
 from landfall.operators.latest import dedup, enrich_latest
 from landfall.operators.pages import collect_pages, key_source_verdict, landing_guard, request_plan
-from landfall.operators.partitions import touched_partitions
-from landfall.operators.quality import quality_parent_child, quality_touched, quality_tree
+from landfall.operators.quality import (
+    expanded_rows,
+    quality_from_passes,
+    quality_touched,
+    quality_tree,
+    touched_measures,
+    written_measures,
+)
 from landfall.plans.price_queue import partition_day
 from landfall.plans.restocking import NODE_COLUMNS, seller_join
 from landfall.plans.shipments import listing_join
 from landfall.session import Scratch, pin
 from landfall.sources.envelopes import (
-    CORRUPT,
     matching_envelopes,
     read_envelopes,
     stage_batch,
+    wrap_records,
     write_empty_envelope,
     write_json,
 )
-from landfall.sources.flat import read_flat, stored_formats, write_routed
+from landfall.sources.flat import decide_storage, flat_schema, read_flat, record_storage, write_flat
 from landfall.sources.keys import read_keys, valid_keys
-from landfall.sources.publish import publish_partition, publish_touched
-from landfall.sources.schemas import StorageConflict
-from landfall.sources.tables import ensure_table, register_partitions
+from landfall.sources.tables import ensure_table, move_partitions
+from landfall.sources.versions import Published, new_batch_id, publish_version, read_published, read_version
 from landfall.spec import DatasetSpec, contract_schema
 
 
@@ -53,16 +58,28 @@ def load_batch(spec: DatasetSpec, dt: str, scratch: Scratch) -> tuple[DataFrame,
 
 
 def read_target(spark: SparkSession, spec: DatasetSpec, dt: str | None = None) -> DataFrame:
-    target = spark.read.schema(contract_schema(spec.fields)).parquet(spec.target)
-    return target.where(F.col("dt") == dt) if dt else target
+    """The published rows in force, of one day or all."""
+    return read_published(spark, spec.target, contract_schema(spec.fields), [dt] if dt else None)
+
 
+def publish(
+    spec: DatasetSpec, rows: DataFrame, batch_id: str, dt: str | None = None, expected_rows: int | None = None,
+    measures: dict[str, Column] | None = None,
+) -> tuple[Published, DataFrame]:
+    """Publish detail rows as a new version; returns what was done and the version as read back.
 
-def expose(spark: SparkSession, spec: DatasetSpec, days: list[str]) -> None:
-    """Make published days visible in the dataset's catalog table, creating it from the contract if it is new."""
+    The catalog table follows the manifest: its partitions are pointed at the new folders. Queries on it
+    that have begun go on with the old files.
+    """
+    spark = rows.sparkSession
+    done = publish_version(
+        rows, spec.target, spec.name, batch_id, dt, expected_rows=expected_rows, empty_policy=spec.empty_policy, measures=measures
+    )
     if spec.table:
         ensure_table(spark, spec.table, spec.fields, spec.target)
-        register_partitions(spark, spec.table, {d: f"{spec.target}/dt={d}" for d in days})
+        move_partitions(spark, spec.table, {d: f"{spec.target}/v={batch_id}/dt={d}" for d in done.days})
         spark.catalog.refreshTable(spec.table)
+    return done, read_version(spark, spec.target, contract_schema(spec.fields), batch_id)
 
 
 def _early(spec: DatasetSpec, df: DataFrame, *extra) -> DataFrame:
@@ -91,27 +108,29 @@ def parent_child_detail(
     return _finish(spec, enrich_latest(flat, dim, **listing_join(), scratch=scratch))
 
 
-def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) -> DataFrame:
-    """Shipments of one date: guards, expansion, enrichment, one partition replaced, quality row."""
+def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame, batch_id: str | None = None) -> DataFrame:
+    """Shipments of one date: guards, expansion, enrichment, one day published, quality row.
+
+    Every count is taken once. The guards' counts of the source and those observed while the target is written go into
+    the report, which adds only the two distincts of the target as read back.
+    """
+    blanks, times = ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"]
     with Scratch(spark) as scratch:
         staged, records = load_batch(spec, dt, scratch)
         expanded = expand_children(records, spec.child)
         child = child_verdict(expanded, f"rec.{spec.unique}", f"item.{spec.child_key}", on_duplicate=spec.on_duplicate)
-        checked = run_guards(
+        measured = measure_guards(
             [
                 Guard("envelope", staged_envelope_verdict(staged, spec, dt)),
                 Guard("record", record_verdict(records, spec)),
                 Guard("child", child),
             ]
         )
-        rows = parent_child_detail(spec, records, dim, scratch)
-        publish_partition(rows, spec.target, dt, spec.empty_policy, checked["child"])
-        expose(spark, spec, [dt])
-        report = quality_parent_child(
-            records, read_target(spark, spec, dt), dt, spec.child, spec.unique, "relate_id",
-            ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"], "shipment",
-        )
-        return pin(report.withColumnRenamed("empty_country_count", "listing_country_unmatched_count"))
+        rows = parent_child_detail(spec, records, dim, scratch).withColumn("dt", F.lit(dt))
+        expected = measured["child"]["expanded_count"] if spec.on_duplicate == "fail" else None
+        done, target = publish(spec, rows, batch_id or new_batch_id(dt), dt, expected, written_measures(blanks, times))
+        report = quality_from_passes(measured["record"], measured["child"], done.measures, target, dt, "relate_id", "shipment")
+        return report.withColumnRenamed("empty_country_count", "listing_country_unmatched_count")
 
 
 def dynamic_dates_detail(spec: DatasetSpec, records: DataFrame) -> DataFrame:
@@ -122,23 +141,24 @@ def dynamic_dates_detail(spec: DatasetSpec, records: DataFrame) -> DataFrame:
     return flat.drop("_sync", "shard_no", "pos")
 
 
-def run_dynamic_dates(spark: SparkSession, spec: DatasetSpec, dt: str) -> DataFrame:
-    """Price changes of one pull: guards, flattening, the contained dates replaced, quality row."""
+def run_dynamic_dates(spark: SparkSession, spec: DatasetSpec, dt: str, batch_id: str | None = None) -> DataFrame:
+    """Price changes of one pull: guards, flattening, the contained days published together, quality row.
+
+    The days are the folders that the write made, so the records are not read again to find them.
+    """
+    columns = ("business_id", "id", "queue_create_time", "update_time")
     with Scratch(spark) as scratch:
         staged, records = load_batch(spec, dt, scratch)
-        run_guards(
+        measured = measure_guards(
             [
                 Guard("envelope", staged_envelope_verdict(staged, spec, dt)),
                 Guard("record", record_verdict(records, spec)),
             ]
         )
-        publish_touched(dynamic_dates_detail(spec, records), spec.target)
-        touched = touched_partitions(records, partition_day())
-        if spec.table:
-            expose(spark, spec, [r.dt for r in touched.collect() if r.dt is not None])
-        return pin(quality_touched(
-            read_target(spark, spec), touched, "business_id", "id", "queue_create_time", "update_time"
-        ))
+        expected = measured["record"]["record_count"] if spec.on_duplicate == "fail" else None
+        rows = dynamic_dates_detail(spec, records)
+        done, target = publish(spec, rows, batch_id or new_batch_id(dt), None, expected, touched_measures(*columns))
+        return pin(quality_touched(target, None, *columns, written=done.measures))
 
 
 def tree_nodes(spec: DatasetSpec, records: DataFrame) -> DataFrame:
@@ -151,9 +171,13 @@ def tree_nodes(spec: DatasetSpec, records: DataFrame) -> DataFrame:
 
 
 def tree_node_verdict(spec: DatasetSpec, nodes: DataFrame) -> DataFrame:
-    """Lossy casts and position capacity; both would otherwise surface as silent nulls."""
+    """Lossy casts and position capacity; both would otherwise surface as silent nulls.
+
+    ``expanded_count`` is the number of detail rows these nodes must give.
+    """
     measures = nodes.agg(
         F.count("*").alias("node_count"),
+        sum0(expanded_rows()).alias("expanded_count"),
         count_where(position_overflow("parent_pos", spec.position_width)).alias("overflow_count"),
         count_where(any_cast_fault((*spec.casts, ("batch_sync_time", "timestamp_ntz")))).alias("lossy_cast_count"),
     )
@@ -176,17 +200,16 @@ def tree_detail(
     return _finish(spec, enrich_latest(flat, dim, **seller_join(), scratch=scratch))
 
 
-def run_tree(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame) -> DataFrame:
-    """Restocking advice of one date: guards, tree and list expansion, one partition replaced, quality row."""
+def run_tree(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame, batch_id: str | None = None) -> DataFrame:
+    """Restocking advice of one date: guards, tree and list expansion, one day published, quality row."""
     with Scratch(spark) as scratch:
         staged, records = load_batch(spec, dt, scratch)
         envelope = Guard("envelope", staged_envelope_verdict(staged, spec, dt))
         nodes = tree_nodes(spec, records)
-        checked = run_guards([envelope, Guard("nodes", tree_node_verdict(spec, nodes))])
-        rows = tree_detail(spec, nodes, dim, dt, scratch)
-        publish_partition(rows, spec.target, dt, spec.empty_policy, checked["nodes"])
-        expose(spark, spec, [dt])
-        return pin(quality_tree(read_target(spark, spec, dt), dt))
+        measured = measure_guards([envelope, Guard("nodes", tree_node_verdict(spec, nodes))])
+        rows = tree_detail(spec, nodes, dim, dt, scratch).withColumn("dt", F.lit(dt))
+        _, target = publish(spec, rows, batch_id or new_batch_id(dt), dt, measured["nodes"]["expanded_count"])
+        return pin(quality_tree(target, dt))
 
 
 def run_landing(
@@ -214,23 +237,13 @@ def run_landing(
             keys = pages.select("key").distinct()
         plan = request_plan(keys, dt, spec.window_days or 1, closed_window)
         count = landing_guard(pages, plan, id_col, max_page, spec.empty_policy, max_offset)
-        beside = replace(spec, root=scratch.path("landing"))
-        if count == 0:
-            write_empty_envelope(spark, beside.root, spec, dt, sync_time)
-            choice, written = "nested-json", spec.record_schema
+        records = collect_pages(pages).select("rec.*") if count else spark.createDataFrame([], spec.record_schema)
+        choice = decide_storage(spark, spec.root, spec, records.schema, count if est_rows is None else est_rows)
+        if choice == "parquet":
+            landed = land_flat(records, spec, dt, sync_time, count, scratch)
         else:
-            records = collect_pages(pages).select("rec.*")
-            estimate, written = count if est_rows is None else est_rows, records.schema
-            present = stored_formats(spark, spec.root)
-            if present == {"parquet"} and not spec.storage:
-                beside = replace(beside, storage="parquet")
-            choice = write_routed(records, beside.root, beside, dt, sync_time, estimate, rows=count)
-            if present - {"parquet" if choice == "parquet" else "json"}:
-                raise StorageConflict(f"{spec.root} holds {sorted(present)}, the batch is {choice}")
-        landed = count_landed(spark, beside, dt, choice)
-        if landed != count:
-            raise GuardError("ROW_COUNT_MISMATCH", {"landed": landed, "expected": count})
-        promote(spark, beside.root, spec.root, dt, choice, written)
+            landed = land_envelopes(records, spec, dt, sync_time, count, scratch)
+        record_storage(spark, spec.root, choice)
     row = [(spec.name, dt, choice, count, landed)]
     result = spark.createDataFrame(
         row, "dataset string, dt string, storage string, checked_count bigint, landed_count bigint"
@@ -241,20 +254,44 @@ def run_landing(
     return result
 
 
-def promote(spark: SparkSession, beside: str, root: str, dt: str, choice: str, record_schema: T.StructType) -> None:
-    """Replace one day by the checked copy of it; the old day stays until the new one is committed."""
-    if choice == "parquet":
-        day = spark.read.parquet(f"{beside}/dt={dt}").withColumn("dt", F.lit(dt))
-        day.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("dt").parquet(root)
-    else:
-        write_json(read_envelopes(spark, beside, record_schema, dt).drop(CORRUPT, "dt"), root, dt)
-
+def land_envelopes(records: DataFrame, spec: DatasetSpec, dt: str, sync_time: str, count: int, scratch: Scratch) -> int:
+    """Envelopes staged as Parquet, counted through their own guard, then written as JSON over the day.
 
-def count_landed(spark: SparkSession, spec: DatasetSpec, dt: str, choice: str) -> int:
-    """Read a landed batch back and count its records, envelopes through their own guard."""
-    if choice == "parquet":
-        types = {f.name: f.dataType.simpleString() for f in spec.record_schema.fields}
-        return read_flat(spark, spec.root, {**types, "biz_date": "string", "sync_time": "string"}, dt).count()
-    landed_spec = replace(spec, mode="strict", max_envelopes=None)
-    frame = envelope_verdict(read_envelopes(spark, spec.root, spec.record_schema, dt), landed_spec, dt)
+    JSON is written once and not parsed. The old day stays until the new one is committed.
+    """
+    if not count:
+        write_empty_envelope(scratch.spark, spec.root, spec, dt, sync_time)
+        return 0
+    envelopes = scratch.materialize(wrap_records(records, spec, dt, sync_time, rows=count), "landing")
+    landed = count_envelopes(envelopes, spec, dt)
+    check_landed(landed, count)
+    write_json(envelopes, spec.root, dt)
+    return landed
+
+
+def land_flat(records: DataFrame, spec: DatasetSpec, dt: str, sync_time: str, count: int, scratch: Scratch) -> int:
+    """Flat Parquet beside the dataset, footers and rows checked, then copied over the day."""
+    types = {**{f.name: f.dataType.simpleString() for f in records.schema.fields}, "biz_date": "string", "sync_time": "string"}
+    if not count:
+        scratch.spark.createDataFrame([], flat_schema(types)).write.mode("overwrite").parquet(f"{spec.root}/dt={dt}")
+        return 0
+    beside = scratch.path("landing")
+    write_flat(records, beside, types, dt, sync_time)
+    copy = read_flat(scratch.spark, beside, types, dt)
+    landed = copy.count()
+    check_landed(landed, count)
+    copy.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("dt").parquet(spec.root)
+    return landed
+
+
+def check_landed(landed: int, count: int) -> None:
+    if landed != count:
+        raise GuardError("ROW_COUNT_MISMATCH", {"landed": landed, "expected": count})
+
+
+def count_envelopes(envelopes: DataFrame, spec: DatasetSpec, dt: str) -> int:
+    """Records of staged envelopes, through the envelope guard; one leaf of the records is read."""
+    element = envelopes.schema["data"].dataType.elementType
+    narrow = envelopes.withColumns({"dt": F.lit(dt), "data": F.col("data")[element.names[0]]})
+    frame = envelope_verdict(narrow, replace(spec, mode="strict", max_envelopes=None), dt)
     return run_guards([Guard("landed", frame)])["landed"]

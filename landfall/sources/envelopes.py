@@ -14,6 +14,7 @@ from landfall.session import Scratch
 from landfall.spec import DatasetSpec
 
 CORRUPT = "_corrupt"
+ENVELOPE_BYTES = 8 << 20  # of records as Arrow holds them
 ENVELOPE_COLUMNS = ("source", "dataset", "biz_date", "record_count", "sync_time", "shard_no", "batch_count")
 
 
@@ -69,45 +70,70 @@ def matching_envelopes(df: DataFrame, spec: DatasetSpec, dt: str) -> DataFrame:
 
 def write_envelopes(
     df: DataFrame, root: str, spec: DatasetSpec, dt: str, sync_time: str, records_per_envelope: int = 5000,
-    rows: int | None = None,
+    rows: int | None = None, bytes_per_envelope: int = ENVELOPE_BYTES,
 ) -> None:
-    """Wrap records in envelopes of bounded size and write them under ``dt=``.
+    """Wrap records in envelopes of bounded size (``wrap_records``) and write them under ``dt=``."""
+    write_json(wrap_records(df, spec, dt, sync_time, records_per_envelope, rows, bytes_per_envelope), root, dt)
 
-    Every task cuts its own rows into envelopes, so nothing is shuffled, no key can make a
-    group large, and no row ever holds a whole batch. The Arrow step only sets list offsets
-    over the record batch it is given. A known row count is stated in every envelope as the size
-    of the whole batch, by which a reader notices a lost one; a batch that fits one envelope
-    becomes exactly one, however Arrow cuts its batches.
+
+def wrap_records(
+    df: DataFrame, spec: DatasetSpec, dt: str, sync_time: str, records_per_envelope: int = 5000, rows: int | None = None,
+    bytes_per_envelope: int = ENVELOPE_BYTES,
+) -> DataFrame:
+    """Envelopes of at most ``records_per_envelope`` records and about ``bytes_per_envelope`` bytes of them in memory.
+
+    Every task cuts its own rows, so no key can make a group large and no row holds a whole batch. Arrow batches are
+    halved until they fit and small ones put together, so a task holds one envelope and one Arrow batch; a
+    record larger than the bound is an envelope of its own. A known row count is stated in every envelope as the size of the
+    whole batch, by which a reader notices a lost one; a batch that fits one envelope becomes exactly one,
+    for which its few rows are brought together.
     """
-    single = rows is not None and rows <= records_per_envelope
-    if single:
-        df = df.coalesce(1)
+    if rows is not None and rows <= records_per_envelope:
+        df = df.repartition(1)
     head = [spec.source, spec.name, dt, sync_time]
 
+    def pieces(records):
+        """Consecutive parts of a record batch that each fit one envelope."""
+        todo = [records]
+        while todo:
+            part = todo.pop()
+            n = part.num_rows
+            if n > 1 and (n > records_per_envelope or part.nbytes > bytes_per_envelope):
+                half = records_per_envelope if n > records_per_envelope else n // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            elif n:
+                yield part
+
     def wrap(batches):
         task, chunk = TaskContext.get().partitionId(), 0
-        if single:
-            whole = list(batches)
-            batches = pa.Table.from_batches(whole).combine_chunks().to_batches() if whole else []
-        for records in batches:
-            n = records.num_rows
-            cuts = [*range(0, n, records_per_envelope), n]
-            sizes = [high - low for low, high in zip(cuts, cuts[1:])]
-            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), records.to_struct_array())
-            columns = [pa.array([value] * len(sizes)) for value in head]
-            shards = pa.array([(task << 33) | (chunk + i) for i in range(len(sizes))], pa.int64())
-            chunk += len(sizes)
-            total = pa.array([rows] * len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*columns, shards, total, pa.array(sizes, pa.int64()), lists],
+        held, held_rows, held_bytes = [], 0, 0
+
+        def envelope():
+            nonlocal chunk, held, held_rows, held_bytes
+            records = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            lists = pa.ListArray.from_arrays(pa.array([0, held_rows], pa.int32()), records.to_struct_array())
+            numbers = [pa.array([v], pa.int64()) for v in ((task << 33) | chunk, rows, held_rows)]
+            chunk, held, held_rows, held_bytes = chunk + 1, [], 0, 0
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array([value]) for value in head), *numbers, lists],
                 ["source", "dataset", "biz_date", "sync_time", "shard_no", "batch_count", "record_count", "data"],
             )
 
+        for records in batches:
+            for part in pieces(records):
+                full = held_rows + part.num_rows > records_per_envelope or held_bytes + part.nbytes > bytes_per_envelope
+                if held and full:
+                    yield envelope()
+                held.append(part)
+                held_rows, held_bytes = held_rows + part.num_rows, held_bytes + part.nbytes
+        if held:
+            yield envelope()
+
     schema = T.StructType.fromDDL(
         "source STRING, dataset STRING, biz_date STRING, sync_time STRING, shard_no BIGINT, batch_count BIGINT,"
         " record_count BIGINT"
     ).add("data", T.ArrayType(df.schema))
-    write_json(df.mapInArrow(wrap, schema), root, dt)
+    return df.mapInArrow(wrap, schema)
 
 
 def write_empty_envelope(spark: SparkSession, root: str, spec: DatasetSpec, dt: str, sync_time: str) -> None:

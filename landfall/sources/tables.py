@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.sources.partitions import catalog_days
+
 
 def _quote(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
@@ -36,6 +38,17 @@ def register_partitions(spark: SparkSession, table: str, locations: dict[str, st
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
 
 
+def move_partitions(spark: SparkSession, table: str, locations: dict[str, str]) -> None:
+    """Point partitions at new folders, adding those the table does not have yet.
+
+    Files are not touched: a query that has begun reads the old folders to its end.
+    """
+    known = {r.dt for r in catalog_days(spark, table).collect()}
+    register_partitions(spark, table, {d: p for d, p in locations.items() if d not in known})
+    for d in sorted(known & set(locations)):
+        spark.sql(f"ALTER TABLE {table} PARTITION (dt='{_quote(d)}') SET LOCATION '{_quote(locations[d])}'")
+
+
 def read_legacy(
     spark: SparkSession, source, table: str | None, predicates: list[str], columns: list[str], properties=None
 ) -> DataFrame:

@@ -127,7 +127,7 @@ def test_a_failed_read_back_leaves_the_old_day(spark, tmp_path, monkeypatch):
     one, two = pages(spark, ("a", 1, 0, 1, "1")), pages(spark, ("a", 1, 0, 2, "2 3"))
     jobs.run_landing(spark, spec, DT, one, SYNC, "id")
     with monkeypatch.context() as m:
-        m.setattr(jobs, "count_landed", lambda *a: -1)
+        m.setattr(jobs, "count_envelopes", lambda *a: -1)
         with pytest.raises(GuardError):
             jobs.run_landing(spark, spec, DT, two, SYNC, "id", manifest=str(tmp_path / "m"))
     old = read_envelopes(spark, spec.root, spec.record_schema, DT)
@@ -239,12 +239,11 @@ def test_one_definition_of_a_business_date(spark, text):
 def test_published_days_show_in_the_catalog_table(spark, tmp_path):
     fields = (Field("id", "BIGINT", lambda: F.col("id"), comment="the id"),)
     spec = DatasetSpec(name="d", source="s", record_ddl="id BIGINT", target=str(tmp_path / "t"), table=f"faults_{datetime.now():%H%M%S%f}", fields=fields)
-    for day in ("2024-01-01", "2024-01-02"):
-        jobs.publish_partition(ids(spark, 5), spec.target, day, rows=5)
-    jobs.expose(spark, spec, ["2024-01-01", "2024-01-02"])
-    jobs.expose(spark, spec, ["2024-01-02"])
+    for batch, days, n in (("a", ("2024-01-01", "2024-01-02"), 5), ("b", ("2024-01-02",), 3)):
+        rows = spark.range(n).select("id", F.explode(F.array(*[F.lit(d) for d in days])).alias("dt"))
+        jobs.publish(spec, rows, batch)
     table = spark.table(spec.table)
-    assert table.count() == 10 and table.filter("dt = '2024-01-02'").count() == 5
+    assert table.count() == 8 and table.filter("dt = '2024-01-02'").count() == 3
     assert spark.sql(f"DESCRIBE {spec.table}").filter("col_name = 'id'").first().comment == "the id"
     ensure_table(spark, spec.table, fields, spec.target)
     register_partitions(spark, spec.table, {})

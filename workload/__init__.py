@@ -6,6 +6,7 @@ from workload import (  # noqa: F401
     job_queries,
     landing_queries,
     metric_queries,
+    publish_queries,
     reconcile_queries,
     scalar_queries,
     source_queries,
