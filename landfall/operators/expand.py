@@ -30,6 +30,19 @@ def expand_records_children(env: DataFrame, child: str) -> DataFrame:
     return expand_children(explode_records(env, pos=True), child)
 
 
+def expand_levels(env: DataFrame, children: list[str]) -> DataFrame:
+    """Envelope to records and from there down a chain of nested arrays, each level outer.
+
+    Level k adds ``level<k>_pos`` and ``level<k>``, the element; ``position`` is the list of positions from the record down,
+    null from the level on at which nothing follows. A record or child without children keeps one row.
+    """
+    df, parent, places = explode_records(env, pos=True), "rec", [F.col("pos")]
+    for k, child in enumerate(children, 1):
+        df = expand_children(df, child, parent, f"level{k}_pos", f"level{k}")
+        parent, places = f"level{k}", [*places, F.col(f"level{k}_pos")]
+    return df.withColumn("position", F.array(*places))
+
+
 def expand_siblings(df: DataFrame, arrays: dict[str, str]) -> DataFrame:
     """Each array expanded in turn, outer: the per-row product of independent sibling arrays.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -54,3 +54,52 @@ def enrich_latest(
     probe = df.withColumns({f"_probe_{k}": c for k, c in on.items()})
     condition = [F.col(f"_probe_{k}") == F.col(f"_dim_{k}") for k in keys]
     return probe.join(right, condition, "left").drop(*[f"_dim_{k}" for k in keys], *[f"_probe_{k}" for k in keys])
+
+
+# ---- a maintained table of newest rows ---------------------------------------------------
+
+
+def state_version(spark: SparkSession, name: str) -> int:
+    """Number of the version that the view ``name`` shows; 0 if there is none yet."""
+    if not spark.catalog.tableExists(name):
+        return 0
+    return int(spark.sql(f"SHOW TBLPROPERTIES {name} ('version')").first().value)
+
+
+def merge_latest(batch: DataFrame, name: str, location: str, keys: list[str], order: list[str], buckets: int = 64) -> DataFrame:
+    """Merge a batch into the table of newest rows per key and return the table.
+
+    The table is bucketed by its keys, so a merge shuffles the batch alone and rewrites each bucket where it lies; what was
+    merged before is neither ranked nor shuffled again. A row replaces the stored one only if its order
+    columns are larger, so late rows change nothing; at equal order the stored row stays. Rows with a null key are left out.
+    Each merge writes a version of its own; the view ``name`` moves to it in one statement, and the version before
+    the last is dropped from the catalog while its files stay for readers that have begun.
+    """
+    spark, last = batch.sparkSession, state_version(batch.sparkSession, name)
+    newest = latest_per_key(batch.dropna(subset=keys), keys, order)
+    if last:
+        state = spark.table(f"{name}_v{last}")
+        fresh = newest.select(F.struct(*[F.col(c) for c in state.columns]).alias("_fresh"))
+        same = [F.col(k) == F.col(f"_fresh.{k}") for k in keys]
+        absent = F.col("_fresh").isNull() | (F.struct(*order) >= F.struct(*[F.col(f"_fresh.{c}") for c in order])) & F.col(keys[0]).isNotNull()
+        joined = state.join(fresh, same, "full_outer")
+        newest = joined.select(*[F.when(absent, F.col(c)).otherwise(F.col(f"_fresh.{c}")).alias(c) for c in state.columns])
+    version = last + 1
+    writer = newest.write.mode("overwrite").option("path", f"{location}/v{version}").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.saveAsTable(f"{name}_v{version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {name}_v{version}")
+    if version > 2:
+        spark.sql(f"DROP TABLE IF EXISTS {name}_v{version - 2}")
+    return spark.table(name)
+
+
+def enrich_from_state(df: DataFrame, state: DataFrame, on: dict[str, Column], cols: dict[str, Column]) -> DataFrame:
+    """Left join to a table of newest rows that ``merge_latest`` keeps.
+
+    ``on`` maps each key of the table to the probe expression, of the same type. The table is unique by key and bucketed by it, so
+    its side of the join is not shuffled.
+    """
+    right = state.select(*[F.col(k).alias(f"_dim_{k}") for k in on], *[c.alias(n) for n, c in cols.items()])
+    probe = df.withColumns({f"_probe_{k}": c for k, c in on.items()})
+    condition = [F.col(f"_probe_{k}") == F.col(f"_dim_{k}") for k in on]
+    return probe.join(right, condition, "left").drop(*[f"_dim_{k}" for k in on], *[f"_probe_{k}" for k in on])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landfall.functions import blank_to_null, const, day_of, safe_cast
-from landfall.spec import DatasetSpec, Field
+from landfall.plans.comments import PRICE_CHANGE
+from landfall.spec import DatasetSpec, Field, described
 
 # Fields of the landed record that the detail job reads.
 _PRICES = "standard_price STRING, sale_price STRING"
@@ -83,6 +84,7 @@ FIELDS = (
     _json("audit_info"),
     *[_synced(n) for n in "backup_time ods_update_time create_time update_time".split()],
 )
+FIELDS = described(FIELDS, PRICE_CHANGE)
 
 
 def partition_day():

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landfall.functions import blank_to_null, digits_to_long, safe_cast
-from landfall.spec import DatasetSpec, Field
+from landfall.plans.comments import RESTOCKING
+from landfall.spec import DatasetSpec, Field, described
 
 # Names of the landed node's measures.
 AMAZON = (
@@ -121,6 +122,7 @@ FIELDS = (
     _dim("name_y", "dim_seller_name"),
     _dim("country", "dim_country"),
 )
+FIELDS = described(FIELDS, RESTOCKING)
 
 # Text fields of a node that are cast; checked before anything is written.
 NODE_CASTS = (("basic_info.sync_time", "timestamp_ntz"), ("basic_info.sid", "bigint"))

@@ -5,16 +5,29 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landfall.functions import blank_to_null, diff0, map_code, map_label, technical_id
-from landfall.spec import DatasetSpec, Field
+from landfall.plans.comments import SHIPMENT
+from landfall.spec import DatasetSpec, Field, described
 
-# Fields of the landed record that the detail job reads.
-_ADDRESS = "name STRING, country_code STRING, state_or_province_code STRING, city STRING, address_line1 STRING, postal_code STRING"
+# Fields of the landed record, in its order.
+_ADDRESS = (
+    "name STRING, country_code STRING, state_or_province_code STRING, city STRING, region STRING,"
+    " address_line1 STRING, address_line2 STRING, postal_code STRING"
+)
+_ITEM = (
+    "id BIGINT, zid BIGINT, msku STRING, fnsku STRING, asin STRING, sku STRING, quantity_shipped BIGINT,"
+    " init_quantity_shipped BIGINT, quantity_received BIGINT, quantity_shipped_local BIGINT, quantity_in_case BIGINT,"
+    " prep_details STRING, prep_instruction STRING, prep_owner STRING, prep_labelowner STRING, expiration STRING,"
+    " release_date STRING, ware_house_storage_id BIGINT, shipment_plan_list ARRAY<STRUCT<shipment_plan_sn STRING>>"
+)
 RECORD = (
-    "id BIGINT, sid BIGINT, seller STRING, username STRING, shipment_id STRING, shipment_name STRING,"
-    " is_closed BIGINT, shipment_status STRING, gmt_modified STRING, gmt_create STRING, shipping_mode STRING,"
-    " alpha_name STRING, reference_id STRING, working_time STRING, shipped_time STRING, receiving_time STRING,"
-    " closed_time STRING, item_list ARRAY<STRUCT<id BIGINT, msku STRING, fnsku STRING, asin STRING, sku STRING,"
-    " quantity_shipped BIGINT, quantity_received BIGINT, quantity_shipped_local BIGINT, prep_labelowner STRING>>,"
+    "id BIGINT, sid BIGINT, seller STRING, uid BIGINT, username STRING, shipment_id STRING, shipment_name STRING,"
+    " sta_shipment_id STRING, sta_inbound_plan_id STRING, sta_plan_name STRING, is_closed BIGINT, shipment_status STRING,"
+    " gmt_modified STRING, gmt_create STRING, sync_time STRING, destination_fulfillment_center_id STRING,"
+    " is_synchronous BIGINT, is_uploaded_box BIGINT, is_sta BIGINT, shipping_mode STRING, shipping_solution STRING,"
+    " alpha_code STRING, alpha_name STRING, sta_shipment_date STRING, sta_delivery_start_date STRING,"
+    " sta_delivery_end_date STRING, tracking_number_list ARRAY<STRUCT<box_id STRING, tracking_number STRING>>,"
+    f" bill_of_lading_number STRING, freight_bill_number STRING, item_list ARRAY<STRUCT<{_ITEM}>>,"
+    " working_time STRING, shipped_time STRING, receiving_time STRING, closed_time STRING, reference_id STRING,"
     f" ship_from_address STRUCT<{_ADDRESS}, phone STRING>, ship_to_address STRUCT<{_ADDRESS}, doorplate STRING>"
 )
 
@@ -83,6 +96,7 @@ FIELDS = (
     _diff("aar_diff", "quantity_shipped", "quantity_received"),
     *_addresses(),
 )
+FIELDS = described(FIELDS, SHIPMENT)
 
 # Stored differences and the columns they must equal.
 FORMULAS = {

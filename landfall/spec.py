@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import types as T
@@ -20,6 +20,14 @@ class Field:
     comment: str = ""
 
 
+def described(fields: tuple[Field, ...], comments: dict[str, str]) -> tuple[Field, ...]:
+    """Fields with their comments; a field without one, or a comment without a field, is refused."""
+    names = [f.name for f in fields]
+    if set(names) != set(comments):
+        raise ValueError(f"comments and fields differ in {sorted(set(names) ^ set(comments))}")
+    return tuple(replace(f, comment=comments[f.name]) for f in fields)
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     """One dataset. ``max_envelopes=1`` is the single-file contract; ``None`` allows shards.

@@ -64,7 +64,8 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     got = got.astype(nullable)
     a, b = canonical(got), canonical(want)
     if a != b:
-        extra, lacking = [r for r in a if r not in set(b)][:2], [r for r in b if r not in set(a)][:2]
+        ours, theirs = set(a), set(b)
+        extra, lacking = [r for r in a if r not in theirs][:2], [r for r in b if r not in ours][:2]
         return f"rows {len(a)} expected {len(b)}; only spark {extra}; only sql {lacking}"
     kinds = {
         c: (str(got[c].dtype), str(want[c].dtype))

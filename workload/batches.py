@@ -74,6 +74,9 @@ def ship_record(c):
             F.when(j != 2, (j * 10).cast("bigint")).alias("quantity_received"),
             cust.alias("quantity_shipped_local"),
             choose(status, {"O": ""}, "SELLER").alias("prep_labelowner"),
+            F.when(j != 2, upto(j - 2, lambda p: F.struct(text("PL-", key, "-", j, "-", p).alias("shipment_plan_sn")))).alias(
+                "shipment_plan_list"
+            ),
         )
 
     items = F.when((shop == 1) & (status == "F"), None).otherwise(upto(shop - 1, item))

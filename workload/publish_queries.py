@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from landfall.functions import blank_to_null
 from landfall.operators.aggregates import sum0
 from landfall.operators.compare import Stage, align_batches, explained_chain, fault_sample
-from landfall.operators.expand import expand_children, explode_records
+from landfall.operators.expand import expand_children, expand_levels, explode_records
 from landfall.operators.guards import envelope_verdict
-from landfall.operators.latest import dedup
+from landfall.operators.latest import dedup, merge_latest
 from landfall.operators.partitions import last_partitions, recent_partitions
 from landfall.operators.quality import SHARDED_RULES, apply_rules, recon_metrics_long, recon_trend
 from landfall.plans.jobs import tree_detail
 from landfall.session import new_dir
+from landfall.sources.envelopes import read_envelopes
 from landfall.sources.flat import write_flat
 from landfall.sources.footers import footer_census
 from landfall.sources.partitions import folder_days
 from landfall.sources.versions import publish_version, read_manifest, read_published
-from workload.batches import DT, NODES_SQL, RESTOCK, SELLER_SQL, SHIP, SHIP_SQL, SYNC, envelopes, sellers, specs
+from workload.batches import (
+    DT,
+    LISTING_SQL,
+    NODES_SQL,
+    RESTOCK,
+    SELLER_SQL,
+    SHIP,
+    SHIP_SQL,
+    SYNC,
+    envelopes,
+    land,
+    listing,
+    sellers,
+    specs,
+)
 from workload.job_queries import _price, _restock, _ship
 from workload.metric_queries import _TREE_METRICS_SQL, _TREND_SQL, _daily, _nodes
 from workload.reconcile_queries import _DIFF_SQL, _OLD_SQL, _diff, _new, _old
@@ -196,3 +214,43 @@ def l16_explained(spark, sf):
         ]
         chains.append(explained_chain(stages).select(F.lit(name).alias("told"), "*"))
     return chains[0].unionByName(chains[1])
+
+
+# ---- nested levels and maintained state ----------------------------------------------------
+
+_PLANS_SQL = f"""WITH {SHIP_SQL} SELECT id, item_pos AS level1_pos, CAST(r.p - 1 AS INT) AS level2_pos,
+    'PL-' || o_orderkey || '-' || (item_pos + 1) || '-' || r.p AS plan,
+    CAST(1 + (item_pos IS NOT NULL)::INT + (r.p IS NOT NULL)::INT AS INT) AS depth
+    FROM items LEFT JOIN (SELECT unnest(range(1, 5)) AS p) r ON r.p <= item_pos - 1"""
+
+
+def _plans(env):
+    rows = expand_levels(env, ["item_list", "shipment_plan_list"])
+    return rows.select(
+        "rec.id", "level1_pos", "level2_pos", F.col("level2.shipment_plan_sn").alias("plan"),
+        F.size(F.array_compact("position")).alias("depth"),
+    )
+
+
+@query("a1_nested_plans", _PLANS_SQL)
+def a1_plans(spark, sf):
+    """Plans of items of landed shipments: three levels below the envelope."""
+    spec = land(spark, sf, SHIP)[SHIP]
+    return _plans(read_envelopes(spark, spec.root, spec.record_schema, DT))
+
+
+query("d3_expand_levels", _PLANS_SQL)(lambda spark, sf: _plans(envelopes(spark, sf, SHIP)))
+
+
+@query(
+    "e1_maintained_state",
+    f"WITH {LISTING_SQL} SELECT sid, seller_sku, fnsku, id, create_time, parent_asin FROM newest",
+)
+def e1_state(spark, sf):
+    """The newest listing per key after three batches; the last brings the oldest rows."""
+    rows = listing(spark, sf).withColumn("seller_sku", F.trim("seller_sku")).withColumn("parent_asin", blank_to_null("parent_asin"))
+    name, place = f"listing_state_{uuid.uuid4().hex}", new_dir(spark, "state")
+    for part in ("1994-01-01 1996-12-31", "1997-01-01 9999-12-31", "1990-01-01 1993-12-31"):
+        low, high = part.split()
+        state = merge_latest(rows.where(F.col("create_time").between(low, high)), name, place, ["sid", "seller_sku", "fnsku"], ["create_time", "id"], 8)
+    return state.select("sid", "seller_sku", "fnsku", "id", "create_time", "parent_asin")

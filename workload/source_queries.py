@@ -34,8 +34,8 @@ FLAT = {
 def a1(spark, sf):
     spec = land(spark, sf, SHIP)[SHIP]
     env = read_envelopes(spark, spec.root, spec.record_schema)
-    rec = env.select("sync_time", "dt", F.inline("data"))
-    return rec.select("id", "sid", "shipment_id", "sync_time", "dt", F.coalesce(F.array_size("item_list").cast("string"), F.lit("none")).alias("n_items"))
+    rec = env.select(F.col("sync_time").alias("batch_sync_time"), "dt", F.inline("data"))
+    return rec.select("id", "sid", "shipment_id", F.col("batch_sync_time").alias("sync_time"), "dt", F.coalesce(F.array_size("item_list").cast("string"), F.lit("none")).alias("n_items"))
 
 
 def _events_by_day(spark, sf):
