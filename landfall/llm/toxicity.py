@@ -4,8 +4,10 @@ Two character models of order four, one of toxic and one of ordinary text, keep
 highest orders. What a model has rarely seen it takes from below, and below both use the same Kneser-Ney
 counts: the number of distinct characters that precede a shorter n-gram in either class. So a rare expression
 says as much as its class evidence and no more; where neither class has seen it, only the trust each puts into
-its own counts remains. The score of a text is the difference of its two log-likelihoods for each character,
-made a probability on labelled rows that the counts do not hold.
+its own counts remains. The score of a text is the difference of its two log-likelihoods for each character, or
+the largest for each word over short windows, since a few toxic words drown in the mean of a long text. A logistic
+curve makes it a probability on labelled rows that the counts do not hold, and those rows decide which of the
+two ranks better, or both.
 
 Words and pairs of words have models of the same kind, which add their log-ratios, so that expressions longer
 than four letters, digits and signs count too. All counts are exact and grow with the labelled text. Scoring
@@ -31,6 +33,8 @@ SHARED = 2  # orders up to this have one set of counts for both classes
 DISCOUNT = 0.75
 SYMBOL_BITS = 16  # a letter below 4096 is its code point, up to U+FFFF it has a symbol of its own
 WORDS, AFTER, PAIRS = 0, 1, 2  # kinds of keys; 2 k and 2 k + 1 are the n-grams of order k and their contexts
+WINDOWS = (1, 4)  # words; the largest mean ratio over so many in a row tells a few toxic words in a long text
+FIT_ROWS = 50_000  # of labelled rows that the curve is fitted to, the first by hash
 SLICE_CHARS = 1_000_000
 CHUNK_CHARS = 4_000_000  # of documents that look up their n-grams together
 _EDGES = re.compile(r"[^\w\s]+(?=\s|$)|(?<!\S)[^\w\s]+")
@@ -171,15 +175,38 @@ def _before(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches) -> Iterator:
-    """(prev, word, toxic, n) sums of one batch."""
+    """(prev, word, t, o) sums of one task, both classes in one row, handed on whenever too many are held."""
     import pyarrow as pa
 
+    parts, held = [], 0
+
+    def summed():
+        prev, word, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        order = np.lexsort((word, prev))
+        prev, word, n = prev[order], word[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], (prev[1:] != prev[:-1]) | (word[1:] != word[:-1])])) if len(prev) else order
+        return prev[first], word[first], np.add.reduceat(n, first, axis=0) if len(first) else n
+
+    def batch():
+        prev, word, n = parts[0]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (prev, word, n[:, 0].copy(), n[:, 1].copy())], names=["prev", "word", "t", "o"])
+
     for rows in batches:
         labels, texts = rows.column(0).to_numpy(), rows.column(1).to_pylist()
-        words, counts = word_keys(texts)
-        triples = np.stack([_before(words, counts), words, np.repeat(labels, counts)], axis=1)
-        found, n = np.unique(triples, axis=0, return_counts=True) if len(words) else (triples, words)
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2].astype(np.int32)), pa.array(n)], names=["prev", "word", "toxic", "n"])
+        for at, to in _slices(texts):
+            words, counts = word_keys(texts[at:to])
+            toxic = np.repeat(labels[at:to], counts).astype(np.int64)
+            parts.append((_before(words, counts), words, np.stack([toxic, 1 - toxic], axis=1)))
+            held += len(words)
+            if held > _MERGE:
+                parts = [summed()]
+                held = len(parts[0][0])
+                if held > _MERGE // 2:
+                    yield batch()
+                    parts, held = [], 0
+    if parts:
+        parts = [summed()]
+        yield batch()
 
 
 def _own(c: str, all_: str):
@@ -196,10 +223,9 @@ def word_models(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     Pairs and words have counts for each class; a word's are the distinct words before it. Below, both classes
     share the distinct words before it in either.
     """
-    counted = labelled.select("toxic", "text").mapInArrow(_count_words, "prev long, word long, toxic int, n long")
-    of = lambda label: F.sum(F.when(F.col("toxic") == label, F.col("n")).otherwise(0))
+    counted = labelled.select("toxic", "text").mapInArrow(_count_words, "prev long, word long, t long, o long")
     seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    pairs = stage(counted.groupBy("prev", "word").agg(of(1).alias("t"), of(0).alias("o")), "kn-pairs")
+    pairs = stage(counted.groupBy("prev", "word").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "kn-pairs")
     words = stage(pairs.groupBy("word").agg(seen("t").alias("t"), seen("o").alias("o"), F.count("*").alias("n")), "kn-words")
     sums = [F.sum("t").alias("at"), F.sum("o").alias("ao"), seen("t").alias("tt"), seen("o").alias("to")]
     total = words.agg(*sums, F.sum("n").alias("an")).first()
@@ -275,9 +301,23 @@ def _asked(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(np.full(len(keys), numbers[at]))], names=["kind", "key", "chunk"])
 
 
+def _peaks(values: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
+    """Largest mean over ``width`` consecutive values of each text; a shorter text is filled up with zeros."""
+    out = np.zeros(len(counts))
+    total, at = np.concatenate([[0.0], np.cumsum(values)]), 0
+    for i, n in enumerate(counts):
+        s = total[at : at + n + 1]
+        out[i] = (s[width:] - s[:-width]).max() / width if n > width else (s[-1] - s[0]) / width
+        at += n
+    return out
+
+
 def _scored(texts: list[str | None], values) -> np.ndarray:
-    """Log-likelihood of toxic less ordinary text for each character; ``values`` gives those of a kind's keys, NaN if unseen."""
-    out = [np.zeros(0)]
+    """Log-likelihood of toxic less ordinary text: for each character, and at most for each word in ``WINDOWS`` consecutive ones.
+
+    ``values`` gives those of a kind's keys, NaN if unseen. One row for each text.
+    """
+    out = [np.zeros((0, 1 + len(WINDOWS)))]
     for at, to in _slices(texts):
         keys, owner, word_owner = _lookups(texts[at:to])
         llr, rest = np.zeros(len(owner)), np.arange(len(owner))
@@ -287,15 +327,16 @@ def _scored(texts: list[str | None], values) -> np.ndarray:
             value[missing] = np.nan_to_num(values(2 * k + 1, keys[2 * k + 1][rest][missing]))
             llr[rest] += value
             rest = rest[missing]
-        pair = values(PAIRS, keys[PAIRS])
-        alone = np.nan_to_num(values(WORDS, keys[WORDS])) + np.nan_to_num(values(AFTER, keys[AFTER]))
+        pair, word = values(PAIRS, keys[PAIRS]), np.nan_to_num(values(WORDS, keys[WORDS]))
+        alone = word + np.nan_to_num(values(AFTER, keys[AFTER]))
         total = np.bincount(owner, weights=llr, minlength=to - at) + np.bincount(word_owner, weights=np.where(np.isnan(pair), alone, pair), minlength=to - at)
-        out.append(total / np.maximum(1, np.bincount(owner, minlength=to - at)))
+        counts = np.bincount(word_owner, minlength=to - at)
+        out.append(np.stack([total / np.maximum(1, np.bincount(owner, minlength=to - at)), *(_peaks(word, counts, w) for w in WINDOWS)], axis=1))
     return np.concatenate(out)
 
 
 def mean_ratios(docs: DataFrame, table: DataFrame, keep: str = "doc_id long") -> DataFrame:
-    """``keep`` columns and x: log-likelihood of toxic less ordinary text for each character, 0 for none.
+    """``keep`` columns and ``x``, the ratios of ``_scored``: for each character, and at most for a word of each window.
 
     Chunks of documents ask the table for their distinct keys, so a frequent n-gram travels once for a chunk,
     and no task holds more of the table than its chunk's texts need.
@@ -307,8 +348,7 @@ def mean_ratios(docs: DataFrame, table: DataFrame, keep: str = "doc_id long") ->
     asked = rows.select("chunk", "text").mapInArrow(_asked, "kind int, key long, chunk long")
     known = table.select(F.col("kind").alias("k"), F.col("key").alias("g"), "llr")
     found = asked.join(known.hint("merge"), (F.col("kind") == F.col("k")) & (F.col("key") == F.col("g"))).select("chunk", "kind", "key", "llr")
-    kind = rows.schema[names[0]].dataType.simpleString()
-    first = {"bigint": pa.int64(), "int": pa.int32()}[kind]
+    kinds_of = [{"bigint": pa.int64(), "int": pa.int32()}[rows.schema[n].dataType.simpleString()] for n in names]
 
     def run(texts, answers):
         kinds, keys, llr = (answers.column(c).to_numpy() for c in ("kind", "key", "llr"))
@@ -326,22 +366,40 @@ def mean_ratios(docs: DataFrame, table: DataFrame, keep: str = "doc_id long") ->
             return np.where(unique[at] == wanted, value[at], np.nan)
 
         x = _scored(texts.column("text").to_pylist(), values)
-        return pa.table({names[0]: texts.column(names[0]).cast(first), "x": pa.array(x, pa.float64())})
+        return pa.table({**{n: texts.column(n).cast(kind) for n, kind in zip(names, kinds_of, strict=True)}, "x": pa.array(list(x), pa.list_(pa.float64()))})
 
-    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, f"{keep}, x double")
+    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, f"{keep}, x array<double>")
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
-    """Weights (slope, intercept) of a slightly damped logistic curve."""
-    w = w / w.sum()
-    scale = max(1e-9, np.sqrt((w * (x - (w * x).sum() / w.sum()) ** 2).sum()))
-    design, beta = np.stack([x / scale, np.ones_like(x)], axis=1), np.zeros(2)
-    for _ in range(50):
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[list[float], float]:
+    """Weights and intercept of a slightly damped logistic curve over the columns of ``x``."""
+    scale = np.maximum(1e-9, x.std(axis=0))
+    design, beta = np.concatenate([x / scale, np.ones((len(x), 1))], axis=1), np.zeros(x.shape[1] + 1)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (w * (y - p)) - 1e-3 * beta * (1, 0)
-        hessian = (design * (w * p * (1 - p))[:, None]).T @ design + np.diag([1e-3, 1e-9])
+        gradient = design.T @ (y - p) / len(y) - 1e-3 * beta * ([1] * x.shape[1] + [0])
+        hessian = (design * (p * (1 - p))[:, None]).T @ design / len(y) + np.diag([1e-3] * x.shape[1] + [1e-9])
         beta = beta + np.clip(np.linalg.solve(hessian, gradient), -2, 2)
-    return float(beta[0] / scale), float(beta[1])
+    return [float(b) for b in beta[:-1] / scale], float(beta[-1])
+
+
+def _area(score: np.ndarray, y: np.ndarray) -> float:
+    """Share of pairs of a toxic and an ordinary row that the score puts in order; ties count half."""
+    _, at, n = np.unique(score, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(n) - (n - 1) / 2)[at]
+    toxic = y.sum()
+    return float((rank[y == 1].sum() - toxic * (toxic + 1) / 2) / max(1.0, toxic * (len(y) - toxic)))
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> tuple[list[float], float]:
+    """The curve over the mean, over the peaks, or over both that ranks the rows best; a tie goes to the first."""
+    best = None
+    for columns in ([0], list(range(1, x.shape[1])), list(range(x.shape[1]))):
+        weights, intercept = _logistic(x[:, columns], y)
+        area = _area(x[:, columns] @ np.array(weights), y)
+        if best is None or area > best[0]:
+            best = area, dict(zip(columns, weights, strict=True)), intercept
+    return [best[1].get(k, 0.0) for k in range(x.shape[1])], best[2]
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -365,10 +423,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
         score = F.lit(toxic / all_ if all_ else 0.0)
         return base.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
     table = score_table(taught.filter(f"part < {FOLDS - 1}"))
-    graded = mean_ratios(taught.filter(f"part = {FOLDS - 1}"), table, "toxic int")
-    steps = F.round(F.greatest(F.lit(-3.0), F.least(F.lit(3.0), F.col("x"))) * 2000)  # at most 12001 points for each class
-    points = graded.groupBy(steps.alias("s"), "toxic").count().collect()
-    slope, intercept = _logistic(np.array([p.s / 2000 for p in points]), np.array([p.toxic for p in points]), np.array([float(p["count"]) for p in points]))
+    graded = mean_ratios(taught.filter(f"part = {FOLDS - 1}").withColumn("place", F.xxhash64("text", "toxic")), table, "toxic int, place long")
+    fitted = graded.orderBy("place").limit(FIT_ROWS).select("x", "toxic").collect()
+    weights, intercept = _curve(np.array([r.x for r in fitted]), np.array([r.toxic for r in fitted], dtype=float))
     scored = mean_ratios(base, table)
-    score = 1 / (1 + F.exp(-(F.col("x") * slope + intercept)))
-    return scored.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.col("x").alias("mean_log_ratio"))
+    odds = functools.reduce(lambda a, b: a + b, [F.get("x", F.lit(k)) * w for k, w in enumerate(weights)]) + intercept
+    score = 1 / (1 + F.exp(-odds))
+    return scored.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.get("x", F.lit(0)).alias("mean_log_ratio"), F.get("x", F.lit(1)).alias("peak_log_ratio"))

@@ -246,3 +246,35 @@ def test_quality_of_odd_tables(odd, none, rows):
 def test_quality_has_no_python_worker(odd):
     plan = quality_votes.judge_quality(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- 10 toxicity on real documents -----------------------------------------------------------------
+
+
+def test_toxicity_ranks_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic").where("toxic is not null")
+    got = QUERIES["op10_kneser_ney_toxicity"](spark, sf).where("held_out").join(labels, "doc_id").select("score", "toxic").collect()
+    ordered = sorted(got, key=lambda r: r.score)
+    places = collections.defaultdict(list)
+    for i, r in enumerate(ordered, 1):
+        places[r.score].append(i)
+    rank = {s: sum(p) / len(p) for s, p in places.items()}
+    toxic = [rank[r.score] for r in got if r.toxic]
+    area = (sum(toxic) - len(toxic) * (len(toxic) + 1) / 2) / (len(toxic) * (len(got) - len(toxic)))
+    assert len(toxic) > 50 and area >= 0.9, area
+
+
+def test_peaks_against_every_window():
+    import numpy as np
+
+    from landfall.llm import toxicity
+
+    values, counts = np.array([1.0, -2, 3, 4, 5, 0.5, -1, -1]), np.array([5, 0, 1, 2])
+    for width in (1, 2, 4):
+        at, want = 0, []
+        for n in counts:
+            own = list(values[at : at + n]) + [0.0] * max(0, width - n)
+            want.append(max(sum(own[i : i + width]) / width for i in range(len(own) - width + 1)))
+            at += n
+        assert np.allclose(toxicity._peaks(values, counts, width), want)
