@@ -28,23 +28,25 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 
 class Scratch:
-    """Intermediate tables of one job, removed when the job ends, also after a refusal."""
+    """Intermediate tables of one job in a folder of its own, emptied when the job ends, also after a refusal.
+
+    The folder is emptied by writing nothing over it, which any session can do; an empty marker of it stays.
+    """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.root, self.used = spark, new_dir(spark, "job"), 0
 
     def __enter__(self) -> Scratch:
         return self
 
     def __exit__(self, *_) -> None:
-        for text in self.paths:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(text)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        if self.used:
+            self.spark.createDataFrame([], "nothing string").coalesce(1).write.mode("overwrite").text(self.root)
 
     def path(self, name: str) -> str:
         """A fresh folder that goes with the job."""
-        self.paths.append(new_dir(self.spark, name))
-        return self.paths[-1]
+        self.used += 1
+        return f"{self.root}/{name}-{self.used}"
 
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write once as Parquet and read back: cuts lineage and survives executor loss."""

@@ -150,7 +150,8 @@ def test_duplicates_can_be_ranked_instead_of_refused(spark, ships, listing):
 
 def test_scratch_tables_are_removed(spark, ships, listing):
     def batches():
-        return [p for p in os.listdir(f"{shared_dir(spark)}/landfall") if p.startswith("batch-")]
+        jobs = [os.path.join(f"{shared_dir(spark)}/landfall", p) for p in os.listdir(f"{shared_dir(spark)}/landfall") if p.startswith("job-")]
+        return [f for job in jobs for _, _, files in os.walk(job) for f in files if f.endswith(".parquet")]
 
     drop(ships, envelope(ships, [shipment(1)]))
     run_parent_child(spark, ships, DT, listing)
