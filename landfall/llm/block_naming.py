@@ -103,28 +103,33 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bl
 
     Texts are equal when they are the same without white space. The row with the most characters in its
     original text stays, then the one with the smallest doc_id; a null doc_id comes last. Null texts are
-    empty, and empty texts are equal to each other. Rows that repeat the doc_id and the length of the one
-    that stays are the same document and stay with it. Other columns are ignored, whatever their names.
+    empty, and empty texts are equal to each other. Of rows that repeat both, one stays. Other columns are
+    ignored, whatever their names.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("_chars"), without_space(F.col(text)).alias("_norm"))
     base = base.withColumn("text_sha256", F.sha2(F.col("_norm").cast("binary"), 256))
-    named = stage(identities(base, ["doc_id", "_chars", "text_sha256"], "_norm", block, digest), "exact-named")
-    best = F.min(F.struct((-F.col("_chars")).alias("c"), F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d")))
+    named = identities(base, ["doc_id", "_chars", "text_sha256"], "_norm", block, digest)
+    named = stage(named.withColumn("_row", F.monotonically_increasing_id()), "exact-named")
+    best = F.min(F.struct((-F.col("_chars")).alias("c"), F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_row").alias("r")))
     groups = named.groupBy("identity").agg(F.count("*").alias("group_size"), best.alias("b")).filter("group_size > 1")
-    groups = stage(groups.select(F.col("identity").alias("g"), "group_size", F.col("b.d").alias("keep_id"), (-F.col("b.c")).alias("keep_chars")), "exact-groups")
+    groups = stage(groups.select(F.col("identity").alias("g"), "group_size", F.col("b.d").alias("keep_id"), F.col("b.r").alias("keep_row")), "exact-groups")
     joined = named.join(groups, named.identity == groups.g, "left")
     single = F.col("group_size").isNull()
     return joined.select(
         "doc_id",
         F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (single | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_chars") == F.col("keep_chars")))).alias("kept"),
+        (single | (F.col("_row") == F.col("keep_row"))).alias("kept"),
         "text_sha256",
     )
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are copies of one that stays; same columns, same order of columns."""
-    dropped = stage(exact_groups(docs).filter(~F.col("kept")).select("doc_id", "text_sha256").distinct(), "exact-dropped")
+    """``docs`` without the rows that are copies of one that stays; same columns, same order of columns.
+
+    Rows go by doc_id and text, so rows that repeat both of the one that stays are that document and stay with it.
+    """
+    lost = exact_groups(docs).filter(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    dropped = stage(lost.select("doc_id", "text_sha256").distinct(), "exact-dropped")
     sha = F.sha2(without_space(docs["text"]).cast("binary"), 256)
     return docs.join(dropped.hint("merge"), docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (sha == dropped["text_sha256"]), "left_anti")

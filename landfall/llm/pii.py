@@ -60,7 +60,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
             found.append((start, 0, done))
         at = text.find("@", max(at + 1, done))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
             found.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14:

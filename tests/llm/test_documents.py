@@ -278,3 +278,30 @@ def test_peaks_against_every_window():
             want.append(max(sum(own[i : i + width]) / width for i in range(len(own) - width + 1)))
             at += n
         assert np.allclose(toxicity._peaks(values, counts, width), want)
+
+
+# --- odd rows of earlier operators -----------------------------------------------------------------
+
+
+def test_one_of_fully_repeated_rows_stays(spark):
+    from check import compare, connect
+
+    from landfall.llm import block_naming
+    from landfall.llm.queries import EXACT_SQL
+
+    rows = [(1, "a b", "en", "x"), (1, "a b", "en", "x"), (1, "a  b", "en", "x"), (2, "ab", "en", "x"), (3, "c", "en", "x"), (3, "c", "en", "x"), (4, None, "en", "x")]
+    df = frame(spark, rows)
+    got = block_naming.exact_groups(df)
+    con = connect(SF)
+    con.register("given", df.select("doc_id", "text").toPandas())
+    con.execute("CREATE OR REPLACE TEMP VIEW documents AS SELECT doc_id, text FROM given")
+    assert compare(got.toPandas(), con.execute(EXACT_SQL).df()) is None
+    assert sum(r.kept for r in got.collect()) == 3
+    assert {r.doc_id for r in block_naming.drop_exact(df).collect()} == {1, 3, 4}
+
+
+def test_very_long_digit_runs_are_no_addresses():
+    from landfall.llm import pii
+
+    assert pii.base_spans("0" * 5000 + "1.2.3.4") == [(0, 5007, "ip")]
+    assert not pii.base_spans("9" * 5000 + ".2.3.4")
