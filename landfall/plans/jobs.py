@@ -37,6 +37,7 @@ from landfall.plans.restocking import NODE_COLUMNS, seller_join
 from landfall.plans.shipments import listing_join
 from landfall.session import Scratch, pin
 from landfall.sources.envelopes import (
+    JSON_FILES,
     matching_envelopes,
     read_envelopes,
     stage_batch,
@@ -229,7 +230,7 @@ def run_landing(
         # Guards and the write read the same files, so what was checked is what is landed.
         pages = scratch.materialize(pages, "pages")
         if upstream:
-            texts = spark.read.option("pathGlobFilter", "*.json").text(f"{upstream}/dt={dt}")
+            texts = spark.read.option("pathGlobFilter", JSON_FILES).text(f"{upstream}/dt={dt}")
             run_guards([Guard("keys", key_source_verdict(texts, upstream_key))])
             keys, _ = valid_keys(read_keys(spark, upstream, dt, upstream_key))
             keys = keys.select(F.col("key").cast("string").alias("key"))

@@ -85,8 +85,8 @@ def record_storage(spark: SparkSession, root: str, choice: str) -> None:
 def stored_formats(spark: SparkSession, root: str) -> set[str]:
     """Which of JSON and Parquet files lie anywhere under a root; only names are listed."""
     found = set()
-    for name in ("json", "parquet"):
-        listing = files(spark, root, name)
+    for name, suffix in (("json", "{json,json.gz}"), ("parquet", "parquet")):
+        listing = files(spark, root, suffix)
         if listing is not None and not listing.isEmpty():
             found.add(name)
     return found

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions import is_blank
+from landfall.sources.envelopes import JSON_FILES
 
 
 def _is_object(v):
@@ -36,7 +37,7 @@ def explode_loose(parsed: DataFrame, key: str) -> DataFrame:
 
 def read_keys(spark: SparkSession, root: str, dt: str, key: str) -> DataFrame:
     """Records of the same-date upstream envelopes as ``(is_object, key_text)``."""
-    texts = spark.read.option("pathGlobFilter", "*.json").text(f"{root}/dt={dt}")
+    texts = spark.read.option("pathGlobFilter", JSON_FILES).text(f"{root}/dt={dt}")
     return explode_loose(parse_loose(texts), key)
 
 

@@ -14,7 +14,7 @@ from landfall.sources.envelopes import (
     write_empty_envelope,
     write_envelopes,
 )
-from landfall.sources.flat import read_flat, write_flat, write_routed
+from landfall.sources.flat import read_flat, stored_formats, write_flat, write_routed
 from landfall.sources.keys import read_keys, valid_keys
 from landfall.sources.publish import publish_batch, publish_latest, publish_partition, publish_touched, untouched_days
 from landfall.sources.schemas import SchemaError, StorageUndecided, assert_schema, choose_storage
@@ -218,3 +218,17 @@ def test_batch_is_all_or_nothing(spark, tmp_path):
         publish_batch(spark.range(0), path, DT, manifest=manifest)
     assert len(ids(spark, path)) == 4
     assert [tuple(r) for r in spark.read.parquet(manifest).collect()] == [("demo", DT, "b1", 4)]
+
+
+def test_landed_files_are_compressed_bounded_and_read_beside_plain_ones(spark, tmp_path):
+    spec = spec_for(tmp_path, max_envelopes=None)
+    df = spark.range(0, 4000, 1, 1).select("id", F.lit("the same words again").alias("note"), F.array(F.lit("a")).alias("tags"))
+    write_envelopes(df, spec.root, spec, DT, SYNC, records_per_envelope=100)
+    files = [f for f in (tmp_path / "raw" / f"dt={DT}").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 3 and all(f.name.endswith(".json.gz") for f in files)  # 40 envelopes, 16 to a file
+    plain = read_envelopes(spark, spec.root, spec.record_schema, DT).select(F.to_json(F.struct("data")).alias("t"))
+    assert sum(f.stat().st_size for f in files) < plain.agg(F.sum(F.length("t"))).first()[0] / 4
+    drop_file(spec.root, DT, "late.json", envelope(2, shard_no=99))
+    assert read_envelopes(spark, spec.root, spec.record_schema, DT).agg(F.sum("record_count")).first()[0] == 4002
+    assert read_keys(spark, spec.root, DT, "id").count() == 4002
+    assert stored_formats(spark, spec.root) == {"json"}

@@ -52,6 +52,11 @@ def choose(value, mapping: dict, default=None):
     return out.otherwise(default if hasattr(default, "cast") else F.lit(default))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The few columns of a table over all cores: a small or coarsely cut file would else be built into records by a few tasks."""
+    return df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 # ---- shipments: one per order, 0 to 4 items by priority ---------------------------
 
 SHIP_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
@@ -114,7 +119,7 @@ def ship_record(c):
 
 
 def ship_records(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(ship_record(F.col).alias("rec")).select("rec.*")
+    return dealt(table(spark, sf, "orders").select(*SHIP_COLUMNS)).select(ship_record(F.col).alias("rec")).select("rec.*")
 
 
 # Flat description: ``ship`` is one row per record, ``items`` the outer expansion.
