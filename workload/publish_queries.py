@@ -15,7 +15,7 @@ from landfall.operators.latest import dedup, merge_latest
 from landfall.operators.partitions import last_partitions, recent_partitions
 from landfall.operators.quality import SHARDED_RULES, apply_rules, recon_metrics_long, recon_trend
 from landfall.plans.jobs import tree_detail
-from landfall.session import new_dir
+from landfall.session import Scratch, new_dir, pin
 from landfall.sources.envelopes import read_envelopes
 from landfall.sources.flat import write_flat
 from landfall.sources.footers import footer_census
@@ -195,8 +195,17 @@ _CHAIN_SQL = f"""{SHIP_SQL}, c AS (SELECT (SELECT count(*) FROM ship) AS landed,
         delta - said AS unexplained, CASE WHEN delta <> said THEN 'unexplained' WHEN why = '' THEN 'unchanged' ELSE 'explained' END AS result FROM u""",
 )
 def l16_explained(spark, sf):
-    """Each reason is counted where it applies; one that is off by a row leaves a rest."""
-    landed = explode_records(envelopes(spark, sf, SHIP))
+    """Each reason is counted where it applies; one that is off by a row leaves a rest.
+
+    The landed records are written once, since every count of both chains reads them.
+    """
+    with Scratch(spark) as scratch:
+        landed = explode_records(envelopes(spark, sf, SHIP)).select(F.struct("rec.sid", "rec.item_list").alias("rec"))
+        landed = scratch.materialize(landed, "landed")
+        return pin(_chains(landed))
+
+
+def _chains(landed):
     expanded = expand_children(landed, "item_list").select("rec.sid", F.trim("item.msku").alias("msku"), "item.id")
     kept = expanded.where("msku <> ''")
     keyed = kept.withColumn("key", F.concat_ws("/", "sid", "msku"))

@@ -17,6 +17,7 @@ from landfall.operators.compare import (
 )
 from landfall.operators.expand import expand_children, explode_records
 from landfall.operators.latest import dedup
+from landfall.session import Scratch, pin
 from workload.batches import SHIP, SHIP_SQL, envelopes
 from workload.registry import query, table
 
@@ -193,13 +194,19 @@ def l15(spark, sf):
       SELECT stage_no, stage, row_count, delta, CASE WHEN delta = 0 THEN 'unchanged' ELSE why END AS reason FROM s""",
 )
 def l16(spark, sf):
-    landed = explode_records(envelopes(spark, sf, SHIP))
+    """The landed records are written once, since every count reads them."""
+    with Scratch(spark) as scratch:
+        landed = explode_records(envelopes(spark, sf, SHIP)).select(F.struct("rec.sid", "rec.item_list").alias("rec"))
+        return pin(_chain(scratch.materialize(landed, "landed"), table(spark, sf, "orders")))
+
+
+def _chain(landed, orders):
     expanded = expand_children(landed, "item_list").select("rec.sid", F.trim("item.msku").alias("msku"), "item.id")
     kept = expanded.where("msku <> ''")
     detail = dedup(kept.withColumn("key", F.concat_ws("/", "sid", "msku")), "key", ["id"])
     return count_chain(
         [
-            ("extract", table(spark, sf, "orders"), ""),
+            ("extract", orders, ""),
             ("landed", landed, "landing"),
             ("expanded", expanded, "expansion"),
             ("with sku", kept, "filter"),
