@@ -42,6 +42,7 @@ from landfall.plans.jobs import dynamic_dates_detail, parent_child_detail, tree_
 from landfall.plans.price_queue import partition_day
 from landfall.plans.restocking import NODE_COLUMNS
 from landfall.plans.shipments import FORMULAS
+from landfall.session import Scratch, pin
 from landfall.sources.envelopes import envelope_summary
 from workload.batches import (
     DETAIL_SQL,
@@ -73,6 +74,17 @@ def _detail(spark, sf):
     return parent_child_detail(specs()[SHIP], _records(spark, sf, SHIP), listing(spark, sf))
 
 
+def _both_sides(scratch, sf, kept=None):
+    """Source records and their detail, each written once with the fields that are measured, because several distincts read it."""
+    spark, spec = scratch.spark, specs()[SHIP]
+    records = _records(spark, sf, SHIP)
+    detail = parent_child_detail(spec, records, listing(spark, sf), scratch)
+    detail = detail if kept is None else detail.where(kept)
+    source = records.select(F.struct("rec.id", F.transform("rec.item_list", lambda i: F.struct(i["id"].alias("id"))).alias("item_list")).alias("rec"))
+    target = detail.select("id", "relate_id", *BLANKS, *TIMES)
+    return scratch.materialize(source, "records"), scratch.materialize(target, "detail")
+
+
 def _nodes(spark, sf):
     rec = _records(spark, sf, RESTOCK)
     slim = rec.select(F.col("sync_time").alias("batch_sync_time"), F.col("pos").cast("bigint").alias("parent_pos"), "rec")
@@ -206,8 +218,9 @@ QUALITY_SQL = f"WITH {DETAIL_SQL}, {_SOURCE_SQL}, {_TARGET_SQL} SELECT '{DT}' AS
 
 @query("k1_quality_parent_child", QUALITY_SQL)
 def k1(spark, sf):
-    records = _records(spark, sf, SHIP)
-    return quality_parent_child(records, _detail(spark, sf), DT, "item_list", "id", "relate_id", BLANKS, TIMES, "shipment")
+    with Scratch(spark) as scratch:
+        records, target = _both_sides(scratch, sf)
+        return pin(quality_parent_child(records, target, DT, "item_list", "id", "relate_id", BLANKS, TIMES, "shipment"))
 
 
 QUALITY_TOUCHED_SQL = """SELECT count(*) AS row_count, count(*) AS distinct_business_id_count, CAST(0 AS BIGINT) AS empty_business_id_count,
@@ -256,17 +269,21 @@ _COUNTS_SQL = f"""WITH {DETAIL_SQL}, {_SOURCE_SQL}, {_TARGET_SQL} SELECT '{DT}'
   THEN 'PASS' ELSE 'CHECK' END AS count_and_key_check FROM src, tgt"""
 
 
+def _counts(spark, sf, kept=None):
+    with Scratch(spark) as scratch:
+        records, target = _both_sides(scratch, sf, kept)
+        source = source_measures(records, "item_list", "id", parent="shipment")
+        return pin(recon_counts(source, target_measures(target, "relate_id", BLANKS, TIMES, "shipment"), DT, "shipment"))
+
+
 @query("l2_recon_counts", _COUNTS_SQL)
 def l2(spark, sf):
-    source = source_measures(_records(spark, sf, SHIP), "item_list", "id", parent="shipment")
-    return recon_counts(source, target_measures(_detail(spark, sf), "relate_id", BLANKS, TIMES, "shipment"), DT, "shipment")
+    return _counts(spark, sf)
 
 
 @query("l2_recon_counts_check", _COUNTS_SQL.replace("FROM detail)", "FROM detail WHERE msku IS NOT NULL)"))
 def l2_check(spark, sf):
-    source = source_measures(_records(spark, sf, SHIP), "item_list", "id", parent="shipment")
-    lossy = _detail(spark, sf).where(~is_blank("msku"))
-    return recon_counts(source, target_measures(lossy, "relate_id", BLANKS, TIMES, "shipment"), DT, "shipment")
+    return _counts(spark, sf, ~is_blank("msku"))
 
 
 @query(
