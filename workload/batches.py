@@ -119,7 +119,7 @@ def ship_record(c):
 
 
 def ship_records(spark: SparkSession, sf: str) -> DataFrame:
-    return dealt(table(spark, sf, "orders").select(*SHIP_COLUMNS)).select(ship_record(F.col).alias("rec")).select("rec.*")
+    return table(spark, sf, "orders").select(ship_record(F.col).alias("rec")).select("rec.*")
 
 
 # Flat description: ``ship`` is one row per record, ``items`` the outer expansion.
@@ -253,7 +253,7 @@ def price_record(c):
 
 
 def price_records(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(price_record(F.col).alias("rec")).select("rec.*")
+    return dealt(table(spark, sf, "events").select(*EVENT_COLUMNS)).select(price_record(F.col).alias("rec")).select("rec.*")
 
 
 def price_detail_sql(sync: str) -> str:
@@ -363,7 +363,7 @@ def tree_record(c):
 
 
 def tree_records(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select(tree_record(F.col).alias("rec")).select("rec.*")
+    return dealt(table(spark, sf, "customer").select(*CUSTOMER_COLUMNS)).select(tree_record(F.col).alias("rec")).select("rec.*")
 
 
 # ``nodes`` is one row per node, ``rows`` the node by SKU by mode expansion.

@@ -13,6 +13,7 @@ from landfall.spec import DatasetSpec
 from workload.batches import (
     DETAIL_SQL,
     DT,
+    EVENT_COLUMNS,
     NODES_SQL,
     PRICE,
     RESTOCK,
@@ -20,6 +21,7 @@ from workload.batches import (
     SHIP,
     SOURCE,
     SYNC,
+    dealt,
     event_pages,
     land,
     listing,
@@ -49,8 +51,8 @@ def _price(spark, sf):
     spec = specs(new_dir(spark, "price") + "/raw", new_dir(spark, "price") + "/detail")[PRICE]
     events, report = table(spark, sf, "events"), None
     for dt in ("2024-01-20", "2024-01-30"):
-        pulled = events.where(in_window("ts", dt, spec.window_days)).select(price_record(F.col).alias("rec"))
-        write_envelopes(pulled.select("rec.*"), spec.root, spec, dt, f"{dt} 06:00:00")
+        pulled = dealt(events.where(in_window("ts", dt, spec.window_days)).select(*EVENT_COLUMNS))
+        write_envelopes(pulled.select(price_record(F.col).alias("rec")).select("rec.*"), spec.root, spec, dt, f"{dt} 06:00:00")
         report = run_dynamic_dates(spark, spec, dt)
     return spec, report
 
