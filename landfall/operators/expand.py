@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landfall.functions import at_pos
+from landfall.session import Scratch
 
 
 def _others(df: DataFrame, *drop: str):
@@ -79,13 +80,14 @@ def unfold_tree(df: DataFrame, child: str, cols: list[str], parent: str = "rec")
     return exploded.select(*_others(df, parent), "node.*")
 
 
-def global_positions(staged: DataFrame, ranges: int = 256) -> DataFrame:
+def global_positions(staged: DataFrame, ranges: int = 256, scratch: Scratch | None = None) -> DataFrame:
     """Add ``global_pos``: the position of a record over all envelopes of the batch.
 
     Counts per envelope are summed in two steps, within a range of shard numbers and over the
     ranges, so no window holds more than one range or the list of ranges, however envelopes are
     numbered. The ends of the ranges are quantiles, at most ``ranges`` of them; how the offsets
-    are joined is left to the planner.
+    are joined is left to the planner. With ``scratch`` they are written first, so their size is known when the join is
+    planned: a list that is small is broadcast, and neither the records are shuffled nor their windows computed again.
     """
     shards = staged.groupBy("shard_no").agg(F.count("pos").alias("n"))
     asked = [k / ranges for k in range(1, ranges)]
@@ -100,4 +102,6 @@ def global_positions(staged: DataFrame, ranges: int = 256) -> DataFrame:
     inner = W.partitionBy("part").orderBy("shard_no").rowsBetween(*before)
     bases = shards.withColumn("shard_base", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(parts, "part")
     bases = bases.select("shard_no", (F.col("part_base") + F.col("shard_base")).alias("base"))
+    if scratch:
+        bases = scratch.materialize(bases, "positions")
     return staged.join(bases, "shard_no").withColumn("global_pos", F.col("base") + F.col("pos")).drop("base")

@@ -162,10 +162,10 @@ def run_dynamic_dates(spark: SparkSession, spec: DatasetSpec, dt: str, batch_id:
         return pin(quality_touched(target, None, *columns, written=done.measures))
 
 
-def tree_nodes(spec: DatasetSpec, records: DataFrame) -> DataFrame:
+def tree_nodes(spec: DatasetSpec, records: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Parents and children as rows, with the parent's position over the whole batch."""
     positioned = records.withColumn("global_pos", F.col("pos").cast("bigint")) if spec.max_envelopes == 1 else (
-        global_positions(records)
+        global_positions(records, scratch=scratch)
     )
     slim = positioned.select(F.col("sync_time").alias("batch_sync_time"), F.col("global_pos").alias("parent_pos"), "rec")
     return unfold_tree(slim, spec.child, NODE_COLUMNS)
@@ -206,7 +206,7 @@ def run_tree(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame, ba
     with Scratch(spark) as scratch:
         staged, records = load_batch(spec, dt, scratch)
         envelope = Guard("envelope", staged_envelope_verdict(staged, spec, dt))
-        nodes = tree_nodes(spec, records)
+        nodes = tree_nodes(spec, records, scratch)
         measured = measure_guards([envelope, Guard("nodes", tree_node_verdict(spec, nodes))])
         rows = tree_detail(spec, nodes, dim, dt, scratch).withColumn("dt", F.lit(dt))
         _, target = publish(spec, rows, batch_id or new_batch_id(dt), dt, measured["nodes"]["expanded_count"])
