@@ -10,22 +10,27 @@ curve makes it a probability on labelled rows that the counts do not hold, and t
 two ranks better, or both.
 
 Words and pairs of words have models of the same kind, which add their log-ratios, so that expressions longer
-than four letters, digits and signs count too. All counts are exact and grow with the labelled text. Scoring
-looks up every n-gram in the written table by its own key; only letters beyond U+FFFF share symbols.
+than four letters, digits and signs count too. All counts are exact and grow with the labelled text. Only letters
+beyond U+FFFF share symbols.
+
+Keys are dealt to parts and travel as sorted blocks: a chunk of documents asks each part for its distinct keys once and
+gets what is known of them in the same order. Of words and pairs only the counts are kept and sent; a chunk makes the
+log-ratios of them. Documents are scored in rounds, whose blocks go before the next begins.
 """
 
 from __future__ import annotations
 
+import contextlib
 import functools
-import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm.common import fold, mix, stage, text_slices, word_hashes
+from landfall.llm.common import _powers, fold, mix, stage
 from landfall.llm.langid import _letters, _merged
+from landfall.session import Scratch
 
 FOLDS = 5
 ORDER = 4
@@ -36,26 +41,131 @@ WORDS, AFTER, PAIRS = 0, 1, 2  # kinds of keys; 2 k and 2 k + 1 are the n-grams
 WINDOWS = (1, 4)  # words; the largest mean ratio over so many in a row tells a few toxic words in a long text
 FIT_ROWS = 50_000  # of labelled rows that the curve is fitted to, the first by hash
 SLICE_CHARS = 1_000_000
-CHUNK_CHARS = 4_000_000  # of documents that look up their n-grams together
-_EDGES = re.compile(r"[^\w\s]+(?=\s|$)|(?<!\S)[^\w\s]+")
+CHUNK_CHARS = 3_000_000  # of documents that look up their n-grams together
+PART_CHARS = 16_000_000  # of labelled text, and of documents in a round, for each part of the table, which one task holds
+PARTS = 24  # at least
+ROUNDS = 4
+KINDS = (WORDS, PAIRS, *range(2 * SHARED + 2, 2 * ORDER + 2))  # of what a chunk asks for
+WIDTH = {WORDS: 7, PAIRS: 2}  # numbers kept of a key; of an n-gram the ratio
+BLOCK = "part int, kind int, n int, keys binary, known binary"
 _MERGE = 2_000_000
-_SYMBOLS: list[np.ndarray] = []
+_TABLES: dict[str, np.ndarray] = {}
+
+
+@contextlib.contextmanager
+def _passing_shuffles(spark: SparkSession):
+    """What runs inside leaves no shuffle files behind."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    with _passing_shuffles(df.sparkSession):
+        return stage(df, name)
+
+
+def _kept(scratch: Scratch, df: DataFrame, name: str) -> DataFrame:
+    with _passing_shuffles(df.sparkSession):
+        return scratch.materialize(df, name)
+
+
+# --- blocks of keys --------------------------------------------------------------------------------
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, compressed byte by byte of their places: the high bytes of small ones cost nothing."""
+    import pyarrow as pa
+
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(numbers) else b""
+
+
+def _unpack(block: bytes, n: int) -> np.ndarray:
+    import pyarrow as pa
+
+    if n == 0:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(pa.decompress(block, decompressed_size=8 * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel()
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))
+
+
+def _part(kind: int, keys: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each key: words and pairs are hashes and keep their order, n-grams are mixed."""
+    if kind > PAIRS:
+        return (mix(keys) % np.uint64(parts)).astype(np.int64)
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _dealt(kind: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the keys part by part, where each part begins), in their order within a part."""
+    part = _part(kind, keys, parts)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _summed(keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, column sums of ``numbers`` for each, a place of each)."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else order
+    return ordered[first], np.add.reduceat(numbers[:, order], first, axis=1) if len(first) else numbers, order[first]
+
+
+def _blocks(rows: list[tuple]):
+    """Rows of ``BLOCK`` from (part, kind, keys, numbers of each)."""
+    import pyarrow as pa
+
+    columns = zip(*((part, kind, len(keys), _pack(_steps(keys)), _pack(known.ravel())) for part, kind, keys, known in rows), strict=True) if rows else [[]] * 5
+    return pa.table([pa.array(c, kind) for c, kind in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["part", "kind", "n", "keys", "known"])
+
+
+def _unblocked(rows) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The (part, kind, keys, numbers of each) of ``BLOCK`` rows."""
+    for r in rows.to_pylist():
+        width = WIDTH.get(r["kind"], 1)
+        yield r["part"], r["kind"], np.cumsum(_unpack(r["keys"], r["n"]), dtype=np.uint64), _unpack(r["known"], width * r["n"]).view(np.int64).reshape(width, -1)
+
+
+# --- characters ------------------------------------------------------------------------------------
 
 
 def _symbols() -> np.ndarray:
     """Symbol of each code point: 32 for all that is no letter."""
-    if not _SYMBOLS:
+    if "symbols" not in _TABLES:
         code = np.arange(0x110000, dtype=np.uint64)
         own = np.flatnonzero(_letters()[4096:0x10000]) + 4096
         free = np.uint64(4096 + len(own))
         wide = np.where(code < 4096, code, free + mix(code) % (np.uint64(1 << SYMBOL_BITS) - free))
         wide[own] = 4096 + np.arange(len(own), dtype=np.uint64)
-        _SYMBOLS.append(np.where(_letters(), wide, np.uint64(32)).astype(np.int64))
-    return _SYMBOLS[0]
+        _TABLES["symbols"] = np.where(_letters(), wide, np.uint64(32)).astype(np.int64)
+    return _TABLES["symbols"]
 
 
-def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram ending at each character, index of its text). Runs of other signs than letters are one blank."""
+def _ranked(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct codes, place of each code among them); codes are below ``size``."""
+    if size > 8 * len(codes) + (1 << 22):
+        return np.unique(codes, return_inverse=True)
+    seen = np.zeros(size, dtype=bool)
+    seen[codes] = True
+    own, place = np.flatnonzero(seen), np.empty(size, np.int32)
+    place[own] = np.arange(len(own), dtype=np.int32)
+    return own, place[codes]
+
+
+def distinct_grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct n-grams, place of the one ending at each character, index of its text).
+
+    Runs of other signs than letters are one blank. Two n-grams of half the order make one; each half has a number.
+    """
     pad = "\x00" * (ORDER - 1)
     joined = "".join(pad + " " + (t or "").lower().replace("\x00", " ") + " " for t in texts) + pad
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -64,13 +174,22 @@ def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     keep = np.ones(len(row), dtype=bool)
     keep[1:] = (row[1:] != 32) | (row[:-1] != 32)
     row = row[keep]
-    gram = row[ORDER - 1 :].copy()
-    for k in range(1, ORDER):
-        gram |= row[ORDER - 1 - k : len(row) - k] << np.int64(SYMBOL_BITS * k)
-    inside = row[ORDER - 1 :] != 0
-    begins = np.flatnonzero((row[1:] != 0) & (row[:-1] == 0)) + 1
-    owner = np.searchsorted(begins, np.flatnonzero(inside) + ORDER - 1, side="right") - 1
-    return gram[inside], owner
+    inside = row != 0
+    owner = np.cumsum(inside[1:] & ~inside[:-1])[ORDER - 2 :]
+    letters, one = _ranked(row, 1 << SYMBOL_BITS)
+    one = one.astype(np.int64)
+    halves, two = _ranked(one[:-1] * len(letters) + one[1:], len(letters) ** 2)
+    two = two.astype(np.int64)
+    whole = (two[:-2] * len(halves) + two[2:])[inside[ORDER - 1 :]]
+    found, at = _ranked(whole, len(halves) ** 2)
+    half = letters[halves // len(letters)] << np.int64(SYMBOL_BITS) | letters[halves % len(letters)]
+    return half[found // len(halves)] << np.int64(2 * SYMBOL_BITS) | half[found % len(halves)], at, owner[inside[ORDER - 1 :]] - 1
+
+
+def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(n-gram ending at each character, index of its text)."""
+    grams, at, owner = distinct_grams(texts)
+    return grams[at], owner
 
 
 def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -101,9 +220,9 @@ def _count(batches) -> Iterator:
         for label in (0, 1):
             own = [t for t, x in zip(texts, labels, strict=True) if x == label]
             for at, to in _slices(own):
-                found = np.unique(grams_of(own[at:to])[0], return_counts=True)
-                parts[label].append(found)
-                held[label] += len(found[0])
+                grams, place, _ = distinct_grams(own[at:to])
+                parts[label].append((grams, np.bincount(place, minlength=len(grams))))
+                held[label] += len(grams)
                 if held[label] > _MERGE:
                     yield batch(label)
     for label in (0, 1):
@@ -120,7 +239,7 @@ def _context():
     return F.shiftrightunsigned("gram", SYMBOL_BITS)
 
 
-def kneser_ney(labelled: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
+def kneser_ney(labelled: DataFrame, write=_staged) -> dict[int, tuple[DataFrame, DataFrame]]:
     """Order -> (gram, llr, n) and (context, llr) of (toxic, text) rows: log-likelihood of toxic less ordinary.
 
     The first holds the n-grams seen in either class; the second what an unseen one after a seen context adds
@@ -130,10 +249,10 @@ def kneser_ney(labelled: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
     counted = labelled.select("toxic", "text").mapInArrow(_count, "gram long, toxic int, n long")
     of = lambda label: F.sum(F.when(F.col("toxic") == label, F.col("n")).otherwise(0))
     seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    levels = {ORDER: stage(counted.groupBy("gram").agg(of(1).alias("t"), of(0).alias("o")), f"kn-{ORDER}")}
+    levels = {ORDER: write(counted.groupBy("gram").agg(of(1).alias("t"), of(0).alias("o")), f"kn-{ORDER}")}
     for k in range(ORDER - 1, 0, -1):  # one row above is one distinct preceding character
         counts = [seen("t").alias("t"), seen("o").alias("o")] if k > SHARED else [F.count("*").alias("n")]
-        levels[k] = stage(levels[k + 1].groupBy(_suffix(k).alias("gram")).agg(*counts), f"kn-{k}")
+        levels[k] = write(levels[k + 1].groupBy(_suffix(k).alias("gram")).agg(*counts), f"kn-{k}")
 
     total = levels[1].agg(F.sum("n")).first()[0] or 1
     share = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + F.lit(DISCOUNT)) / F.lit(float(total))
@@ -143,28 +262,55 @@ def kneser_ney(labelled: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
         below = lower.select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
         joined = levels[k].join(contexts, _context() == F.col("context")).join(below, _suffix(k - 1) == F.col("suffix"))
         p = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("types") * F.col("q")) / F.col("all")
-        lower = stage(joined.select("gram", p.alias("p")), f"kn-p-{k}")
+        lower = write(joined.select("gram", p.alias("p")), f"kn-p-{k}")
 
     lower, out = lower.select("gram", F.col("p").alias("pt"), F.col("p").alias("po")), {}
     trust = lambda types, all_: F.when(F.col(all_) > 0, DISCOUNT * F.col(types) / F.col(all_)).otherwise(1.0)
     own = lambda c, all_: F.when(F.col(all_) > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(all_)).otherwise(0.0)
     for k in range(SHARED + 1, ORDER + 1):
         sums = [F.sum("t").alias("at"), F.sum("o").alias("ao"), seen("t").alias("tt"), seen("o").alias("to")]
-        contexts = stage(levels[k].groupBy(_context().alias("context")).agg(*sums), f"kn-contexts-{k}")
+        contexts = write(levels[k].groupBy(_context().alias("context")).agg(*sums), f"kn-contexts-{k}")
         below = lower.select(F.col("gram").alias("suffix"), F.col("pt").alias("qt"), F.col("po").alias("qo"))
         joined = levels[k].join(contexts, _context() == F.col("context")).join(below, _suffix(k - 1) == F.col("suffix"))
         pt, po = own("t", "at") + trust("tt", "at") * F.col("qt"), own("o", "ao") + trust("to", "ao") * F.col("qo")
-        lower = stage(joined.select("gram", pt.alias("pt"), po.alias("po"), (F.col("t") + F.col("o")).alias("n")), f"kn-p-{k}")
+        lower = write(joined.select("gram", pt.alias("pt"), po.alias("po"), (F.col("t") + F.col("o")).alias("n")), f"kn-p-{k}")
         out[k] = lower.select("gram", F.log(F.col("pt") / F.col("po")).alias("llr"), "n"), contexts.select("context", F.log(trust("tt", "at") / trust("to", "ao")).alias("llr"))
     return out
 
 
-def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each lower-cased word without punctuation at its ends, number of words of each text)."""
-    import pyarrow as pa
+# --- words -----------------------------------------------------------------------------------------
+
 
-    parts = [word_hashes(data, offsets) for _, _, data, offsets in text_slices(pa.array([_EDGES.sub("", (t or "").lower()) for t in texts], pa.string()))]
-    return np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in parts)]).view(np.int64), np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)])
+def _signs() -> np.ndarray:
+    """Of each code point: 0 for a sign, 1 for a letter, digit or underscore, 2 for white space, 3 for that which parts words."""
+    if "signs" not in _TABLES:
+        kinds = np.fromiter((1 if (c := chr(i)).isalnum() or c == "_" else 2 * c.isspace() for i in range(0x110000)), np.int8, 0x110000)
+        kinds[[9, 10, 11, 12, 13, 32]] = 3
+        _TABLES["signs"] = kinds
+    return _TABLES["signs"]
+
+
+def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each lower-cased word without signs at its ends, number of words of each text)."""
+    lower = [(t or "").lower() for t in texts]
+    codes = np.frombuffer(("\n" + "".join(t + "\n" for t in lower)).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kinds = _signs()[codes]
+    sign = kinds == 0
+    begins, ends = np.flatnonzero(sign[1:] & ~sign[:-1]) + 1, np.flatnonzero(sign[:-1] & ~sign[1:]) + 1
+    loose = (kinds[begins - 1] >= 2) | (kinds[ends] >= 2)  # runs of signs beside white space
+    step = np.zeros(len(codes), dtype=np.int8)
+    step[begins[loose]] = 1
+    step[ends[loose]] = -1
+    keep = np.cumsum(step, dtype=np.int8) == 0
+    starts = np.concatenate([[0], np.cumsum(np.array([len(t) + 1 for t in lower], dtype=np.int64))])
+    starts = np.cumsum(keep)[starts]
+    codes, solid = codes[keep], kinds[keep] != 3
+    begins, ends = np.flatnonzero(solid[1:] & ~solid[:-1]) + 1, np.flatnonzero(solid[:-1] & ~solid[1:]) + 1
+    up, down = _powers(len(codes))
+    total = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=total[1:])
+    hashes = mix((total[ends] - total[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+    return hashes.view(np.int64), np.diff(np.searchsorted(begins, starts))
 
 
 def _before(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -174,131 +320,256 @@ def _before(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _count_words(batches) -> Iterator:
-    """(prev, word, t, o) sums of one task, both classes in one row, handed on whenever too many are held."""
-    import pyarrow as pa
+def _pair(prev, word):
+    """One key of two words."""
+    return (prev << np.int64(1)) ^ word
 
-    parts, held = [], 0
 
-    def summed():
-        prev, word, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        order = np.lexsort((word, prev))
-        prev, word, n = prev[order], word[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], (prev[1:] != prev[:-1]) | (word[1:] != word[:-1])])) if len(prev) else order
-        return prev[first], word[first], np.add.reduceat(n, first, axis=0) if len(first) else n
+def _count_words(batches, parts: int) -> Iterator:
+    """Blocks of (pair, word before, word, t, o) sums of one task for each part, handed on whenever too many are held."""
+    import pyarrow as pa
 
-    def batch():
-        prev, word, n = parts[0]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (prev, word, n[:, 0].copy(), n[:, 1].copy())], names=["prev", "word", "t", "o"])
+    held, some = [], 0
 
-    for rows in batches:
-        labels, texts = rows.column(0).to_numpy(), rows.column(1).to_pylist()
+    def summed():
+        """prev, word, t, o of the distinct pairs."""
+        every = np.concatenate(held, axis=1)
+        _, n, at = _summed(_pair(every[0], every[1]).view(np.uint64), every[2:])
+        return np.concatenate([every[:2, at], n])
+
+    def blocks(rows):
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        order, cuts = _dealt(PAIRS, _pair(rows[0], rows[1]).view(np.uint64), parts)
+        own = [(p, rows[:, order[cuts[p] : cuts[p + 1]]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
+        packed = [_pack(np.concatenate([np.diff(r[0], prepend=np.int64(0)), *r[1:]])) for _, r in own]
+        return pa.RecordBatch.from_arrays([pa.array([p for p, _ in own], pa.int32()), pa.array([r.shape[1] for _, r in own], pa.int32()), pa.array(packed, pa.binary())], names=["part", "n", "pairs"])
+
+    for batch in batches:
+        labels, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
         for at, to in _slices(texts):
             words, counts = word_keys(texts[at:to])
             toxic = np.repeat(labels[at:to], counts).astype(np.int64)
-            parts.append((_before(words, counts), words, np.stack([toxic, 1 - toxic], axis=1)))
-            held += len(words)
-            if held > _MERGE:
-                parts = [summed()]
-                held = len(parts[0][0])
-                if held > _MERGE // 2:
-                    yield batch()
-                    parts, held = [], 0
-    if parts:
-        parts = [summed()]
-        yield batch()
+            held.append(np.stack([_before(words, counts), words, toxic, 1 - toxic]))
+            some += len(words)
+            if some > _MERGE:
+                held = [summed()]
+                some = held[0].shape[1]
+                if some > _MERGE // 2:
+                    yield blocks(held[0])
+                    held, some = [], 0
+    if some:
+        yield blocks(summed())
+
+
+def _merge_pairs(table, parts: int):
+    """Of all blocks of one part: its pairs, and for each part what they say of words.
+
+    t, o and n of a word are the distinct words before it in toxic, ordinary and any text; at, ao, tt, to are the pairs
+    that it begins in toxic and ordinary text, all and distinct.
+    """
+    every = []
+    for n, block in zip(table.column("n").to_pylist(), table.column("pairs").to_pylist(), strict=True):
+        rows = _unpack(block, 4 * n).view(np.int64).reshape(4, n)
+        every.append(np.concatenate([np.cumsum(rows[:1], axis=1), rows[1:]]))
+    every = np.concatenate(every, axis=1)
+    pairs, n, at = _summed(_pair(every[0], every[1]).view(np.uint64), every[2:])
+    none, seen = np.zeros_like(n[0]), (n > 0).astype(np.int64)
+    said = np.concatenate([np.stack([*seen, np.ones_like(none), none, none, none, none]), np.stack([none, none, none, *n, *seen])], axis=1)
+    words, said, _ = _summed(np.concatenate([every[1, at], every[0, at]]).view(np.uint64), said)
+    order, cuts = _dealt(WORDS, words, parts)
+    to = [order[cuts[p] : cuts[p + 1]] for p in range(parts)]
+    return _blocks([(table.column("part")[0].as_py(), PAIRS, pairs, n), *((p, WORDS, words[o], said[:, o]) for p, o in enumerate(to) if len(o))])
+
+
+def _merge_words(table):
+    """The sums of all blocks of one part."""
+    blocks = list(_unblocked(table))
+    words, said, _ = _summed(np.concatenate([b[2] for b in blocks]), np.concatenate([b[3] for b in blocks], axis=1))
+    return _blocks([(blocks[0][0], WORDS, words, said)])
+
+
+def _word_sums(batches) -> Iterator:
+    """at, ao, tt, to, an of the words of each block: as of a word before all of them."""
+    import pyarrow as pa
+
+    for b in batches:
+        sums = [[*n[:2].sum(axis=1), *(n[:2] > 0).sum(axis=1), n[2].sum()] for _, _, _, n in _unblocked(b)]
+        yield pa.RecordBatch.from_arrays([pa.array([int(s[i]) for s in sums], pa.int64()) for i in range(5)], names=["at", "ao", "tt", "to", "an"])
+
+
+def _own(n: np.ndarray, all_: np.ndarray) -> np.ndarray:
+    return np.where(all_ > 0, np.maximum(n - DISCOUNT, 0) / np.maximum(all_, 1), 0.0)
+
+
+def _trust(types: np.ndarray, all_: np.ndarray) -> np.ndarray:
+    return np.where(all_ > 0, DISCOUNT * types / np.maximum(all_, 1), 1.0)
 
 
-def _own(c: str, all_: str):
-    return F.when(F.col(all_) > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(all_)).otherwise(0.0)
+def parted_table(scratch: Scratch, labelled: DataFrame, parts: int) -> tuple[DataFrame, tuple[int, ...]]:
+    """(``BLOCK`` rows, sums of words): every n-gram, context, word and pair that (toxic, text) rows hold, a block of each kind and part."""
+    pairs = labelled.select("toxic", "text").mapInArrow(lambda it: _count_words(it, parts), "part int, n int, pairs binary")
+    merged = _kept(scratch, pairs.groupBy("part").applyInArrow(lambda t: _merge_pairs(t, parts), BLOCK), "pairs")
+    words = _kept(scratch, merged.filter(F.col("kind") == WORDS).groupBy("part").applyInArrow(_merge_words, BLOCK), "words")
+    sums = words.mapInArrow(_word_sums, "at long, ao long, tt long, to long, an long").agg(*[F.sum(c).alias(c) for c in ("at", "ao", "tt", "to", "an")]).first()
+    rows = []
+    for k, (grams, contexts) in kneser_ney(labelled, functools.partial(_kept, scratch)).items():
+        rows += [grams.select(F.lit(2 * k).alias("kind"), F.col("gram").alias("key"), "llr"), contexts.select(F.lit(2 * k + 1).alias("kind"), F.col("context").alias("key"), "llr")]
 
+    def placed(batches):
+        import pyarrow as pa
 
-def _trust(types: str, all_: str):
-    return F.when(F.col(all_) > 0, DISCOUNT * F.col(types) / F.col(all_)).otherwise(1.0)
+        for b in batches:
+            part = _part(2 * ORDER, b.column(1).to_numpy().view(np.uint64), parts).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), *b.columns], names=["part", "kind", "key", "llr"])
 
+    def blocked(t):
+        kinds, keys, llr = t.column("kind").to_numpy(), t.column("key").to_numpy().view(np.uint64), t.column("llr").to_numpy()
+        each = []
+        for kind in np.unique(kinds):
+            own = np.flatnonzero(kinds == kind)
+            own = own[np.argsort(keys[own])]
+            each.append((t.column("part")[0].as_py(), int(kind), keys[own], llr[own].view(np.int64)))
+        return _blocks(each)
 
-def word_models(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(word, llr), (prev, llr) and (prev, word, llr): words, what an unseen pair after a seen word adds, and pairs.
+    chars = functools.reduce(DataFrame.union, rows).mapInArrow(placed, "part int, kind int, key long, llr double").groupBy("part").applyInArrow(blocked, BLOCK)
+    chars = _kept(scratch, chars, "chars")
+    return chars.union(words).union(merged.filter(F.col("kind") == PAIRS)), tuple(s or 0 for s in sums)
 
-    Pairs and words have counts for each class; a word's are the distinct words before it. Below, both classes
-    share the distinct words before it in either.
+
+def score_table(labelled: DataFrame, parts: int = PARTS) -> DataFrame:
+    """(kind, key, llr, n): every n-gram, context, word and pair that the labelled rows hold, each under its own key.
+
+    N-grams and contexts have their log-ratio, words, what follows them and pairs their counts, as the blocks have them.
     """
-    counted = labelled.select("toxic", "text").mapInArrow(_count_words, "prev long, word long, t long, o long")
-    seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    pairs = stage(counted.groupBy("prev", "word").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "kn-pairs")
-    words = stage(pairs.groupBy("word").agg(seen("t").alias("t"), seen("o").alias("o"), F.count("*").alias("n")), "kn-words")
-    sums = [F.sum("t").alias("at"), F.sum("o").alias("ao"), seen("t").alias("tt"), seen("o").alias("to")]
-    total = words.agg(*sums, F.sum("n").alias("an")).first()
-    words = words.withColumns({c: F.lit(total[c] or 0) for c in ("at", "ao", "tt", "to")}).withColumn("q", F.col("n") / F.lit(float(total["an"] or 1)))
-    words = words.select("word", (_own("t", "at") + _trust("tt", "at") * F.col("q")).alias("qt"), (_own("o", "ao") + _trust("to", "ao") * F.col("q")).alias("qo"))
-    words = stage(words, "kn-words-p")
-    contexts = stage(pairs.groupBy("prev").agg(*sums), "kn-words-contexts")
-    joined = pairs.join(contexts, "prev").join(words, "word")
-    llr = F.log((_own("t", "at") + _trust("tt", "at") * F.col("qt")) / (_own("o", "ao") + _trust("to", "ao") * F.col("qo")))
-    return words.select("word", F.log(F.col("qt") / F.col("qo")).alias("llr")), contexts.select("prev", F.log(_trust("tt", "at") / _trust("to", "ao")).alias("llr")), joined.select("prev", "word", llr.alias("llr"))
 
+    def rows(batches):
+        import pyarrow as pa
 
-def _pair(prev, word):
-    """One key of two words; the same here and in Spark, where bits beyond 64 go too."""
-    return (prev << np.int64(1)) ^ word
+        for b in batches:
+            for _, kind, keys, known in _unblocked(b):
+                for to, some in [(WORDS, slice(0, 3)), (AFTER, slice(3, 7))] if kind == WORDS else [(kind, slice(0, None))]:
+                    own = known[some].any(axis=0) if kind in WIDTH else np.ones(len(keys), dtype=bool)
+                    llr, n = (None, known[some, own].T.tolist()) if kind in WIDTH else (known[0].view(np.float64), None)
+                    size = int(own.sum())
+                    columns = [pa.array(np.full(size, to, np.int32)), pa.array(keys[own].view(np.int64)), pa.nulls(size, pa.float64()) if llr is None else pa.array(llr), pa.array(n if n is not None else [None] * size, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["kind", "key", "llr", "n"])
 
+    with Scratch(labelled.sparkSession) as scratch:
+        return _staged(parted_table(scratch, labelled, parts)[0].mapInArrow(rows, "kind int, key long, llr double, n array<long>"), "toxic-table")
 
-def score_table(labelled: DataFrame) -> DataFrame:
-    """(kind, key, llr): every n-gram and context that the labelled rows hold, each under its own key."""
-    parts = []
-    for k, (grams, contexts) in kneser_ney(labelled).items():
-        parts += [grams.select(F.lit(2 * k).alias("kind"), F.col("gram").alias("key"), "llr"), contexts.select(F.lit(2 * k + 1).alias("kind"), F.col("context").alias("key"), "llr")]
-    words, contexts, pairs = word_models(labelled)
-    parts.append(words.select(F.lit(WORDS).alias("kind"), F.col("word").alias("key"), "llr"))
-    parts.append(contexts.select(F.lit(AFTER).alias("kind"), F.col("prev").alias("key"), "llr"))
-    parts.append(pairs.select(F.lit(PAIRS).alias("kind"), F.shiftleft("prev", 1).bitwiseXOR(F.col("word")).alias("key"), "llr"))
-    return stage(functools.reduce(DataFrame.union, parts), "toxic-table")
+
+# --- scoring ---------------------------------------------------------------------------------------
 
 
 def _lookups(texts: list[str | None]):
-    """Kind -> keys of one slice, for each character or word; the texts they belong to; lengths."""
-    grams, owner = grams_of(texts)
+    """Kind -> keys of one slice, for each distinct n-gram or each word; n-gram of each character; text of it; words of each text."""
+    grams, at, owner = distinct_grams(texts)
     keys = {}
     for k in range(SHARED + 1, ORDER + 1):
         keys[2 * k] = grams & np.int64((1 << SYMBOL_BITS * k) - 1) if k < ORDER else grams
         keys[2 * k + 1] = grams >> np.int64(SYMBOL_BITS) & np.int64((1 << SYMBOL_BITS * (k - 1)) - 1)
     words, counts = word_keys(texts)
-    prev = _before(words, counts)
-    keys |= {WORDS: words, AFTER: prev, PAIRS: _pair(prev, words)}
-    return keys, owner, np.repeat(np.arange(len(texts)), counts)
+    keys |= {WORDS: words, PAIRS: _pair(_before(words, counts), words)}
+    return keys, at, owner, counts
+
+
+def _wanted(slices: list) -> dict[int, np.ndarray]:
+    """Kind -> sorted distinct keys of a chunk's slices; no word stands for the one before the first."""
+    none = np.zeros(1, np.int64)
+    return {kind: np.unique(np.concatenate([none[: kind == WORDS], *(s[0][kind] for s in slices)]).view(np.uint64)) for kind in KINDS}
 
 
 def _chunked(batches, names: list[str]):
-    """Rows with the number of their chunk: consecutive rows of one task, of about ``CHUNK_CHARS`` characters."""
+    """(chunk, docs): consecutive rows of one task, of about ``CHUNK_CHARS`` characters, as one compressed Arrow stream."""
     import pyarrow as pa
     from pyspark import TaskContext
 
-    chunk, chars = TaskContext.get().partitionId() << 32, 0
+    chunk, chars, held = TaskContext.get().partitionId() << 32, 0, []
+
+    def packed():
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+            out.write_table(pa.Table.from_batches(held).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "docs"])
+
     for b in batches:
-        numbers = []
-        for t in b.column(len(names)).to_pylist():
+        at = 0
+        for i, n in enumerate(len(t or "") for t in b.column(len(names)).to_pylist()):
             if chars > CHUNK_CHARS:
-                chunk, chars = chunk + 1, 0
-            chars += len(t or "")
-            numbers.append(chunk)
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers, pa.int64())], names=[*names, "text", "chunk"])
+                held.append(b.slice(at, i - at))
+                yield packed()
+                chunk, chars, held, at = chunk + 1, 0, [], i
+            chars += n
+        held.append(b.slice(at))
+    if held:
+        yield packed()
 
 
-def _asked(batches):
-    """(kind, key, chunk): the distinct keys of each chunk in a batch."""
+def _docs(block: bytes):
+    import pyarrow as pa
+
+    return pa.ipc.open_stream(block).read_all()
+
+
+def _asked(batches, names: list[str], parts: int):
+    """(part, chunk, n, keys): the distinct keys that each chunk has in a part, ``n`` of each kind."""
     import pyarrow as pa
 
     for b in batches:
-        numbers, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
-        cuts = np.flatnonzero(np.diff(numbers)) + 1
-        for at, to in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
-            found: dict[int, list] = {}
-            for i, j in _slices(texts[at:to]):
-                for kind, keys in _lookups(texts[at + i : at + j])[0].items():
-                    found.setdefault(kind, []).append(np.unique(keys))
-            for kind, parts in found.items():
-                keys = np.unique(np.concatenate(parts))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(np.full(len(keys), numbers[at]))], names=["kind", "key", "chunk"])
+        for chunk, block in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            texts = _docs(block.as_py()).column(len(names)).to_pylist()
+            wanted = _wanted([_lookups(texts[i:j]) for i, j in _slices(texts)])
+            dealt = {kind: _dealt(kind, keys, parts) for kind, keys in wanted.items()}
+            filled = np.flatnonzero(sum(np.diff(cuts) for _, cuts in dealt.values()))
+            rows = []
+            for p in filled.tolist():
+                own = [keys[dealt[kind][0][slice(*dealt[kind][1][p : p + 2])]] for kind, keys in wanted.items()]
+                rows.append((p, [len(k) for k in own], _pack(np.concatenate([_steps(k) for k in own]))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.binary())],
+                names=["part", "chunk", "n", "keys"],
+            )
+
+
+def _answered(asked, table):
+    """(chunk, part, n, known) for each row of ``asked``: what the part's blocks have of its keys, in their order."""
+    import pyarrow as pa
+
+    held = {kind: (keys, known) for _, kind, keys, known in _unblocked(table)}
+    out = []
+    for r in asked.to_pylist():
+        steps, at, known = _unpack(r["keys"], sum(r["n"])), 0, []
+        for kind, n in zip(KINDS, r["n"], strict=True):
+            keys = np.cumsum(steps[at : at + n], dtype=np.uint64)
+            at += n
+            found = np.zeros((WIDTH.get(kind, 1), n), dtype=np.int64)
+            if kind not in WIDTH:
+                found.view(np.float64)[:] = np.nan
+            if kind in held:
+                own, numbers = held[kind]
+                place = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+                hit = np.flatnonzero(own[place] == keys)
+                found[:, hit] = numbers[:, place[hit]]
+            known.append(found.ravel())
+        out.append((r["chunk"], r["part"], r["n"], _pack(np.concatenate(known))))
+    kinds = (pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary())
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 4, kinds, strict=True)], names=["chunk", "part", "n", "known"])
+
+
+def _gathered(wanted: dict[int, np.ndarray], answers, parts: int) -> dict[int, np.ndarray]:
+    """Kind -> numbers of each wanted key, from the answers of all parts."""
+    known = {kind: np.empty((WIDTH.get(kind, 1), len(keys)), dtype=np.int64) for kind, keys in wanted.items()}
+    dealt = {kind: _dealt(kind, keys, parts) for kind, keys in wanted.items()}
+    if answers.column("n").combine_chunks().flatten().to_numpy().sum() != sum(map(len, wanted.values())):
+        raise ValueError("a chunk has one answer for each of its keys")
+    for r in answers.to_pylist():
+        widths = [WIDTH.get(kind, 1) for kind in KINDS]
+        numbers, at = _unpack(r["known"], sum(w * n for w, n in zip(widths, r["n"], strict=True))).view(np.int64), 0
+        for kind, w, n in zip(KINDS, widths, r["n"], strict=True):
+            order, cuts = dealt[kind]
+            known[kind][:, order[cuts[r["part"]] : cuts[r["part"] + 1]]] = numbers[at : at + w * n].reshape(w, n)
+            at += w * n
+    return known
 
 
 def _peaks(values: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
@@ -312,63 +583,71 @@ def _peaks(values: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _scored(texts: list[str | None], values) -> np.ndarray:
+def _scored(texts: list[str | None], answers, parts: int, sums: tuple[int, ...]) -> np.ndarray:
     """Log-likelihood of toxic less ordinary text: for each character, and at most for each word in ``WINDOWS`` consecutive ones.
 
-    ``values`` gives those of a kind's keys, NaN if unseen. One row for each text.
+    One row for each text.
     """
+    slices = [(i, j, _lookups(texts[i:j])) for i, j in _slices(texts)]
+    wanted = _wanted([found for *_, found in slices])
+    known = _gathered(wanted, answers, parts)
+    place = lambda kind, keys: np.searchsorted(wanted[kind], keys.view(np.uint64))
+    t, o, n, at, ao, tt, to = known[WORDS]
+    q = n / max(1.0, float(sums[4]))
+    qt, qo = (_own(c, all_) + _trust(types, all_) * q for c, all_, types in ((t, np.int64(sums[0]), sums[2]), (o, np.int64(sums[1]), sums[3])))
+    trust_t, trust_o = _trust(tt, at), _trust(to, ao)
+    alone = np.log(np.where(n > 0, qt, 1.0) / np.where(n > 0, qo, 1.0))
+    after = np.log(np.where(at + ao > 0, trust_t / trust_o, 1.0))
     out = [np.zeros((0, 1 + len(WINDOWS)))]
-    for at, to in _slices(texts):
-        keys, owner, word_owner = _lookups(texts[at:to])
-        llr, rest = np.zeros(len(owner)), np.arange(len(owner))
+    for i, j, (keys, gram, owner, counts) in slices:
+        llr, rest = np.zeros(len(keys[2 * ORDER])), np.arange(len(keys[2 * ORDER]))
         for k in range(ORDER, SHARED, -1):
-            value = values(2 * k, keys[2 * k][rest])
+            of = lambda kind: known[kind][0].view(np.float64)[place(kind, keys[kind][rest])]  # noqa: B023, E731
+            value = of(2 * k)
             missing = np.isnan(value)
-            value[missing] = np.nan_to_num(values(2 * k + 1, keys[2 * k + 1][rest][missing]))
-            llr[rest] += value
+            llr[rest] += np.where(missing, np.nan_to_num(of(2 * k + 1)), value)
             rest = rest[missing]
-        pair, word = values(PAIRS, keys[PAIRS]), np.nan_to_num(values(WORDS, keys[WORDS]))
-        alone = word + np.nan_to_num(values(AFTER, keys[AFTER]))
-        total = np.bincount(owner, weights=llr, minlength=to - at) + np.bincount(word_owner, weights=np.where(np.isnan(pair), alone, pair), minlength=to - at)
-        counts = np.bincount(word_owner, minlength=to - at)
-        out.append(np.stack([total / np.maximum(1, np.bincount(owner, minlength=to - at)), *(_peaks(word, counts, w) for w in WINDOWS)], axis=1))
+        word = place(WORDS, keys[WORDS])
+        prev = np.concatenate([[0], word])[: len(word)]
+        prev[(np.cumsum(counts) - counts)[counts > 0]] = 0  # of no word, the smallest key
+        pt, po = known[PAIRS][:, place(PAIRS, keys[PAIRS])]
+        both = np.flatnonzero(pt + po > 0)
+        value = alone[word] + after[prev]
+        w, p = word[both], prev[both]
+        value[both] = np.log((_own(pt[both], at[p]) + trust_t[p] * qt[w]) / (_own(po[both], ao[p]) + trust_o[p] * qo[w]))
+        word_owner = np.repeat(np.arange(j - i), counts)
+        total = np.bincount(owner, weights=llr[gram], minlength=j - i) + np.bincount(word_owner, weights=value, minlength=j - i)
+        out.append(np.stack([total / np.maximum(1, np.bincount(owner, minlength=j - i)), *(_peaks(alone[word], counts, width) for width in WINDOWS)], axis=1))
     return np.concatenate(out)
 
 
-def mean_ratios(docs: DataFrame, table: DataFrame, keep: str = "doc_id long") -> DataFrame:
+def mean_ratios(docs: DataFrame, table: DataFrame, sums: tuple[int, ...], parts: int, keep: str = "doc_id long", rounds: int = 1) -> DataFrame:
     """``keep`` columns and ``x``, the ratios of ``_scored``: for each character, and at most for a word of each window.
 
     Chunks of documents ask the table for their distinct keys, so a frequent n-gram travels once for a chunk,
-    and no task holds more of the table than its chunk's texts need.
+    and no task holds more of the table than a part of it or what its chunk's texts need. Each round does so for a share of the documents.
     """
     import pyarrow as pa
 
     names = [c.split()[0] for c in keep.split(",")]
-    rows = stage(docs.select(*names, "text").mapInArrow(lambda it: _chunked(it, names), f"{keep}, text string, chunk long"), "toxic-chunks")
-    asked = rows.select("chunk", "text").mapInArrow(_asked, "kind int, key long, chunk long")
-    known = table.select(F.col("kind").alias("k"), F.col("key").alias("g"), "llr")
-    found = asked.join(known.hint("merge"), (F.col("kind") == F.col("k")) & (F.col("key") == F.col("g"))).select("chunk", "kind", "key", "llr")
-    kinds_of = [{"bigint": pa.int64(), "int": pa.int32()}[rows.schema[n].dataType.simpleString()] for n in names]
-
-    def run(texts, answers):
-        kinds, keys, llr = (answers.column(c).to_numpy() for c in ("kind", "key", "llr"))
-        held = {}
-        for k in np.unique(kinds):
-            own = kinds == k
-            unique, at = np.unique(keys[own], return_index=True)
-            held[int(k)] = (unique, llr[own][at])
-
-        def values(k, wanted):
-            if k not in held:
-                return np.full(len(wanted), np.nan)
-            unique, value = held[k]
-            at = np.minimum(np.searchsorted(unique, wanted), len(unique) - 1)
-            return np.where(unique[at] == wanted, value[at], np.nan)
-
-        x = _scored(texts.column("text").to_pylist(), values)
-        return pa.table({**{n: texts.column(n).cast(kind) for n, kind in zip(names, kinds_of, strict=True)}, "x": pa.array(list(x), pa.list_(pa.float64()))})
-
-    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, f"{keep}, x array<double>")
+    kinds = [{"long": pa.int64(), "int": pa.int32()}[c.split()[1]] for c in keep.split(",")]
+
+    def run(rows, answers):
+        docs = _docs(rows.column("docs")[0].as_py())
+        x = _scored(docs.column("text").to_pylist(), answers, parts, sums)
+        return pa.table({**{n: docs.column(n).cast(kind) for n, kind in zip(names, kinds, strict=True)}, "x": pa.array(list(x), pa.list_(pa.float64()))})
+
+    out = []
+    for r in range(rounds):
+        with Scratch(docs.sparkSession) as scratch:
+            share = docs.select(*names, "text").filter(F.pmod(F.xxhash64(*names, "text"), F.lit(rounds)) == r)
+            rows = _kept(scratch, share.mapInArrow(lambda it: _chunked(it, names), "chunk long, docs binary"), "chunks")
+            asked = rows.mapInArrow(lambda it: _asked(it, names, parts), "part int, chunk long, n array<int>, keys binary")
+            answers = asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_answered, "chunk long, part int, n array<int>, known binary")
+            answers = _kept(scratch, answers, "answers")
+            scored = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, f"{keep}, x array<double>")
+            out.append(_staged(scored, "toxic-ratios"))
+    return functools.reduce(DataFrame.union, out)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[list[float], float]:
@@ -415,18 +694,22 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     part = fold("doc_id", FOLDS)
     marks = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     taught = base.withColumn("part", part).filter("part > 0").join(marks.hint("merge"), F.col("doc_id") == F.col("id")).select("toxic", "part", "text")
-    taught = stage(taught, "toxic-taught")
-    found = dict(taught.filter(f"part < {FOLDS - 1}").groupBy("toxic").count().collect())
-    checks = dict(taught.filter(f"part = {FOLDS - 1}").groupBy("toxic").count().collect())
-    if len(found) < 2 or len(checks) < 2:
-        toxic, all_ = sum(d.get(1, 0) for d in (found, checks)), sum(sum(d.values()) for d in (found, checks))
-        score = F.lit(toxic / all_ if all_ else 0.0)
-        return base.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
-    table = score_table(taught.filter(f"part < {FOLDS - 1}"))
-    graded = mean_ratios(taught.filter(f"part = {FOLDS - 1}").withColumn("place", F.xxhash64("text", "toxic")), table, "toxic int, place long")
-    fitted = graded.orderBy("place").limit(FIT_ROWS).select("x", "toxic").collect()
-    weights, intercept = _curve(np.array([r.x for r in fitted]), np.array([r.toxic for r in fitted], dtype=float))
-    scored = mean_ratios(base, table)
+    with Scratch(docs.sparkSession) as scratch:
+        taught = _kept(scratch, taught, "taught")
+        last = F.col("part") == FOLDS - 1
+        seen = taught.groupBy(last.alias("last"), "toxic").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()
+        found, checks = ({r.toxic: r.n for r in seen if r["last"] == which} for which in (False, True))
+        if len(found) < 2 or len(checks) < 2:
+            toxic, all_ = sum(d.get(1, 0) for d in (found, checks)), sum(sum(d.values()) for d in (found, checks))
+            score = F.lit(toxic / all_ if all_ else 0.0)
+            return base.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+        chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
+        parts = max(PARTS, sum(r.chars or 0 for r in seen if not r["last"]) // PART_CHARS + 1, chars // (ROUNDS * PART_CHARS) + 1)
+        table, sums = parted_table(scratch, taught.filter(~last), parts)
+        graded = mean_ratios(taught.filter(last).withColumn("place", F.xxhash64("text", "toxic")), table, sums, parts, "toxic int, place long")
+        fitted = graded.orderBy("place").limit(FIT_ROWS).select("x", "toxic").collect()
+        weights, intercept = _curve(np.array([r.x for r in fitted]), np.array([r.toxic for r in fitted], dtype=float))
+        scored = mean_ratios(base, table, sums, parts, rounds=ROUNDS)
     odds = functools.reduce(lambda a, b: a + b, [F.get("x", F.lit(k)) * w for k, w in enumerate(weights)]) + intercept
     score = 1 / (1 + F.exp(-odds))
     return scored.select("doc_id", (part == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.get("x", F.lit(0)).alias("mean_log_ratio"), F.get("x", F.lit(1)).alias("peak_log_ratio"))

@@ -725,6 +725,62 @@ def test_toxicity_table_holds_every_key_once(spark):
     assert {r.key for r in table if r.kind == 2 * toxicity.ORDER} == grams
 
 
+def test_toxicity_leaves_little_on_disk(spark):
+    random.seed(31)
+    words = ["".join(random.choices("abcd", k=7)) for _ in range(3000)]
+    rows = [(i, " ".join(random.choices(words, k=300)), "en", "a") for i in range(600)]  # nearly every pair of words is new
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    kept = lambda: sum(p.stat().st_size for p in Path(spark.conf.get("spark.checkpoint.dir")).rglob("*.parquet"))
+    setting, before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"), kept()
+    assert toxicity.toxicity_scores(frame(spark, rows), labels).count() == 600
+    assert kept() - before < 0.25 * sum(len(r[1]) for r in rows)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_toxicity_asks_with_less_than_a_key_and_gets_the_counts():
+    import pyarrow as pa
+
+    random.seed(32)
+    words = ["".join(random.choices("abcdefghijklmnop", k=7)) for _ in range(20_000)]
+    texts, parts = [" ".join(random.choices(words, k=500)) for _ in range(200)] + [None, ""], 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    chunk = pa.RecordBatch.from_arrays([pa.array([3], pa.int64()), pa.array([_stream(batch)])], names=["chunk", "docs"])
+    asked = pa.Table.from_batches(toxicity._asked([chunk], ["doc_id"], parts))
+    wanted = toxicity._wanted([toxicity._lookups(texts)])
+    n = sum(len(k) for k in wanted.values())
+    assert sum(sum(x) for x in asked.column("n").to_pylist()) == n and sum(len(k) for k in asked.column("keys").to_pylist()) < 8 * n
+    pairs = wanted[toxicity.PAIRS][::3]
+    part = toxicity._part(toxicity.PAIRS, pairs, parts)
+    numbers = np.stack([np.arange(len(pairs)) + 1, np.arange(len(pairs)) % 7])
+    answers = []
+    for p in range(parts):
+        table = toxicity._blocks([(p, toxicity.PAIRS, pairs[part == p], numbers[:, part == p])])
+        answers.append(toxicity._answered(asked.filter(pa.compute.equal(asked.column("part"), p)), table))
+    known = toxicity._gathered(wanted, pa.concat_tables(answers[::-1]), parts)
+    assert np.array_equal(known[toxicity.PAIRS][:, ::3], numbers) and not known[toxicity.PAIRS][:, 1::3].any()
+    assert not known[toxicity.WORDS].any() and np.isnan(known[2 * toxicity.ORDER].view(np.float64)).all()
+    with pytest.raises(ValueError):
+        toxicity._gathered(wanted, pa.concat_tables(answers[1:]), parts)
+
+
+def _stream(batch):
+    import pyarrow as pa
+
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def test_words_lose_the_signs_at_their_ends():
+    def hashes(*texts):
+        words, counts = toxicity.word_keys(list(texts))
+        return words.tolist(), counts.tolist()
+
+    assert hashes("(One) -- two, x.y ... é!", None, "") == hashes("one two\tx.y\né", "", "") and hashes("a -- b")[1] == [2]
+    assert hashes("a.\xa0.b")[0] == hashes("a\xa0b")[0] != hashes("a b")[0] and hashes("._.")[0] == hashes("_")[0]
+
+
 # --- pipeline --------------------------------------------------------------------------------------
 
 
