@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import contextlib
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,7 @@ KINDS = (WORDS, PAIRS, *range(2 * SHARED + 2, 2 * ORDER + 2))  # of what a chunk
 WIDTH = {WORDS: 7, PAIRS: 2}  # numbers kept of a key; of an n-gram the ratio
 BLOCK = "part int, kind int, n int, keys binary, known binary"
 _MERGE = 2_000_000
+_SORTED = 1 << 17  # keys that are sorted at once
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -105,19 +107,44 @@ def _part(kind: int, keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _dealt(kind: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the keys part by part, where each part begins), in their order within a part."""
-    part = _part(kind, keys, parts)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
+def _dealt(kind: int, keys: np.ndarray, parts: int) -> list:
+    """The places of each part's keys, in their order, among sorted keys."""
+    part, order = _part(kind, keys, parts), None
+    if kind > PAIRS:  # numbers of 16 bits are sorted without comparing them
+        order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.int64), kind="stable")
+        part = part[order]
+    cuts = itertools.pairwise(np.searchsorted(part, np.arange(parts + 1)).tolist())
+    return [slice(a, b) if order is None else order[a:b] for a, b in cuts]
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The sorted distinct keys. ``np.unique`` hashes them, which takes many times as long as sorting them."""
+    ordered = np.sort(keys)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(keys) else ordered
 
 
 def _summed(keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted distinct keys, column sums of ``numbers`` for each, a place of each)."""
-    order = np.argsort(keys, kind="stable")
+    """(sorted distinct keys, column sums of ``numbers`` for each, a place of each).
+
+    Many keys are dealt by their highest bits first: what fits the cache is sorted and gathered several times as fast.
+    """
+    if len(keys) > _SORTED:
+        top = (keys >> np.uint64(58)).astype(np.uint16)
+        order = np.argsort(top, kind="stable")
+        cuts = np.searchsorted(top[order], np.arange(65))
+        keys, numbers = keys[order], np.stack([n[order] for n in numbers])
+        done = [_sorted_sums(keys[a:b], numbers[:, a:b], order[a:b]) for a, b in itertools.pairwise(cuts.tolist())]
+        return tuple(np.concatenate(x, axis=-1) for x in zip(*done, strict=True))
+    return _sorted_sums(keys, numbers, np.arange(len(keys)))
+
+
+def _sorted_sums(keys: np.ndarray, numbers: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, column sums of ``numbers`` for each, one of the ``places`` of each)."""
+    order = np.argsort(keys)
     ordered = keys[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else order
-    return ordered[first], np.add.reduceat(numbers[:, order], first, axis=1) if len(first) else numbers, order[first]
+    sums = np.stack([np.add.reduceat(n[order], first) for n in numbers]) if len(first) else numbers
+    return ordered[first], sums, places[order[first]]
 
 
 def _blocks(rows: list[tuple]):
@@ -146,21 +173,33 @@ def _symbols() -> np.ndarray:
         free = np.uint64(4096 + len(own))
         wide = np.where(code < 4096, code, free + mix(code) % (np.uint64(1 << SYMBOL_BITS) - free))
         wide[own] = 4096 + np.arange(len(own), dtype=np.uint64)
-        _TABLES["symbols"] = np.where(_letters(), wide, np.uint64(32)).astype(np.int64)
+        _TABLES["symbols"] = np.where(_letters(), wide, np.uint64(32)).astype(np.uint16)
     return _TABLES["symbols"]
 
 
+def _runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begins, ends) of the runs of true values; the first and the last value are false."""
+    flips = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    return flips[::2], flips[1::2]
+
+
 def _ranked(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct codes, place of each code among them); codes are below ``size``."""
     if size > 8 * len(codes) + (1 << 22):
         return np.unique(codes, return_inverse=True)
-    seen = np.zeros(size, dtype=bool)
+    seen, codes = np.zeros(size, dtype=bool), codes.astype(np.intp)  # else each use as an index converts them
     seen[codes] = True
     own, place = np.flatnonzero(seen), np.empty(size, np.int32)
     place[own] = np.arange(len(own), dtype=np.int32)
     return own, place[codes]
 
 
+def _joined(left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
+    """One code of two numbers below ``size``, in 32 bits where they hold it."""
+    kind = np.int32 if size**2 < 1 << 31 else np.int64
+    return left.astype(kind) * kind(size) + right.astype(kind)
+
+
 def distinct_grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct n-grams, place of the one ending at each character, index of its text).
 
@@ -171,19 +210,16 @@ def distinct_grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     row = _symbols()[codes]
     row[codes == 0] = 0
-    keep = np.ones(len(row), dtype=bool)
-    keep[1:] = (row[1:] != 32) | (row[:-1] != 32)
+    keep, blank = np.ones(len(row), dtype=bool), row == 32
+    keep[1:] = ~(blank[1:] & blank[:-1])
     row = row[keep]
     inside = row != 0
-    owner = np.cumsum(inside[1:] & ~inside[:-1])[ORDER - 2 :]
+    begins, ends = _runs(inside)
     letters, one = _ranked(row, 1 << SYMBOL_BITS)
-    one = one.astype(np.int64)
-    halves, two = _ranked(one[:-1] * len(letters) + one[1:], len(letters) ** 2)
-    two = two.astype(np.int64)
-    whole = (two[:-2] * len(halves) + two[2:])[inside[ORDER - 1 :]]
-    found, at = _ranked(whole, len(halves) ** 2)
+    halves, two = _ranked(_joined(one[:-1], one[1:], len(letters)), len(letters) ** 2)
+    found, at = _ranked(_joined(two[:-2], two[2:], len(halves))[inside[ORDER - 1 :]], len(halves) ** 2)
     half = letters[halves // len(letters)] << np.int64(SYMBOL_BITS) | letters[halves % len(letters)]
-    return half[found // len(halves)] << np.int64(2 * SYMBOL_BITS) | half[found % len(halves)], at, owner[inside[ORDER - 1 :]] - 1
+    return half[found // len(halves)] << np.int64(2 * SYMBOL_BITS) | half[found % len(halves)], at, np.repeat(np.arange(len(begins)), ends - begins)
 
 
 def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -295,17 +331,17 @@ def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     lower = [(t or "").lower() for t in texts]
     codes = np.frombuffer(("\n" + "".join(t + "\n" for t in lower)).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     kinds = _signs()[codes]
-    sign = kinds == 0
-    begins, ends = np.flatnonzero(sign[1:] & ~sign[:-1]) + 1, np.flatnonzero(sign[:-1] & ~sign[1:]) + 1
+    begins, ends = _runs(kinds == 0)
     loose = (kinds[begins - 1] >= 2) | (kinds[ends] >= 2)  # runs of signs beside white space
     step = np.zeros(len(codes), dtype=np.int8)
-    step[begins[loose]] = 1
-    step[ends[loose]] = -1
+    begins, ends = begins[loose], ends[loose]
+    step[begins] = 1
+    step[ends] = -1
     keep = np.cumsum(step, dtype=np.int8) == 0
     starts = np.concatenate([[0], np.cumsum(np.array([len(t) + 1 for t in lower], dtype=np.int64))])
-    starts = np.cumsum(keep)[starts]
+    starts = starts + 1 - np.concatenate([[0], np.cumsum(ends - begins)])[np.searchsorted(begins, starts)]
     codes, solid = codes[keep], kinds[keep] != 3
-    begins, ends = np.flatnonzero(solid[1:] & ~solid[:-1]) + 1, np.flatnonzero(solid[:-1] & ~solid[1:]) + 1
+    begins, ends = _runs(solid)
     up, down = _powers(len(codes))
     total = np.zeros(len(codes) + 1, dtype=np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=total[1:])
@@ -335,12 +371,12 @@ def _count_words(batches, parts: int) -> Iterator:
         """prev, word, t, o of the distinct pairs."""
         every = np.concatenate(held, axis=1)
         _, n, at = _summed(_pair(every[0], every[1]).view(np.uint64), every[2:])
-        return np.concatenate([every[:2, at], n])
+        return np.stack([every[0][at], every[1][at], *n])
 
     def blocks(rows):
-        rows = rows[:, np.lexsort((rows[1], rows[0]))]
-        order, cuts = _dealt(PAIRS, _pair(rows[0], rows[1]).view(np.uint64), parts)
-        own = [(p, rows[:, order[cuts[p] : cuts[p + 1]]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
+        cuts = np.searchsorted(_part(PAIRS, _pair(rows[0], rows[1]).view(np.uint64), parts), np.arange(parts + 1))  # pairs are in order
+        own = [(p, rows[:, cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
+        own = [(p, r[:, np.argsort(r[0])]) for p, r in own]
         packed = [_pack(np.concatenate([np.diff(r[0], prepend=np.int64(0)), *r[1:]])) for _, r in own]
         return pa.RecordBatch.from_arrays([pa.array([p for p, _ in own], pa.int32()), pa.array([r.shape[1] for _, r in own], pa.int32()), pa.array(packed, pa.binary())], names=["part", "n", "pairs"])
 
@@ -373,12 +409,15 @@ def _merge_pairs(table, parts: int):
         every.append(np.concatenate([np.cumsum(rows[:1], axis=1), rows[1:]]))
     every = np.concatenate(every, axis=1)
     pairs, n, at = _summed(_pair(every[0], every[1]).view(np.uint64), every[2:])
-    none, seen = np.zeros_like(n[0]), (n > 0).astype(np.int64)
-    said = np.concatenate([np.stack([*seen, np.ones_like(none), none, none, none, none]), np.stack([none, none, none, *n, *seen])], axis=1)
-    words, said, _ = _summed(np.concatenate([every[1, at], every[0, at]]).view(np.uint64), said)
-    order, cuts = _dealt(WORDS, words, parts)
-    to = [order[cuts[p] : cuts[p + 1]] for p in range(parts)]
-    return _blocks([(table.column("part")[0].as_py(), PAIRS, pairs, n), *((p, WORDS, words[o], said[:, o]) for p, o in enumerate(to) if len(o))])
+    seen = (n > 0).astype(np.int64)
+    after, of_after, _ = _summed(every[1][at].view(np.uint64), np.stack([*seen, np.ones_like(n[0])]))
+    before, of_before, _ = _summed(every[0][at].view(np.uint64), np.concatenate([n, seen]))
+    words = _distinct(np.concatenate([after, before]))
+    said = np.zeros((WIDTH[WORDS], len(words)), dtype=np.int64)
+    said[:3, np.searchsorted(words, after)] = of_after
+    said[3:, np.searchsorted(words, before)] = of_before
+    to = _dealt(WORDS, words, parts)
+    return _blocks([(table.column("part")[0].as_py(), PAIRS, pairs, n), *((p, WORDS, words[o], said[:, o]) for p, o in enumerate(to) if o.start < o.stop)])
 
 
 def _merge_words(table):
@@ -473,15 +512,20 @@ def _lookups(texts: list[str | None]):
     return keys, at, owner, counts
 
 
+def _keys(slices: list, kind: int) -> np.ndarray:
+    """Keys of a kind of a chunk's slices; no word stands for the one before the first."""
+    return np.concatenate([np.zeros(int(kind == WORDS), np.int64), *(s[0][kind] for s in slices)]).view(np.uint64)
+
+
 def _wanted(slices: list) -> dict[int, np.ndarray]:
-    """Kind -> sorted distinct keys of a chunk's slices; no word stands for the one before the first."""
-    none = np.zeros(1, np.int64)
-    return {kind: np.unique(np.concatenate([none[: kind == WORDS], *(s[0][kind] for s in slices)]).view(np.uint64)) for kind in KINDS}
+    """Kind -> sorted distinct keys of a chunk's slices."""
+    return {kind: _distinct(_keys(slices, kind)) for kind in KINDS}
 
 
 def _chunked(batches, names: list[str]):
     """(chunk, docs): consecutive rows of one task, of about ``CHUNK_CHARS`` characters, as one compressed Arrow stream."""
     import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark import TaskContext
 
     chunk, chars, held = TaskContext.get().partitionId() << 32, 0, []
@@ -494,7 +538,7 @@ def _chunked(batches, names: list[str]):
 
     for b in batches:
         at = 0
-        for i, n in enumerate(len(t or "") for t in b.column(len(names)).to_pylist()):
+        for i, n in enumerate(pc.fill_null(pc.utf8_length(b.column(len(names))), 0).to_pylist()):
             if chars > CHUNK_CHARS:
                 held.append(b.slice(at, i - at))
                 yield packed()
@@ -520,11 +564,11 @@ def _asked(batches, names: list[str], parts: int):
             texts = _docs(block.as_py()).column(len(names)).to_pylist()
             wanted = _wanted([_lookups(texts[i:j]) for i, j in _slices(texts)])
             dealt = {kind: _dealt(kind, keys, parts) for kind, keys in wanted.items()}
-            filled = np.flatnonzero(sum(np.diff(cuts) for _, cuts in dealt.values()))
             rows = []
-            for p in filled.tolist():
-                own = [keys[dealt[kind][0][slice(*dealt[kind][1][p : p + 2])]] for kind, keys in wanted.items()]
-                rows.append((p, [len(k) for k in own], _pack(np.concatenate([_steps(k) for k in own]))))
+            for p in range(parts):
+                own = [keys[dealt[kind][p]] for kind, keys in wanted.items()]
+                if any(len(k) for k in own):
+                    rows.append((p, [len(k) for k in own], _pack(np.concatenate([_steps(k) for k in own]))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.binary())],
                 names=["part", "chunk", "n", "keys"],
@@ -566,21 +610,23 @@ def _gathered(wanted: dict[int, np.ndarray], answers, parts: int) -> dict[int, n
         widths = [WIDTH.get(kind, 1) for kind in KINDS]
         numbers, at = _unpack(r["known"], sum(w * n for w, n in zip(widths, r["n"], strict=True))).view(np.int64), 0
         for kind, w, n in zip(KINDS, widths, r["n"], strict=True):
-            order, cuts = dealt[kind]
-            known[kind][:, order[cuts[r["part"]] : cuts[r["part"] + 1]]] = numbers[at : at + w * n].reshape(w, n)
+            known[kind][:, dealt[kind][r["part"]]] = numbers[at : at + w * n].reshape(w, n)
             at += w * n
     return known
 
 
 def _peaks(values: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
     """Largest mean over ``width`` consecutive values of each text; a shorter text is filled up with zeros."""
-    out = np.zeros(len(counts))
-    total, at = np.concatenate([[0.0], np.cumsum(values)]), 0
-    for i, n in enumerate(counts):
-        s = total[at : at + n + 1]
-        out[i] = (s[width:] - s[:-width]).max() / width if n > width else (s[-1] - s[0]) / width
-        at += n
-    return out
+    ends = np.cumsum(counts)
+    begins = ends - counts
+    total = np.concatenate([[0.0], np.cumsum(values)])
+    out = total[ends] - total[begins]
+    long = np.flatnonzero(counts > width)
+    if len(long):
+        sums = np.append(total[width:] - total[:-width], -np.inf)
+        cuts = np.stack([begins[long], ends[long] - width + 1], axis=1)
+        out[long] = np.maximum.reduceat(sums, cuts.ravel())[::2]
+    return out / width
 
 
 def _scored(texts: list[str | None], answers, parts: int, sums: tuple[int, ...]) -> np.ndarray:
@@ -589,28 +635,30 @@ def _scored(texts: list[str | None], answers, parts: int, sums: tuple[int, ...])
     One row for each text.
     """
     slices = [(i, j, _lookups(texts[i:j])) for i, j in _slices(texts)]
-    wanted = _wanted([found for *_, found in slices])
-    known = _gathered(wanted, answers, parts)
-    place = lambda kind, keys: np.searchsorted(wanted[kind], keys.view(np.uint64))
+    placed = {kind: np.unique(_keys([found for *_, found in slices], kind), return_inverse=True) for kind in KINDS}
+    known = _gathered({kind: own for kind, (own, _) in placed.items()}, answers, parts)
+    place = {kind: at for kind, (_, at) in placed.items()}  # of each key of all slices
     t, o, n, at, ao, tt, to = known[WORDS]
     q = n / max(1.0, float(sums[4]))
     qt, qo = (_own(c, all_) + _trust(types, all_) * q for c, all_, types in ((t, np.int64(sums[0]), sums[2]), (o, np.int64(sums[1]), sums[3])))
     trust_t, trust_o = _trust(tt, at), _trust(to, ao)
     alone = np.log(np.where(n > 0, qt, 1.0) / np.where(n > 0, qo, 1.0))
     after = np.log(np.where(at + ao > 0, trust_t / trust_o, 1.0))
-    out = [np.zeros((0, 1 + len(WINDOWS)))]
+    out, first_gram, first_word = [np.zeros((0, 1 + len(WINDOWS)))], 0, 0
     for i, j, (keys, gram, owner, counts) in slices:
         llr, rest = np.zeros(len(keys[2 * ORDER])), np.arange(len(keys[2 * ORDER]))
         for k in range(ORDER, SHARED, -1):
-            of = lambda kind: known[kind][0].view(np.float64)[place(kind, keys[kind][rest])]  # noqa: B023, E731
+            of = lambda kind: known[kind][0].view(np.float64)[place[kind][first_gram + rest]]  # noqa: B023, E731
             value = of(2 * k)
             missing = np.isnan(value)
             llr[rest] += np.where(missing, np.nan_to_num(of(2 * k + 1)), value)
             rest = rest[missing]
-        word = place(WORDS, keys[WORDS])
+        own = slice(first_word, first_word + len(keys[WORDS]))
+        first_gram, first_word = first_gram + len(llr), own.stop
+        word = place[WORDS][1:][own]  # the first is of no word
         prev = np.concatenate([[0], word])[: len(word)]
         prev[(np.cumsum(counts) - counts)[counts > 0]] = 0  # of no word, the smallest key
-        pt, po = known[PAIRS][:, place(PAIRS, keys[PAIRS])]
+        pt, po = (n[place[PAIRS][own]] for n in known[PAIRS])
         both = np.flatnonzero(pt + po > 0)
         value = alone[word] + after[prev]
         w, p = word[both], prev[both]

@@ -763,6 +763,65 @@ def test_toxicity_asks_with_less_than_a_key_and_gets_the_counts():
         toxicity._gathered(wanted, pa.concat_tables(answers[1:]), parts)
 
 
+def test_toxicity_finds_distinct_keys_about_as_fast_as_it_sorts_them():
+    import time
+
+    keys = np.random.default_rng(33).integers(-(2**63), 2**63, size=400_000)
+    keys = np.concatenate([keys, keys[::3]])
+
+    def least(f):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            f()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    wanted = toxicity._wanted([({kind: keys for kind in toxicity.KINDS}, None, None, None)])
+    assert wanted[toxicity.PAIRS].tolist() == sorted(set(keys.view(np.uint64).tolist()))
+    asked = least(lambda: toxicity._wanted([({kind: keys for kind in toxicity.KINDS}, None, None, None)]))
+    assert asked < 8 * len(toxicity.KINDS) * least(lambda: np.sort(keys))
+
+
+@pytest.mark.parametrize("n", [0, 1, 50, 300_000])  # the last is dealt before it is sorted
+def test_toxicity_sums_by_key(n):
+    random.seed(34)
+    some = [random.getrandbits(64) for _ in range(max(1, n // 3))]
+    keys, numbers = np.array(random.choices(some, k=n), dtype=np.uint64), np.random.default_rng(34).integers(0, 9, size=(2, n))
+    own, sums, at = toxicity._summed(keys, numbers)
+    want = collections.defaultdict(lambda: [0, 0])
+    for k, a, b in zip(keys.tolist(), *numbers.tolist(), strict=True):
+        want[k][0] += a
+        want[k][1] += b
+    assert own.tolist() == sorted(want) and np.array_equal(keys[at], own)
+    assert sums.T.tolist() == [want[k] for k in own.tolist()]
+
+
+def test_toxicity_merges_pairs_into_words(n=2000, parts=3):
+    import pyarrow as pa
+
+    random.seed(35)
+    texts, labels = [" ".join(random.choices("abcdefgh", k=random.randint(0, 9))) for _ in range(n)], [i % 2 for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(texts)], names=["toxic", "text"])
+    blocks = pa.Table.from_batches(list(toxicity._count_words([batch], parts)))
+    merged = pa.concat_tables(toxicity._merge_pairs(blocks.filter(pa.compute.equal(blocks.column("part"), p)), parts) for p in range(parts))
+    pairs, said = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(lambda: np.zeros(7, dtype=int))
+    for text, toxic in zip(texts, labels, strict=True):
+        words = toxicity.word_keys([text])[0].tolist()
+        for pair in zip([0, *words], words, strict=False):
+            pairs[pair][1 - toxic] += 1
+    for (prev, word), (t, o) in pairs.items():
+        said[word % 2**64] += [t > 0, o > 0, 1, 0, 0, 0, 0]
+        said[prev % 2**64] += [0, 0, 0, t, o, t > 0, o > 0]
+    got = collections.defaultdict(lambda: np.zeros(7, dtype=int))
+    for part, kind, keys, known in toxicity._unblocked(merged):
+        assert (toxicity._part(kind, keys, parts) == part).all()
+        if kind == toxicity.WORDS:
+            for k, x in zip(keys.tolist(), known.T, strict=True):
+                got[k] += x
+    assert {k: v.tolist() for k, v in got.items()} == {k: v.tolist() for k, v in said.items()}
+
+
 def _stream(batch):
     import pyarrow as pa
 
