@@ -7,7 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landfall.functions import as_col
-from landfall.session import Scratch
+from landfall.session import Scratch, byte_setting, settings
+
+SCAN, BROADCAST = "spark.sql.files.maxPartitionBytes", "spark.sql.autoBroadcastJoinThreshold"
+RANK_BYTES = 32 << 20  # of files in a task that ranks: rows take many times their size in files, and they are sorted in memory
 
 
 def latest_per_key(df: DataFrame, keys: list, order: list[str]) -> DataFrame:
@@ -45,15 +48,56 @@ def enrich_latest(
     With ``scratch`` the reduced dimension is written first. Its file size is then known when the
     join is planned, so a small one is broadcast without the probe side being shuffled at all.
     """
+    return join_newest(df, newest_dimension(dim, on, order, cols, dim_keys, scratch), on)
+
+
+def newest_dimension(
+    dim: DataFrame, on: dict[str, Column], order: list[str], cols: dict[str, Column],
+    dim_keys: dict[str, Column] | None = None, scratch: Scratch | None = None,
+) -> DataFrame:
+    """The reduced dimension of ``enrich_latest``: ``cols`` of the newest row of each key.
+
+    With ``scratch`` it is written here, by tasks that read at most ``RANK_BYTES``.
+    """
     keys = list(on)
     normal = dim.withColumns({k: (dim_keys or {}).get(k, F.col(k)) for k in keys}).dropna(subset=keys)
     newest = latest_per_key(normal, [F.xxhash64(*keys), *keys], order)
     right = newest.select(*[F.col(k).alias(f"_dim_{k}") for k in keys], *[c.alias(n) for n, c in cols.items()])
-    if scratch:
-        right = scratch.materialize(right, "dimension")
+    if not scratch:
+        return right
+    with settings(scratch.spark, {SCAN: str(min(RANK_BYTES, byte_setting(scratch.spark, SCAN)))}):
+        return scratch.materialize(right, "dimension")
+
+
+def join_newest(df: DataFrame, right: DataFrame, on: dict[str, Column], how: str = "left") -> DataFrame:
+    """``df`` with the columns of a reduced dimension."""
+    keys = list(on)
     probe = df.withColumns({f"_probe_{k}": c for k, c in on.items()})
     condition = [F.col(f"_probe_{k}") == F.col(f"_dim_{k}") for k in keys]
-    return probe.join(right, condition, "left").drop(*[f"_dim_{k}" for k in keys], *[f"_probe_{k}" for k in keys])
+    return probe.join(right, condition, how).drop(*[f"_dim_{k}" for k in keys], *[f"_probe_{k}" for k in keys])
+
+
+def enrich_in_place(
+    df: DataFrame, right: DataFrame, on: dict[str, Column], place: list[str], parts: int, cols: list[str], carried: list[str]
+) -> DataFrame:
+    """Left join of wide rows to a reduced dimension that is too large to broadcast; the rows stay where they lie.
+
+    ``df`` comes from a table bucketed by the first column of ``place`` into ``parts``; ``place`` as a whole is unique, a
+    row with a null in it finds nothing. Only places and keys (``carried`` are the columns ``on`` is built from) are
+    shuffled to the dimension, and only what was found goes back, to the bucket of its row. There it is hashed,
+    so the wide rows are not sorted either. The join must run with the settings ``IN_PLACE``. The merge hint keeps Spark from
+    broadcasting the keys: their size is estimated from the files, in which they take a small part of what they take in memory.
+    """
+    asked = df.select(*place, *carried).dropna(subset=place)
+    found = join_newest(asked.hint("merge"), right, on, "inner").select(*[F.col(c).alias(f"_at_{c}") for c in place], *cols)
+    found = found.repartition(parts, f"_at_{place[0]}").hint("shuffle_hash")
+    same = [F.col(c) == F.col(f"_at_{c}") for c in place]
+    return df.join(found, same, "left").drop(*[f"_at_{c}" for c in place])
+
+
+def broadcast_fits(scratch: Scratch, name: str = "dimension") -> bool:
+    """Whether Spark broadcasts what was written under this name."""
+    return scratch.stored_bytes(name) <= byte_setting(scratch.spark, BROADCAST)
 
 
 # ---- a maintained table of newest rows ---------------------------------------------------

@@ -22,7 +22,7 @@ from landfall.operators.guards import (
     staged_envelope_verdict,
     verdict,
 )
-from landfall.operators.latest import dedup, enrich_latest
+from landfall.operators.latest import broadcast_fits, dedup, enrich_in_place, enrich_latest, join_newest, newest_dimension
 from landfall.operators.pages import collect_pages, key_source_verdict, landing_guard, request_plan
 from landfall.operators.quality import (
     expanded_rows,
@@ -35,9 +35,10 @@ from landfall.operators.quality import (
 from landfall.plans.price_queue import partition_day
 from landfall.plans.restocking import NODE_COLUMNS, seller_join
 from landfall.plans.shipments import listing_join
-from landfall.session import Scratch, pin
+from landfall.session import DROP_SHUFFLES, IN_PLACE, Scratch, pin, settings
 from landfall.sources.envelopes import (
     JSON_FILES,
+    batch_parts,
     matching_envelopes,
     read_envelopes,
     stage_batch,
@@ -52,9 +53,14 @@ from landfall.sources.versions import Published, new_batch_id, publish_version,
 from landfall.spec import DatasetSpec, contract_schema
 
 
-def load_batch(spec: DatasetSpec, dt: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Parse the batch once; return everything staged, and the records of matching envelopes."""
-    staged = stage_batch(read_envelopes(scratch.spark, spec.root, spec.record_schema, dt), scratch)
+def load_batch(spec: DatasetSpec, dt: str, scratch: Scratch, in_parts: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Parse the batch once; return everything staged, and the records of matching envelopes.
+
+    ``in_parts`` stages it in parts, whose number is left in ``scratch.parts``.
+    """
+    envelopes = read_envelopes(scratch.spark, spec.root, spec.record_schema, dt)
+    scratch.parts = batch_parts(envelopes) if in_parts else 0
+    staged = stage_batch(envelopes, scratch, scratch.parts)
     return staged, matching_envelopes(staged, spec, dt).where(F.col("pos").isNotNull())
 
 
@@ -100,24 +106,35 @@ def parent_child_detail(
     Deduplication runs only when duplicates are allowed into the batch. Otherwise the guards
     have proved, on the very files read here, that technical ids are unique; ranking every row
     by its id would then be a full shuffle that changes nothing.
+
+    Where the batch was staged in parts and the reduced dimension is too large to broadcast, the flat rows stay in their
+    parts and only keys and what is found for them are shuffled.
     """
-    expanded = expand_children(records, spec.child)
+    expanded, join = expand_children(records, spec.child), listing_join()
     order = [F.col("shard_no"), F.col("pos"), F.col("item_pos")]
-    flat = _early(spec, expanded, F.nullif(F.trim("item.asin"), F.lit("")).alias("own_asin"), *order)
-    if spec.on_duplicate == "keep_newest":
-        flat = dedup(flat, "id", ["gmt_modified", "create_time", "shard_no", "pos", "item_pos"])
-    return _finish(spec, enrich_latest(flat, dim, **listing_join(), scratch=scratch))
+    own = F.nullif(F.trim("item.asin"), F.lit("")).alias("own_asin")
+    if scratch is None or not scratch.parts or spec.on_duplicate == "keep_newest":
+        flat = _early(spec, expanded, own, *order)
+        if spec.on_duplicate == "keep_newest":
+            flat = dedup(flat, "id", ["gmt_modified", "create_time", "shard_no", "pos", "item_pos"])
+        return _finish(spec, enrich_latest(flat, dim, **join, scratch=scratch))
+    newest = newest_dimension(dim, **join, scratch=scratch)
+    if broadcast_fits(scratch):
+        return _finish(spec, join_newest(_early(spec, expanded, own), newest, join["on"]))
+    place = ["part", "shard_no", "pos", "item_pos"]
+    flat = _early(spec, expanded, own, *place)
+    return _finish(spec, enrich_in_place(flat, newest, join["on"], place, scratch.parts, list(join["cols"]), ["sid", "msku", "fnsku"]))
 
 
 def run_parent_child(spark: SparkSession, spec: DatasetSpec, dt: str, dim: DataFrame, batch_id: str | None = None) -> DataFrame:
     """Shipments of one date: guards, expansion, enrichment, one day published, quality row.
 
     Every count is taken once. The guards' counts of the source and those observed while the target is written go into
-    the report, which adds only the two distincts of the target as read back.
+    the report, which adds only the two distincts of the target as read back. The shuffle files of each step go when it ends.
     """
     blanks, times = ["shipment_id", "country", "parent_asin", "local_name"], ["gmt_create", "gmt_modified"]
-    with Scratch(spark) as scratch:
-        staged, records = load_batch(spec, dt, scratch)
+    with Scratch(spark) as scratch, settings(spark, {**DROP_SHUFFLES, **IN_PLACE}):
+        staged, records = load_batch(spec, dt, scratch, in_parts=True)
         expanded = expand_children(records, spec.child)
         child = child_verdict(expanded, f"rec.{spec.unique}", f"item.{spec.child_key}", on_duplicate=spec.on_duplicate)
         measured = measure_guards(

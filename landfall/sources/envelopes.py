@@ -17,6 +17,8 @@ CORRUPT = "_corrupt"
 JSON_FILES = "{*.json,*.json.gz}"  # what counts as an envelope file
 ENVELOPE_BYTES = 8 << 20  # of records as Arrow holds them
 ENVELOPES_PER_FILE = 16  # a compressed file is read by one task, so it holds about what one task should read
+PART_RECORDS = 1 << 18  # of one envelope in a part
+MOST_PARTS = 4096
 ENVELOPE_COLUMNS = ("source", "dataset", "biz_date", "record_count", "sync_time", "shard_no", "batch_count")
 
 
@@ -157,24 +159,37 @@ def write_json(df: DataFrame, root: str, dt: str) -> None:
     writer.partitionBy("dt").json(root)
 
 
-def stage_batch(envelopes: DataFrame, scratch: Scratch) -> DataFrame:
+def batch_parts(envelopes: DataFrame) -> int:
+    """Buckets of a batch staged in parts: about one for each file, so what a bucket holds does not grow with the batch."""
+    spark = envelopes.sparkSession
+    return min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(envelopes.inputFiles())), MOST_PARTS)
+
+
+def stage_batch(envelopes: DataFrame, scratch: Scratch, parts: int = 0) -> DataFrame:
     """Parse a batch once: one Parquet row per record, plus one row for an envelope without records.
 
     Guards, the detail job and the quality report all read this table with column pruning
     instead of parsing JSON again. ``pos`` is null exactly on the row of an empty envelope, so
     ``coalesce(pos, 0) = 0`` marks one row per envelope.
+
+    With ``parts`` the table is bucketed into as many by ``part``, the file of a record (and the block of ``PART_RECORDS`` in it,
+    should an envelope be larger), which costs no shuffle: what is found for a record can be sent to where it lies.
     """
     numbered = envelopes.select(
         *[F.col(c) for c in ENVELOPE_COLUMNS if c != "shard_no" and c in envelopes.columns],
         F.coalesce("shard_no", F.monotonically_increasing_id()).alias("shard_no"),
         F.col(CORRUPT).isNotNull().alias("corrupt"),
         "dt",
+        *([F.xxhash64(F.input_file_name()).alias("file")] if parts else []),
         "data",
     )
     exploded = numbered.select(
         *[c for c in numbered.columns if c != "data"], F.posexplode_outer("data").alias("pos", "rec")
     )
-    return scratch.materialize(exploded, "batch")
+    if not parts:
+        return scratch.materialize(exploded, "batch")
+    part = F.xxhash64("file", F.call_function("div", F.col("pos"), F.lit(PART_RECORDS)))
+    return scratch.materialize_in_parts(exploded.withColumn("part", part).drop("file"), "batch", "part", parts)
 
 
 def envelope_summary(df: DataFrame, dt: str) -> DataFrame:

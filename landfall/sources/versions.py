@@ -93,7 +93,8 @@ def publish_version(
     ``checks`` must hold on every row. They, the row count and ``measures`` (aggregates without a
     distinct) are observed while the rows are written, so they cost no further pass. The read-back counts
     the rows of each day from the files. With ``dt`` the publish is of that one day, also if it is empty; its rows are
-    written by the tasks that have them, since only rows of several days must be brought together by day.
+    written by the tasks that have them, since only rows of several days must be brought together by day. The day is then
+    a constant of the write, so that no task sorts its rows by it; a row of another day is counted, and the publish refused.
     """
     spark, path = df.sparkSession, f"{target}/v={batch_id}"
     facts = Observation()
@@ -101,9 +102,12 @@ def publish_version(
     watched = grouped.observe(
         facts,
         F.count(F.lit(1)).alias("_rows"),
+        *([F.count_if(~F.col("dt").eqNullSafe(dt)).alias("_strays")] if dt is not None else []),
         *[F.count_if(~F.coalesce(c, F.lit(False))).alias(f"_violations_{i}") for i, c in enumerate(checks)],
         *[c.alias(n) for n, c in (measures or {}).items()],
     )
+    if dt is not None:
+        watched = watched.withColumn("dt", F.lit(dt))
     watched.write.mode("errorifexists").option("compression", "zstd").partitionBy("dt").parquet(path)
     seen = facts.get
     broken = {k: v for k, v in seen.items() if k.startswith("_violations_") and v}
@@ -115,8 +119,9 @@ def publish_version(
         spark.createDataFrame([], df.drop("dt").schema).write.parquet(f"{path}/dt={dt}")
         days = {dt: 0}
     stored = sum(days.values())
-    if stored != seen["_rows"] or (expected_rows is not None and stored != expected_rows) or (dt is not None and set(days) != {dt}):
-        raise GuardError("ROW_COUNT_MISMATCH", {"stored": stored, "written": seen["_rows"], "expected": expected_rows, "days": len(days)})
+    strays = seen.get("_strays", 0)
+    if stored != seen["_rows"] or (expected_rows is not None and stored != expected_rows) or (dt is not None and set(days) != {dt}) or strays:
+        raise GuardError("ROW_COUNT_MISMATCH", {"stored": stored, "written": seen["_rows"], "expected": expected_rows, "days": len(days), "strays": strays})
     seq = commit_version(spark, target, dataset, batch_id, days)
     return Published(batch_id, seq, days, {n: seen[n] for n in (measures or {})})
 
